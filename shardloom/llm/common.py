@@ -30,12 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends here, so a lost executor costs no more
     than the tasks it ran, and what follows may read it many times."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, simhash
+from . import bpe, decontaminate, licenses, lm, mil, minhash, simhash, units
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_bpe": bpe.op2_bpe,
+        "op3_quality": mil.op3_quality,
+        "op4_substrings": units.op4_substrings,
+        "op5_lm": lm.op5_lm,
+        "op6_minhash": minhash.op6_minhash,
+        "op7_toxicity": mil.op7_toxicity,
+        "op8_line_runs": units.op8_line_runs,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_licenses": licenses.op10_licenses,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op9_decontaminate": decontaminate.ORACLE}
+    return {"op4_substrings": units.ORACLE_UNITS, "op8_line_runs": units.ORACLE_RUNS, "op9_decontaminate": decontaminate.ORACLE}
