@@ -84,6 +84,8 @@ class Options:
     disallowed_header_directives: Sequence[str] | None = None
     start_file_id: int = 0
     max_data_size: float | None = None
+    enable_wandb: bool = False
+    wandb_project: str | None = None
     start_shard_id: int = 0
     extras: list[str] = field(init=False, default_factory=list)
 
@@ -119,5 +121,7 @@ class Options:
         for name, default in (("processes_count", 1), ("subjob_size", None), ("max_shard_retry", 1)):
             if getattr(self, name) != default:
                 warnings.warn(f"{name} is left to Spark's own configuration", stacklevel=3)
+        if self.enable_wandb:
+            warnings.warn("there is no telemetry; see streaming.monitor for reports", stacklevel=3)
         if self.distributor != "pyspark":
             warnings.warn("Spark is the only engine; distributor is ignored", stacklevel=3)

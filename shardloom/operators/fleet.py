@@ -3,6 +3,8 @@ in anywhere or runs a command."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,5 +66,16 @@ def killed(state: DataFrame) -> DataFrame:
     return state.withColumns({"status": F.lit("stopped"), "workers": F.array().cast("array<string>"), "num_workers": F.lit(0)})
 
 
+def save(state: DataFrame, folder: str) -> None:
+    """Each cluster's state as one JSON file, in place of the one before."""
+    from ..sinks.containers import filesystem
+
+    fs, root = filesystem(folder)
+    fs.create_dir(root, recursive=True)
+    for row in state.toLocalIterator():  # a row for each cluster that changed
+        with fs.open_output_stream(f"{root}/{row.cluster_id}.json") as f:
+            f.write(json.dumps(row.asDict(), indent=4).encode())
+
+
 def counts(state: DataFrame) -> DataFrame:
     return state.select("cluster_id", F.size("workers").alias("num_workers"))

@@ -10,7 +10,6 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from shardloom.config import INPUT_FORMATS
 from shardloom.operators import fetch, fleet, sharding, stats
@@ -240,6 +239,14 @@ def test_lookup_job(spark, tmp_path):
     assert {r.url: r.status for r in got.collect()}["http://x/f"] == "failed_to_download" and got.where("status = 'success'").count() == 2
 
 
+def test_command_line(spark, tmp_path):
+    from shardloom.__main__ import main
+
+    (tmp_path / "in.txt").write_text("http://127.0.0.1:1/none\n")
+    main(["--url_list", str(tmp_path / "in.txt"), "--output_dir", str(tmp_path / "o"), "--input_format", "txt", "--encode_format", "bin"])
+    assert json.loads((tmp_path / "o" / "00000_stats.json").read_text())["failed_to_download"] == 1
+
+
 def test_windowed_order():
     from concurrent.futures import ThreadPoolExecutor
 
@@ -296,7 +303,7 @@ def test_empty_statistics(spark):
     assert row["count"] == 0 and row.success is None and row.img_per_sec is None
 
 
-def test_fleet(spark):
+def test_fleet(spark, tmp_path):
     hosts = spark.createDataFrame([(f"h{i}",) for i in range(6)], "host string")
     state = spark.createDataFrame([("a", "running", "h0", ["h1", "h2"], 2, 1, "u"), ("b", "stopped", "h3", ["h4"], 1, 1, "u")], fleet.STATE)
     names = lambda df: sorted(r.host for r in df.collect())
@@ -307,6 +314,8 @@ def test_fleet(spark):
     grown = fleet.added(a, fleet.first_hosts(fleet.free_hosts(hosts, state), 2)).first()
     assert grown.workers == ["h1", "h2", "h3", "h4"] and grown.num_workers == 4
     assert fleet.without(a, fleet.tail(a, 1)).first().workers == ["h1"] and fleet.killed(a).first().status == "stopped"
+    fleet.save(fleet.killed(a), str(tmp_path))
+    assert tables.running_clusters(spark, str(tmp_path)).count() == 0 and json.loads((tmp_path / "a.json").read_text())["status"] == "stopped"
     new = fleet.setup(hosts, state, "n", 2, 30).first()
     assert (new.master_node, new.workers, new.num_workers) == ("h3", ["h4"], 1)
 
@@ -315,4 +324,3 @@ def test_counters(spark):
     counts = spark.createDataFrame([("a", 5), ("b", 5), ("c", 9), ("d", 1)], "status string, count long")
     assert [r.status for r in stats.status_table(counts, 3).collect()] == ["c", "a", "b"]
     assert [r.status for r in stats.capped(counts, 4).collect()] == ["c", "a"]
-    assert F.col("x") is not None

@@ -1,0 +1,104 @@
+"""Headers, the PNG codec, gates and resizing on real payloads."""
+
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shardloom.operators import classify, images
+
+R = np.random.default_rng(0)
+
+
+def picture(w, h, n=3):
+    return R.integers(0, 256, (h, w, n)).astype(np.uint8)
+
+
+def filtered(pixels, how):
+    """A PNG all of whose lines use one filter."""
+    h, w, n = pixels.shape
+    flat = pixels.reshape(h, -1).astype(int)
+    lines = []
+    for y in range(h):
+        row, above = flat[y], flat[y - 1] if y else np.zeros(w * n, int)
+        left, corner = np.r_[np.zeros(n, int), row[:-n]], np.r_[np.zeros(n, int), above[:-n]]
+        if how == 4:
+            guess = left + above - corner
+            options = np.stack([left, above, corner])
+            base = np.take_along_axis(options, np.abs(guess - options).argmin(0)[None], 0)[0]
+        else:
+            base = [0, left, above, (left + above) // 2][how]
+        lines.append(bytes([how]) + bytes(((row - base) % 256).astype(np.uint8)))
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2, 4: 6}[n], 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("how", [0, 1, 2, 3, 4])
+@pytest.mark.parametrize("n", [1, 3, 4])
+def test_png(how, n):
+    p = picture(7, 5, n)
+    assert (images.decode_png(filtered(p, how)) == p).all() and (images.decode_png(images.encode_png(p)) == p).all()
+
+
+@pytest.mark.parametrize("bad", [b"", b"x", b"\x89PNG\r\n\x1a\n", images.encode_png(picture(3, 3))[:45]])
+def test_what_cannot_be_decoded(bad):
+    assert images.Resizer()(bad)[-1] and images.Resizer()(bad)[0] is None
+
+
+def test_headers():
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08\x00\x20\x00\x30\x03" + b"\0" * 9
+    webp = b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + (99).to_bytes(3, "little") + (49).to_bytes(3, "little")
+    assert images.header_size(images.encode_png(picture(9, 4))) == (9, 4)
+    assert images.header_size(b"GIF89a\x05\0\x06\0") == (5, 6) and images.header_size(jpeg) == (48, 32) and images.header_size(webp) == (100, 50)
+    assert images.header_size(None) is images.header_size(b"text") is images.header_size(b"\x89PNG\r\n\x1a\nxx") is None
+
+
+def test_on_white():
+    p = np.array([[[10, 20, 30, 0], [10, 20, 30, 255], [100, 100, 100, 51]]], np.uint8)
+    assert images.on_white(p).tolist() == [[[255, 255, 255], [10, 20, 30], [224, 224, 224]]]
+
+
+@pytest.mark.parametrize("mode", ["no", "keep_ratio", "center_crop", "border", "keep_ratio_largest"])
+@pytest.mark.parametrize("only", [False, True])
+@pytest.mark.parametrize(("w", "h"), [(40, 20), (8, 6), (16, 16), (9, 33)])
+def test_sizes_are_those_of_the_columns(spark, mode, only, w, h):
+    data, width, height, ow, oh, error = images.Resizer(16, mode, only)(images.encode_png(picture(w, h)))
+    a, b = classify.resized(F.lit(w), F.lit(h), 16, mode, only)
+    assert error is None and (ow, oh) == (w, h) and (width, height) == tuple(spark.range(1).select(a, b).first()) == images.header_size(data)
+
+
+@pytest.mark.parametrize("how", ["nearest", "linear", "area", "cubic", "lanczos"])
+def test_flat_pictures_stay_flat(how):
+    flat = np.full((12, 10, 3), 77, np.uint8)
+    assert (images.scaled(flat, 5, 7, how) == 77).all() and (images.scaled(flat, 23, 31, how) == 77).all()
+
+
+def test_area_is_the_mean():
+    p = picture(6, 4)
+    assert (images.scaled(p, 3, 2, "area") == np.rint(p.reshape(2, 2, 3, 2, 3).mean((1, 3)))).all()
+
+
+def test_reencoding_and_blur():
+    raw = images.encode_png(picture(8, 8), 0)
+    assert images.Resizer(disable_all_reencoding=True)(raw)[0] == raw
+    assert images.Resizer(16, "no", skip_reencode=True)(raw)[0] == raw and images.Resizer(16, "no", quality=9)(raw)[0] != raw
+    assert images.Resizer(16, "no")(raw, [(0, 0, 1, 1)])[-1] == "blurrer not defined"
+    out = images.Resizer(16, "no", blurrer=lambda img, bbox_list: img * 0)(raw, [(0, 0, 1, 1)])
+    assert not images.decode_png(out[0]).any()
+    for bad in ({"mode": "x"}, {"encode_format": "gif"}, {"quality": 10}, {"up": "x"}):
+        with pytest.raises(ValueError):
+            images.Resizer(**bad)
+
+
+def test_columns(spark):
+    rows = [(1, images.encode_png(picture(40, 20)), None), (2, b"no picture", None), (3, None, "gone"), (4, images.encode_png(picture(3, 3)), None)]
+    df = spark.createDataFrame(rows, "n int, bin binary, error_message string")
+    assert {r.n: r.k for r in df.select("n", images.kind(F.col("bin")).alias("k")).collect()} == {1: "png", 2: None, 3: None, 4: "png"}
+    sized = images.with_dimensions(df, "bin")
+    assert {r.n: (r.original_width, r.original_height) for r in sized.collect()} == {1: (40, 20), 2: (None, None), 3: (None, None), 4: (3, 3)}
+    got = {r.n: r for r in classify.with_status(images.gated(sized, "bin", min_size=5), "bin").collect()}
+    assert got[4].error_message == "image too small" and got[4].bin is None and got[4].status == "failed_to_resize" and got[3].error_message == "gone" and got[1].status == "success"
+    out = {r.n: r for r in images.resize(df, "bin", images.Resizer(16, "center_crop")).collect()}
+    assert (out[1].width, out[1].height, out[1].original_width) == (16, 16, 40) and out[2].error_message == "Image decoding error" and out[3].error_message == "gone"
