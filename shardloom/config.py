@@ -98,7 +98,7 @@ class Options:
             if value not in allowed:
                 raise ValueError(f"Invalid {name} {value}; one of {allowed} is expected")
         self.upscale_interpolation, self.downscale_interpolation = interpolation(self.upscale_interpolation), interpolation(self.downscale_interpolation)
-        if not 0 <= self.encode_quality <= (9 if self.encode_format == "png" else 100):
+        if not self.disable_all_reencoding and not 0 <= self.encode_quality <= (9 if self.encode_format == "png" else 100):
             raise ValueError("encode_quality is out of the range of the format")
         if self.verify_hash is not None:
             if self.verify_hash[1] not in HASHES[1:]:
