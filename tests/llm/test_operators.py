@@ -511,3 +511,15 @@ def test_licenses_of_no_rows(none):
 def test_native_plans(spark, sf, name):
     plan = registry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_large_counts_are_several_pairs(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "MOST_COUNT", 3)
+    texts = [b"a a a a a a a b", b"a a a", b"c"]
+    rows = [b.to_pylist() for b in lm.worked(5, pa.array([1, 2, 3]), np.array([True, False, True]), texts, lm.Subwords(lm.load()))]
+    found = {r["word"]: r for batch in rows for r in batch if r["kind"] == lm.WORD}
+    pairs = lambda w: [(p >> 16, p & 0xFFFF) for p in found[w]["pairs"][:-1]]
+    assert pairs(b"a") == [(0, 3), (0, 3), (0, 1), (1, 3)] and pairs(b"b") == [(0, 1)] and pairs(b"c") == [(2, 1)]
+    assert all(r["pairs"][-1] == lm.MARK for r in found.values()) and found[b"a"]["train_n"] == 7
