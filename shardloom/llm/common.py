@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 WORD_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: Vectored reads take a buffer outside the heap for each column chunk and thread, and keep it; executors' memory is
+#: better spent elsewhere.
+PLAIN_READS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.options(**PLAIN_READS).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,13 +35,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends here, so a lost executor costs no more
     than the tasks it ran, and what follows may read it many times."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # partitions are put together to the advised size, so that a small table is few files
+    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(first)
+    spark.conf.set(first, "false")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(first, before)
+    return spark.read.options(**PLAIN_READS).schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -59,8 +71,12 @@ def doc_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
-def per_worker(build: Callable[[], object], key: str) -> object:
-    """build(), once per Python worker and key."""
+def per_worker(build: Callable[[], object], key: str, group: str = "") -> object:
+    """build(), once per Python worker and key. Workers serve one operator after another: what another group has built
+    is let go, so caches don't add up."""
+    if _GROUP != [group]:
+        _BUILT.clear()
+        _GROUP[:] = [group]
     if key not in _BUILT:
         while len(_BUILT) > 4:
             _BUILT.pop(next(iter(_BUILT)))
@@ -69,6 +85,7 @@ def per_worker(build: Callable[[], object], key: str) -> object:
 
 
 _BUILT: dict[str, object] = {}
+_GROUP: list[str] = []
 
 
 def digest_of(blob: bytes) -> str:
