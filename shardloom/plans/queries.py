@@ -282,12 +282,27 @@ def merged_status(spark, sf_dir):
     return stats.merged_status(stats.shard_stats(samples(spark, sf_dir)))
 
 
+def stats_folder(spark, sf_dir) -> str:
+    """A folder of statistics files of the samples' shards, where all executors see it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    folder = f"{shared}/stats-{uuid.uuid4().hex}"
+    containers.write_stats(stats.shard_stats(samples(spark, sf_dir)), folder, 5)
+    return folder
+
+
+@query(_SAMPLES + "select " + ", ".join(f"coalesce(sum({c}), 0)::bigint as {c}" for c in ("count", "successes", "failed_to_download", "failed_to_resize")) + ", round(sum(successes) / sum(count), 6) as success, min(start_time) as start_time, max(end_time) as end_time from g where shard_id > 0")
+def monitor_stream(spark, sf_dir):
+    """Totals of a stream over statistics files, run until all files are read; shard 0 was done before."""
+    folder, name = stats_folder(spark, sf_dir), f"totals_{uuid.uuid4().hex}"
+    done = spark.createDataFrame([(0,)], "shard_id long")
+    monitor.start(spark, folder, name, f"{folder}-state", interval=None, done=done).awaitTermination()
+    return spark.table(name).select("count", "successes", "failed_to_download", "failed_to_resize", F.round("success", 6).alias("success"), "start_time", "end_time")
+
+
 @query(_SAMPLES + "select shard_id, count, successes, failed_to_download, failed_to_resize from g")
 def stats_roundtrip(spark, sf_dir):
     """Statistics files written and read back by the monitor's reader."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    folder = f"{folder}/stats-{uuid.uuid4().hex}"
-    containers.write_stats(stats.shard_stats(samples(spark, sf_dir)), folder, 5)
+    folder = stats_folder(spark, sf_dir)
     return monitor.good(monitor.read_stats(spark, folder)).select("shard_id", "count", "successes", "failed_to_download", "failed_to_resize")
 
 
