@@ -25,8 +25,8 @@ from . import common
 
 #: A vocabulary file larger than this is not broadcast.
 MOST_VOCABULARY_BYTES = 256 << 20
-#: Chunks whose ids a worker keeps; it starts anew beyond that.
-KEPT_CHUNKS = 500_000
+#: Chunks whose ids a worker keeps, in each of two generations.
+KEPT_CHUNKS = 120_000
 #: Characters that Python's split() takes for white space and \s of the vocabulary's pattern does not.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -57,7 +57,7 @@ class Tokenizer:
         self.pattern = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.at_special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.bytes = byte_symbols()
-        self.kept: dict[str, tuple[bytes, str]] = _Kept(self.encode_chunk)
+        self.kept: dict[str, tuple[bytes, str]] = common.Kept(self.encode_chunk, KEPT_CHUNKS)
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge neighbours, lowest rank first and leftmost among equals, until no pair has a rank."""
@@ -118,22 +118,6 @@ class Tokenizer:
         return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])
 
 
-class _Kept(dict):
-    """Results by chunk; decode() of a text is the join of its chunks' strings, so both are kept together."""
-
-    def __init__(self, work):
-        super().__init__()
-        self.work = work
-
-    def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        if len(self) >= KEPT_CHUNKS:
-            self.clear()
-        out = self.work(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = out
-        return out
-
-
 def default_path() -> str:
     import public_tokenizers
 
@@ -150,7 +134,7 @@ def load(spark: SparkSession, path: str | None = None):
 
 
 def worker_tokenizer(blob) -> Tokenizer:
-    return common.per_worker(lambda: Tokenizer(blob.value), "bpe" + common.digest_of(blob.value))
+    return common.per_worker(lambda: Tokenizer(blob.value), "bpe" + common.digest_of(blob.value), "bpe")
 
 
 def encoder(spark: SparkSession, path: str | None = None, ids: bool = True):

@@ -84,10 +84,39 @@ def per_worker(build: Callable[[], object], key: str, group: str = "") -> object
     return _BUILT[key]
 
 
+class Kept(dict):
+    """work(key) by key, for the keys that come again: two generations of at most `most` results each. A key that is
+    asked for after its generation has aged is taken over into the new one; the rest of the old one goes."""
+
+    def __init__(self, work: Callable[[object], object], most: int):
+        super().__init__()
+        self.work, self.most, self.old = work, most, {}
+
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.work(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = out
+        return out
+
+
 _BUILT: dict[str, object] = {}
 _GROUP: list[str] = []
 
 
+def sampled(rows: DataFrame, most: int, *keys: str) -> DataFrame:
+    """At most `most` rows, those of the lowest hashes of keys. Beyond that number a bound on the hash, from a count,
+    leaves about 1.3 times as many, so that tasks send few rows however many tasks there are."""
+    n = rows.count()
+    hashed = rows.withColumn("_ll_h", F.xxhash64(*keys))
+    if n > 1.3 * most:
+        hashed = hashed.where(F.col("_ll_h") <= int(-(2**63) + 2**64 * (1.3 * most / n)))
+    return hashed.orderBy("_ll_h", *keys).limit(most).drop("_ll_h")
+
+
 def digest_of(blob: bytes) -> str:
     return hashlib.sha256(blob).hexdigest()
 

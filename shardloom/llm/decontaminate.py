@@ -84,7 +84,7 @@ def scanner(spark: SparkSession, items: list[tuple[int, str]]):
     rows, key = spark.sparkContext.broadcast(items), "aho" + common.digest_of(repr(sorted(items)).encode())
 
     def work(texts: pa.Array) -> pa.Array:
-        w = common.per_worker(lambda: Windows(rows.value), key)
+        w = common.per_worker(lambda: Windows(rows.value), key, "aho")
         out = []
         for text in texts.cast(pa.binary()).to_pylist():
             n, runs, ids = w.scan(text)
