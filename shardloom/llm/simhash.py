@@ -28,7 +28,7 @@ from . import common
 
 SHINGLE = 5
 LANES = 0x100000001
-#: Hamming radius of near() in the query, and the number of blocks; 8 - 3 = 5 blocks of 16 bits make a table's key.
+#: Hamming radius of near() in the query, and the number of blocks: four tables, each keyed by one block of 32 bits.
 RADIUS, BLOCKS = 3, 4
 MOST_BUCKETS = 2048
 
