@@ -25,13 +25,14 @@ from . import common
 MOST_SAMPLES = 8_000
 #: Words of a passage, and passages of a sample document that training uses, at most.
 PASSAGE, MOST_TRAIN_PASSAGES = 48, 200
-KEPT_WORDS = 400_000
+#: Words that a worker keeps.
+KEPT_WORDS = 200_000
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int) -> DataFrame:
     """doc_id, text, y of at most `most` labelled rows outside the held-out ones, chosen by a hash of their ids."""
     rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (common.doc_crc(F.col("doc_id")) % parts != held))
-    rows = rows.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = common.sampled(rows.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")), most, "doc_id")
     return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # at most `most` rows of 12 bytes
 
 
@@ -193,8 +194,8 @@ def quality_score(spark: SparkSession, model: GatedAttention):
     blob = spark.sparkContext.broadcast(pickle.dumps(model))  # fixed size: the model's few thousand numbers
 
     def work(texts: pa.Array) -> pa.Array:
-        m = common.per_worker(lambda: pickle.loads(blob.value), "quality" + common.digest_of(blob.value))
-        f = common.per_worker(Passages, "passages")
+        m = common.per_worker(lambda: pickle.loads(blob.value), "quality" + common.digest_of(blob.value), "quality")
+        f = common.per_worker(Passages, "passages", "quality")
         out = []
         for run in common.chunks([t or "" for t in texts.to_pylist()]):
             out.append(m.scores([f.vectors(t) for t in run]))
@@ -239,20 +240,6 @@ def features(word: str) -> list[str]:
     return [w, *("^" + w[:n] for n in (3, 4) if len(w) > n)] if w else []
 
 
-class _Held(dict):
-    """The terms of each word that has been seen."""
-
-    def __init__(self, terms: dict[str, int]):
-        super().__init__()
-        self.terms = terms
-
-    def __missing__(self, w: str) -> tuple[int, ...]:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[w] = out = tuple(t for f in features(w) if (t := self.terms.get(f)) is not None)
-        return out
-
-
 class NoisyOr:
     """p(document) = 1 - prod over sentences of (1 - p(sentence)), p(sentence) a logistic function of its words."""
 
@@ -296,7 +283,7 @@ class NoisyOr:
             return 0, []
         low = text.lower()
         if self.held is None:
-            self.held = _Held(self.terms)
+            self.held = common.Kept(lambda w: tuple(t for f in features(w) if (t := self.terms.get(f)) is not None), KEPT_WORDS)
         of = self.held.__getitem__
         if not any(map(of, {*low.split()})):
             return sum(1 for s in SENTENCES.findall(low) if not s.isspace()), []
@@ -365,7 +352,7 @@ def toxicity_score(spark: SparkSession, model: NoisyOr):
     blob = spark.sparkContext.broadcast(pickle.dumps(model))  # at most MOST_TERMS words and weights
 
     def work(texts: pa.Array) -> pa.Array:
-        m = common.per_worker(lambda: pickle.loads(blob.value), "toxic" + common.digest_of(blob.value))
+        m = common.per_worker(lambda: pickle.loads(blob.value), "toxic" + common.digest_of(blob.value), "toxic")
         out = []
         for text in texts.to_pylist():
             score, bad = m.score(text)
