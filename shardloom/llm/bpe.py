@@ -14,6 +14,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from . import common
 #: A vocabulary file larger than this is not broadcast.
 MOST_VOCABULARY_BYTES = 256 << 20
 #: Chunks whose ids a worker keeps, in each of two generations.
-KEPT_CHUNKS = 120_000
+KEPT_CHUNKS = 200_000
 #: Characters that Python's split() takes for white space and \s of the vocabulary's pattern does not.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -84,14 +85,16 @@ class Tokenizer:
 
     def encode_chunk(self, chunk: str) -> tuple[bytes, str]:
         """The ids of a chunk as little-endian 32-bit integers, and the decoded text."""
-        plain = unicodedata.normalize("NFC", chunk)
+        plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
         plain = plain.lower() if "Σ" not in plain else plain.replace("Σ", "σ").lower()
         ids, table, symbols = [], self.ids, self.bytes
-        for piece in self.pattern.findall(plain):
+        # letters, and perhaps one mark after them: what the pattern finds is plain
+        whole = [plain] if plain.isalpha() else [plain[:-1], plain[-1]] if plain[-1] in ".,;:!?" and plain[:-1].isalpha() else None
+        for piece in whole or self.pattern.findall(plain):
             marks = [symbols[b] for b in piece.encode()]
             marks[-1] += self.suffix
             ids += self.merge([table[m] for m in marks if m in table])
-        return b"".join(i.to_bytes(4, "little") for i in ids), " ".join(map(self.strings.__getitem__, ids))
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(self.strings.__getitem__, ids))
 
     def parts(self, text: str) -> list[tuple[bytes, str]]:
         def plain(segment: str) -> list[tuple[bytes, str]]:
