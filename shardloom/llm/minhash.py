@@ -14,8 +14,12 @@ point is later than the latest register.
 Signatures are cut into bands; texts that agree in a band are candidates. Equal multisets are one node from the start,
 so exact copies cost a row each and no pair. Within a band's bucket members are not paired with each other: each is
 compared with a centre, the bucket's smallest node, and in further rounds, where a bucket still holds several classes,
-with other centres drawn by a hash. Every comparison is verified by the true overlap of the multisets, and classes are
-the connected components of verified links. All groupings aggregate before they shuffle.
+with other centres drawn by a hash. These rounds only join most members early. What they leave is compared exactly: each
+member of a bucket that still holds several classes has a stage, drawn by a hash so that each stage is twice as large as
+the one before, and stage by stage its members are compared with all members of the same and later stages that are not
+in their class. So any two texts that share a bucket are compared, or are linked through others; a bucket of n strangers
+takes the n^2 / 2 comparisons that this needs. Every comparison is verified by the true overlap of the multisets, and
+classes are the connected components of verified links. All groupings aggregate before they shuffle.
 Joins whose small side grows with the corpus are sort-merge joins at every size.
 
 Defined cases: null text is the empty text; texts without words are one class; rows of equal text are in one class;
@@ -37,8 +41,9 @@ SHINGLE, LEAST = 5, 0.8
 #: 24 bands of 5 registers: two texts of similarity 0.8 miss all bands with probability (1 - 0.8^5)^24 < 1e-4.
 BANDS, BAND = 24, 5
 REGISTERS = BANDS * BAND
-#: Rounds of centres.
+#: Rounds of centres before the exact stages, and members, about, of a bucket's first stage.
 ROUNDS = 3
+FIRST_STAGE = 16
 #: Words whose hashes a worker keeps, in each of two generations.
 KEPT_WORDS = 150_000
 
@@ -186,19 +191,46 @@ def classes(docs: DataFrame, least: float = LEAST, rounds: int = ROUNDS) -> Data
     some = members.select("node").distinct().join(nodes, "node").select("node", "k.*")
     texts = rows.select(*KEY, "text").hint("merge").join(some, KEY).groupBy("node").agg(F.first("text").alias("text"))
     texts = common.cut(texts, "texts")
-    tried = common.cut(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    tried = common.cut(members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
     links = common.cut(verified(tried, texts, least), "links")
     own = components(links)
+
+    def compare(pairs: DataFrame) -> None:
+        """Verify the pairs (node, b) that are new, and link what they show."""
+        nonlocal tried, links, own
+        new = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        new = common.cut(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if new.limit(1).count():
+            tried = tried.union(new)
+            more = common.cut(verified(new, texts, least), "links")
+            if more.limit(1).count():
+                links = links.union(more)
+                own = components(links)
+
+    def classed(rows: DataFrame) -> DataFrame:
+        return common.cut(rows.join(own, "node", "left").withColumn("class", F.coalesce("class", "node")), "held")
+
     for t in range(1, rounds):
-        held = members.select("band", "key", "node").join(own, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        held = common.cut(held, "held")
+        held = classed(members.select("band", "key", "node"))
         split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("x"), "node", "class")).alias("c")).where("lo <> hi").select("band", "key", F.col("c.node").alias("b"), F.col("c.class").alias("bc"))
-        pairs = held.join(common.cut(split, "centres"), ["band", "key"]).where("class <> bc").select(F.col("node").alias("a"), "b").distinct()
-        more = common.cut(verified(common.cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), texts, least), "links")
-        if not more.limit(1).count():
-            continue
-        links = links.union(more)
-        own = components(links)
+        compare(held.join(common.cut(split, "centres"), ["band", "key"]).where("class <> bc").select("node", "b"))
+    stage, left = 0, members.select("band", "key", "node")
+    while True:
+        held = classed(left)
+        split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+        if not stage:  # fixed once for each member: its place of n by a hash, about, which is alike in all its buckets
+            place = (F.xxhash64("node").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")) / F.lit(2.0**32)) * F.col("n")
+            deal = F.when(F.col("n") <= 2 * FIRST_STAGE, 0).otherwise(F.floor(F.log2(place / FIRST_STAGE + 1))).cast("int")
+            held = held.join(common.cut(split.select("band", "key", "n"), "split"), ["band", "key"]).select("band", "key", "node", "class", deal.alias("stage"))
+        else:
+            held = held.join(common.cut(split.select("band", "key"), "split"), ["band", "key"]).select("band", "key", "node", "class", "stage")
+        held = common.cut(held, "held")
+        centres = held.where(F.col("stage") == stage).select("band", "key", F.col("node").alias("b"), F.col("class").alias("bc"))
+        compare(held.join(centres.hint("merge"), ["band", "key"]).where("class <> bc").where((F.col("stage") > stage) | (F.col("node") < F.col("b"))).select("node", "b"))
+        left = common.cut(held.where(F.col("stage") > stage).drop("class"), "left")
+        if not left.limit(1).count():
+            break
+        stage += 1
     return common.cut(known.drop("bands").join(own, "node", "left").withColumn("class", F.coalesce("class", "node")), "classes")
 
 

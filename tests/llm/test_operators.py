@@ -424,6 +424,21 @@ def test_chains_are_one_class(spark):
     assert got == {0}
 
 
+def test_twins_among_strangers_of_a_template(spark, monkeypatch):
+    """Strangers of similarity 0.77 crowd the buckets; each twin (0.84) is found among them, in one stage or several."""
+    shared = [f"t{i}" for i in range(104)]
+    rows = []
+    for pair in range(70):
+        for half in (0, 1):
+            rows.append((2 * pair + half, " ".join([*shared, *[f"p{pair}x{i}" for i in range(5)], *[f"p{pair}h{half}x{i}" for i in range(10)]])))
+    want = {d: d - d % 2 for d, _ in rows}
+    assert [rows[k][0] for k in brute_classes(rows)] == [want[d] for d, _ in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for first in (100, 8):
+        monkeypatch.setattr(minhash, "FIRST_STAGE", first, raising=False)
+        assert {r.doc_id: r.class_id for r in minhash.with_ids(minhash.classes(df)).collect()} == want
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, none):
     found = minhash.with_ids(minhash.classes(awkward)).collect()
     assert len(found) == len(AWKWARD) and minhash.classes(none).count() == 0
