@@ -99,6 +99,36 @@ def test_block_tables_find_all(spark, radius, blocks):
     assert got == {(*a, *b, bits(a, b)) for a in rows for b in rows if bits(a, b) <= radius}
 
 
+@pytest.mark.parametrize(("radius", "blocks"), [(9, 8), (12, 16), (simhash.RADIUS, simhash.BLOCKS)])
+def test_wide_radius_finds_all(spark, radius, blocks):
+    """Also where every block differs."""
+    r = np.random.default_rng(radius)
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    some = []
+    for _ in range(4):
+        base = int.from_bytes(r.bytes(16), "big")
+        some.append(base)
+        for n in [*range(radius - 4, radius + 3)] * 3:
+            some.append(base ^ sum(1 << int(j) for j in r.choice(128, n, replace=False)))
+        even = [16 * b + int(j) for b in range(8) for j in r.choice(16, -(-radius // 8), replace=False)]
+        some.append(base ^ sum(1 << j for j in r.permutation(even)[:radius].tolist()))
+    rows = [(signed(x >> 64), signed(x & (1 << 64) - 1)) for x in some]
+    index = spark.createDataFrame(rows, "f1 long, f2 long")
+    queries = spark.createDataFrame(rows[:1], "q1 long, q2 long")
+    got = {(x.f1, x.f2): x.distance for x in simhash.near(queries, index, radius, blocks).collect()}
+    want = {row: n for row, x in zip(rows, some, strict=True) if (n := (x ^ some[0]).bit_count()) <= radius}
+    assert got == want and radius in want.values()
+
+
+def test_near_copies_are_counted(spark, tmp_path):
+    """Texts of similarity 0.8 to 0.9 are within the query's radius."""
+    w = [f"w{i}" for i in range(600)]
+    rows = [(100, " ".join(w))] + [(101 + k, " ".join([*[f"n{k}x{i}" for i in range(30 + 3 * k)], *w[30 + 3 * k :]])) for k in range(10)] + [(1, "other text that is far away from these")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.n_near for r in simhash.op1_simhash(spark, str(tmp_path)).collect()}
+    assert found.pop(100) == 10 and set(found.values()) == {None}
+
+
 @pytest.mark.parametrize("n", [1, 3, 50])
 def test_neighbours_in_any_buckets(spark, awkward, n):
     got = simhash.with_next(awkward, n).where("not last").collect()
