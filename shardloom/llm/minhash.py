@@ -43,7 +43,7 @@ BANDS, BAND = 24, 5
 REGISTERS = BANDS * BAND
 #: Rounds of centres before the exact stages, and members, about, of a bucket's first stage.
 ROUNDS = 3
-FIRST_STAGE = 16
+FIRST_STAGE = 32
 #: Words whose hashes a worker keeps, in each of two generations.
 KEPT_WORDS = 150_000
 
@@ -218,8 +218,8 @@ def classes(docs: DataFrame, least: float = LEAST, rounds: int = ROUNDS) -> Data
     while True:
         held = classed(left)
         split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-        if not stage:  # fixed once for each member: its place of n by a hash, about, which is alike in all its buckets
-            place = (F.xxhash64("node").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")) / F.lit(2.0**32)) * F.col("n")
+        if not stage:  # a stage is fixed once for each member: its place by a hash, about, of n
+            place = (F.xxhash64("node", "band", "key").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")) / F.lit(2.0**32)) * F.col("n")
             deal = F.when(F.col("n") <= 2 * FIRST_STAGE, 0).otherwise(F.floor(F.log2(place / FIRST_STAGE + 1))).cast("int")
             held = held.join(common.cut(split.select("band", "key", "n"), "split"), ["band", "key"]).select("band", "key", "node", "class", deal.alias("stage"))
         else:
