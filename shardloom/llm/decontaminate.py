@@ -8,7 +8,8 @@ automaton scans it once and its matches are word places, which map to offsets in
 The benchmark is collected and broadcast behind a check of its size. Beyond the limit its items are dealt into blocks,
 each with an automaton of its own, and every text is scanned once for each block.
 
-Defined cases: a null text has no words; null or empty items have no windows; items with equal text are each counted;
+Defined cases: a null text has no words; null or empty items have no windows; items of
+null item_id are left out, so their words hit nothing; items with equal text are each counted;
 repeated documents each get a row; an empty benchmark hits nothing; extra columns pass through.
 """
 
