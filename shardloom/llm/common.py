@@ -117,6 +117,18 @@ def sampled(rows: DataFrame, most: int, *keys: str) -> DataFrame:
     return hashed.orderBy("_ll_h", *keys).limit(most).drop("_ll_h")
 
 
+def refuse(docs: DataFrame, *names: str) -> None:
+    """Raise if docs has a column of one of these names, which an operator needs for itself."""
+    clash = sorted({c.lower() for c in docs.columns} & {n.lower() for n in names})
+    if clash:
+        raise ValueError(f"columns of these names are the operator's own: {', '.join(clash)}")
+
+
+def spans_as_text(found: DataFrame) -> DataFrame:
+    """removed as text: start-end of each span, comma-joined."""
+    return found.withColumn("removed", F.array_join(F.transform("removed", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))), ","))
+
+
 def digest_of(blob: bytes) -> str:
     return hashlib.sha256(blob).hexdigest()
 

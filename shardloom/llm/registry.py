@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, lm, mil, minhash, simhash, units
+from . import bpe, decontaminate, licenses, lm, mil, minhash, simhash, substrings, units
 
 
 def queries() -> dict:
@@ -12,7 +12,7 @@ def queries() -> dict:
         "op1_simhash": simhash.op1_simhash,
         "op2_bpe": bpe.op2_bpe,
         "op3_quality": mil.op3_quality,
-        "op4_substrings": units.op4_substrings,
+        "op4_substrings": substrings.op4_substrings,
         "op5_lm": lm.op5_lm,
         "op6_minhash": minhash.op6_minhash,
         "op7_toxicity": mil.op7_toxicity,
@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_substrings": units.ORACLE_UNITS, "op8_line_runs": units.ORACLE_RUNS, "op9_decontaminate": decontaminate.ORACLE}
+    return {"op4_substrings": substrings.ORACLE, "op8_line_runs": units.ORACLE_RUNS, "op9_decontaminate": decontaminate.ORACLE}
