@@ -48,7 +48,22 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(first, before)
-    return spark.read.options(**PLAIN_READS).schema(df.schema).parquet(path)
+    out = spark.read.options(**PLAIN_READS).schema(df.schema).parquet(path)
+    return same_table(path, out)
+
+
+def same_table(table: DataFrame | str, view: DataFrame) -> DataFrame:
+    """view, for drop() the same as the table of cut() that it reads."""
+    view.__dict__["_ll_path"] = table if isinstance(table, str) else table.__dict__["_ll_path"]
+    return view
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of cut() that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        at = context._jvm.org.apache.hadoop.fs.Path(table.__dict__["_ll_path"])
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import same
 from pyspark.sql import functions as F
@@ -455,7 +456,7 @@ def test_chains_are_one_class(spark):
 
 
 def test_twins_among_strangers_of_a_template(spark, monkeypatch):
-    """Strangers of similarity 0.77 crowd the buckets; each twin (0.84) is found among them, in one stage or several."""
+    """Strangers of similarity 0.77 crowd the buckets; each twin (0.84) is found among them, in one block or several."""
     shared = [f"t{i}" for i in range(104)]
     rows = []
     for pair in range(70):
@@ -464,11 +465,37 @@ def test_twins_among_strangers_of_a_template(spark, monkeypatch):
     want = {d: d - d % 2 for d, _ in rows}
     assert [rows[k][0] for k in brute_classes(rows)] == [want[d] for d, _ in rows]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for first in (100, 8):
-        monkeypatch.setattr(minhash, "FIRST_STAGE", first, raising=False)
+    for most, elements in ((512, 400_000), (8, 400_000), (512, 900)):
+        monkeypatch.setattr(minhash, "BLOCK_MEMBERS", most)
+        monkeypatch.setattr(minhash, "BLOCK_ELEMENTS", elements)
         assert {r.doc_id: r.class_id for r in minhash.with_ids(minhash.classes(df)).collect()} == want
 
 
+def test_forest_of_a_block_by_brute_force(monkeypatch):
+    """The links join what the overlaps join, with columns in several matrices, repeated runs and known classes."""
+    monkeypatch.setattr(minhash, "BLOCK_COLUMNS", 7)
+    r = np.random.default_rng(4)
+    for cross in (False, True):
+        texts = [" ".join(r.choice(["a", "b", "c"], int(r.integers(1, 30)))).encode() for _ in range(40)]
+        bags = [minhash.bag(t) for t in texts]
+        assert all(minhash.overlap(a, b) == pytest.approx(minhash.alike(minhash.bagged(pa.array([s])), minhash.bagged(pa.array([t])))[0].as_py()) for a, s in zip(bags, texts) for b, t in zip(bags[:9], texts))
+        second, known = np.arange(40) % 2, r.integers(0, 30, 40)
+        links = minhash.forest(np.arange(40), known, second, cross, [minhash.expanded(*b) for b in bags], 0.5)
+
+        def roots(edges):
+            up = [*range(40)]
+            find = lambda i: i if up[i] == i else find(up[i])
+            for i, j in edges:
+                up[find(i)] = find(j)
+            return [find(i) for i in range(40)]
+
+        same = [(i, j) for i in range(40) for j in range(i) if known[i] == known[j]]
+        real = [(i, j) for i in range(40) for j in range(i) if minhash.overlap(bags[i], bags[j]) >= 0.5 and (not cross or second[i] != second[j])]
+        assert {*map(tuple, map(sorted, links))} <= {*map(tuple, map(sorted, real))} and len(links) < 40
+        a, b = roots(links + same), roots(real + same)
+        assert all((a[i] == a[j]) == (b[i] == b[j]) for i in range(40) for j in range(i))
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, none):
     found = minhash.with_ids(minhash.classes(awkward)).collect()
     assert len(found) == len(AWKWARD) and minhash.classes(none).count() == 0
