@@ -47,7 +47,7 @@ REGISTERS = BANDS * BAND
 #: Rounds of centres before the exact comparison.
 ROUNDS = 2
 #: Members and elements of a block, about (a single text may be larger), and columns of a matrix at a time.
-BLOCK_MEMBERS, BLOCK_ELEMENTS, BLOCK_COLUMNS = 512, 400_000, 4_096
+BLOCK_MEMBERS, BLOCK_ELEMENTS, BLOCK_COLUMNS = 256, 400_000, 4_096
 #: Words whose hashes a worker keeps, in each of two generations.
 KEPT_WORDS = 150_000
 
