@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_substrings": substrings.ORACLE, "op8_line_runs": units.ORACLE_RUNS, "op9_decontaminate": decontaminate.ORACLE}
+    return {"op4_substrings": substrings.ORACLE, "op8_line_runs": units.ORACLE, "op9_decontaminate": decontaminate.ORACLE}

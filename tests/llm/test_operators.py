@@ -12,7 +12,7 @@ import pytest
 from conftest import same
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, decontaminate, licenses, lm, mil, minhash, registry, simhash, units
+from shardloom.llm import bpe, decontaminate, licenses, lm, mil, minhash, registry, simhash, substrings, units
 
 LONG = " ".join(f"w{i % 997}x" for i in range(30_000))
 PASSAGE = " ".join(f"passage{i}" for i in range(60))
@@ -269,23 +269,75 @@ def placed(rows):
 
 
 def test_units_of_awkward_rows(spark, awkward, none):
-    out = units.dedup_units(awkward)
+    out = substrings.dedup_units(awkward)
     rows = {(r.doc_id, r.text): r for r in out.collect()}
-    assert out.count() == len(AWKWARD) and units.dedup_units(none).count() == 0
+    assert out.count() == len(AWKWARD) and substrings.dedup_units(none).count() == 0
     kept = [r for r in rows.values() if PASSAGE in r.text]
-    assert [r.doc_id for r in kept] == [9] and rows[10, "own words ten"].removed == [(14, 14 + len(PASSAGE))]
+    assert [r.doc_id for r in kept] == [9] and rows[10, "own words ten\n"].removed == [(14, 14 + len(PASSAGE))]
+    assert rows[10, "own words ten\n"].removed_words == 60
     assert sorted(r.doc_id for r in rows.values() if r.text == LONG) == [6] and rows[7, ""].n_removed == 1
     assert "n_units" in out.columns and dict(out.dtypes)["n_units"] == "bigint"
     # later equal rows give way too
     twice = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE), (1, PASSAGE)], "doc_id long, text string")
-    assert sorted(r.text for r in units.dedup_units(twice).collect()) == ["", "", PASSAGE]
+    assert sorted(r.text for r in substrings.dedup_units(twice).collect()) == ["", "", PASSAGE]
     assert sorted(r.text for r in units.dedup_runs(twice).collect()) == ["", "", PASSAGE]
+    with pytest.raises(ValueError, match="_ll_k1"):
+        substrings.dedup_units(twice.withColumn("_LL_K1", F.lit(1)))
+
+
+def brute_units(rows, find, run_words, short):
+    """Spans of units that go; rows in order."""
+    seen, out = set(), {}
+    for d, t in rows:
+        cut, at = [], 0
+        for u in find(t):
+            p = " ".join(u.translate({i: i + 32 for i in range(65, 91)}).split(" ")).split()
+            cut.append((at, at + len(u), tuple(p)))
+            at += len(u)
+        assert at == len(t)
+        later, run, spans = [], [], []
+        for a, b, p in cut:
+            later.append(p in seen)
+            seen.add(p)
+        for (a, b, p), known in [*zip(cut, later), ((0, 0, ("end",)), False)]:
+            if p and known:
+                run.append((a, b, len(p)))
+            elif p:
+                if sum(n for _, _, n in run if n >= short) >= run_words:
+                    spans += [(a, b) for a, b, _ in run]
+                run = []
+        out[d] = spans
+    return out
+
+
+@pytest.mark.parametrize("kind, pattern", [("sentence", "[^.!?\n]*[.!?\n]+|[^.!?\n]+"), ("line", "[^\n]*\n|[^\n]+")])
+def test_passages_by_brute_force(spark, kind, pattern):
+    """Random sentences with passages planted in the middle of lines, blank units, and repeats within a text."""
+    r = np.random.default_rng(3)
+    pool = ["One two three four. ", "FIVE six!", " seven eight nine ten eleven twelve?\n", "\n", "  ", "é ü ß word. ", "No. ", "thirteen fourteen fifteen sixteen "]
+    rows = [(d, "".join(r.choice(pool, int(r.integers(0, 12))))) for d in range(80)]
+    got = {x.doc_id: x for x in substrings.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), kind, 9).collect()}
+    want = brute_units(rows, re.compile(pattern).findall, 9, substrings.SHORT)
+    assert sum(map(bool, want.values())) > 9  # else this shows little
+    for d, t in rows:
+        assert [tuple(x) for x in got[d].removed] == want[d], (d, t)
+        keep = [c for i, c in enumerate(t) if not any(a <= i < b for a, b in want[d])]
+        assert got[d].text == "".join(keep)
+
+
+def test_planted_passages_go_and_chance_repeats_stay(spark):
+    passage = "The first of these is long enough to tell. So is the second one of the lot.\nAnd here is a third with more words in it! Last comes this one, with a few more words again."
+    rows = [(1, f"Own opening words {passage} own closing words one."), (2, f"Other opening words here {passage} and other ends."), (3, "The first of these is long enough to tell. Yet this text goes on in its own way."), (None, passage)]
+    got = {x.doc_id: x for x in substrings.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[3].text == rows[2][1] and got[1].n_removed == got[3].n_removed == 0
+    assert got[2].text == "Other opening words here The first of these is long enough to tell. and other ends." and got[2].removed_words == 28
+    assert got[None].n_removed == 4 and got[None].text == ""
 
 
 def test_paragraphs(spark):
     df = spark.createDataFrame([(1, f"a\n\n{PASSAGE}\nx\n\nb"), (2, f"{PASSAGE.upper()}\nx\n\nc")], "doc_id long, text string")
-    rows = {r.doc_id: r for r in units.dedup_units(df, "paragraph").collect()}
-    assert rows[1].text == f"a\n\n{PASSAGE}\nx\n\nb" and rows[2].text == "c" and rows[2].removed == [(0, len(PASSAGE) + 2)]
+    rows = {r.doc_id: r for r in substrings.dedup_units(df, "paragraph").collect()}
+    assert rows[1].text == f"a\n\n{PASSAGE}\nx\n\nb" and rows[2].text == "c" and rows[2].removed == [(0, len(PASSAGE) + 4)]
 
 
 def brute_runs(rows, min_lines, run_words):
@@ -320,6 +372,38 @@ def test_runs_by_brute_force(spark, min_lines):
         assert [t[a:b] for a, b in out[d].removed] == [u for i, u in enumerate(parts) if (d, i) in gone]
 
 
+def brute_maximal(rows, min_lines):
+    """Maximal repeated runs, by growing every window while it stands anywhere else."""
+    lines = {d: [norm(u) for u in t.split("\n") if norm(u)] for d, t in rows}
+    out = {}
+    for d, own in lines.items():
+        reach = []
+        for j in range(len(own)):
+            n = 0
+            while j + n < len(own) and any((e, k) != (d, j) and x[k : k + n + 1] == own[j : j + n + 1] for e, x in lines.items() for k in range(len(x) - n)):
+                n += 1
+            reach.append(n)
+        out[d] = [(j, n) for j, n in enumerate(reach) if n >= min_lines and not (j and reach[j - 1] - 1 >= n)]
+    return out
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3])
+def test_maximal_runs_by_brute_force(spark, min_lines):
+    """Shared runs of 2 to 50 lines among lines of their own, periodic runs, copies, and runs that end a text."""
+    r = np.random.default_rng(min_lines)
+    rows = [(d, "\n".join(r.choice(["a", "B", "c  c", "", "d"], int(r.integers(1, 14))))) for d in range(25)]
+    for n in (2, 3, 7, 8, 9, 31, 50):
+        shared = [f"run {n} line {i}" for i in range(n)]
+        rows += [(1000 + 10 * n + k, "\n".join([f"own {n} {k}"] * (k > 0) + shared + [f"end {n} {k}"] * (k < 2))) for k in range(3)]
+    rows += [(5000, "\n".join(["x"] * 37)), (5001, "\n".join(["y", "z"] * 20 + ["y"])), (5002, "\n".join(["p"] * 5)), (5003, "\n".join(["x"] * 20)), (5004, "\n".join(["p"] * 5)), (5005, "\n\n")]
+    out = {x.doc_id: x for x in units.dedup_runs(spark.createDataFrame(rows, "doc_id long, text string"), min_lines, 99).collect()}
+    want = brute_maximal(rows, min_lines)
+    assert {d: [tuple(x) for x in out[d].runs] for d, _ in rows} == want
+    gone = brute_runs(rows, min_lines, 99)
+    for d, t in rows:
+        assert out[d].text == "\n".join(u for i, u in enumerate(t.split("\n")) if (d, i) not in gone), (d, t)
+
+
 def test_runs_of_awkward_rows(awkward, none):
     out = units.dedup_runs(awkward)
     assert out.count() == len(AWKWARD) and units.dedup_runs(none).count() == 0
