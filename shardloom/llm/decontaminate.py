@@ -5,17 +5,21 @@ of an item; an item of fewer words (but not none) is one window. Each distinct w
 character and every other word one reserved character, so a text is a string with a character for each word: the
 automaton scans it once and its matches are word places, which map to offsets in the original text.
 
-The benchmark is collected and broadcast behind a check of its size. Beyond the limit its items are dealt into blocks,
-each with an automaton of its own, and every text is scanned once for each block.
-
-Defined cases: a null text has no words; null or empty items have no windows; items of
-null item_id are left out, so their words hit nothing; items with equal text are each counted;
-repeated documents each get a row; an empty benchmark hits nothing; extra columns pass through.
+The benchmark is collected and broadcast behind a check of its size. Beyond the limit (of bytes, or of the distinct words
+that characters can stand for) its items are dealt into blocks, each with an automaton of its own, and every text is
+scanned once for each block; only the hits of further blocks are written, and joined back in the end.
+
+Defined cases: a null text has no words; null or empty items have no windows; items of null item_id hit like others and
+count as one item without an id in the list; items with equal text are each counted; very long texts and items are
+scanned whole; repeated documents each get a row; an empty benchmark hits nothing; extra columns pass through, but a
+column named `_ll_hit`, `_ll_k1` or `_ll_k2` is refused.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -82,7 +86,7 @@ class Windows:
 def scanner(spark: SparkSession, items: list[tuple[int, str]]):
     """Column function text -> struct(n_words, runs array<array<int>>, items array<long>, spans array<array<int>>); spans
     are offsets in characters of the original text."""
-    rows, key = spark.sparkContext.broadcast(items), "aho" + common.digest_of(repr(sorted(items)).encode())
+    rows, key = spark.sparkContext.broadcast(items), "aho" + common.digest_of(repr(sorted(items, key=repr)).encode())
 
     def work(texts: pa.Array) -> pa.Array:
         w = common.per_worker(lambda: Windows(rows.value), key, "aho")
@@ -93,33 +97,57 @@ def scanner(spark: SparkSession, items: list[tuple[int, str]]):
             if runs:
                 places = [m.span() for m in A_WORD.finditer(text.decode())]
                 spans = [[places[a][0], places[b - 1][1]] for a, b in runs]
-            out.append({"n_words": n, "runs": [[*r] for r in runs], "items": sorted(ids), "spans": spans})
+            out.append({"n_words": n, "runs": [[*r] for r in runs], "items": sorted(ids, key=lambda i: (i is None, i or 0)), "spans": spans})
         return pa.array(out, pa.struct([("n_words", pa.int64()), ("runs", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.list_(pa.int32())))]))
 
     return F.arrow_udf(work, "n_words long, runs array<array<int>>, items array<long>, spans array<array<int>>")
 
 
-def blocks_of(items: DataFrame, most_bytes: int) -> list[list[tuple[int, str]]]:
-    """The items in blocks that each fit an automaton."""
-    items = items.select(F.col("item_id").cast("long"), "text").where("text is not null and item_id is not null")
+def pieces(item_id: int | None, text: str, most_words: int) -> Iterator[tuple[int | None, str]]:
+    """An item in pieces of at most most_words words that overlap so that each window is whole in one."""
+    ws = words(text.encode())
+    if len(ws) <= most_words:
+        yield item_id, text
+        return
+    for at in range(0, len(ws) - WINDOW + 1, most_words - WINDOW + 1):
+        yield item_id, b" ".join(ws[at : at + most_words]).decode()
+
+
+def blocks_of(items: DataFrame, most_bytes: int, most_words: int = MOST_WORDS) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks that each fit an automaton; at least one block."""
+    items = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = -(-size // most_bytes) or 1
     dealt = items.withColumn("b", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    return ([(r[0], r[1]) for r in dealt.where(F.col("b") == b).collect()] for b in range(n))
-
-
-def scan(docs: DataFrame, items: DataFrame, most_bytes: int = MOST_BLOCK_BYTES) -> DataFrame:
-    """docs with _ll_hit: struct(n_words, runs, items, spans). No shuffle."""
-    out = None
-    for block in blocks_of(items, most_bytes):
-        found = scanner(docs.sparkSession, block)("text")
-        if out is None:
-            out = docs.withColumn("_ll_hit", found)
-            continue
-        both = common.cut(out, "aho").withColumn("_ll_more", found)
-        merged = {k: F.concat(f"_ll_hit.{k}", f"_ll_more.{k}") for k in ("runs", "items", "spans")}
-        out = both.withColumn("_ll_hit", F.struct(F.col("_ll_hit.n_words").alias("n_words"), *[v.alias(k) for k, v in merged.items()])).drop("_ll_more")
-    return out
+    for b in range(n):
+        block, known = [], set()
+        for row in dealt.where(F.col("b") == b).collect():
+            for piece in pieces(row[0], row[1], max(most_words // 2, WINDOW)):
+                new = {*words(piece[1].encode())}
+                if block and len(known | new) > most_words:
+                    yield block
+                    block, known = [], set()
+                block.append(piece)
+                known |= new
+        yield block
+
+
+def scan(docs: DataFrame, items: DataFrame, most_bytes: int = MOST_BLOCK_BYTES, most_words: int = MOST_WORDS) -> DataFrame:
+    """docs with _ll_hit: struct(n_words, runs, items, spans). No shuffle while the benchmark is one block."""
+    common.refuse(docs, "_ll_hit", "_ll_k1", "_ll_k2")
+    spark, blocks, more = docs.sparkSession, blocks_of(items, most_bytes, most_words), []
+    first = docs.withColumn("_ll_hit", scanner(spark, next(blocks))("text"))
+    text = F.coalesce("text", F.lit(""))
+    key = {"_ll_k1": F.xxhash64(text), "_ll_k2": F.xxhash64(F.lit(7), text)}
+    for block in blocks:
+        found = docs.select(*[v.alias(k) for k, v in key.items()], scanner(spark, block)("text").alias("h")).where(F.size("h.runs") > 0)
+        more.append(common.cut(found.select(*key, "h.runs", "h.items", "h.spans"), "hits"))
+    if not more:
+        return first
+    all_hits = reduce(DataFrame.unionByName, more).groupBy(*key).agg(*[F.array_distinct(F.flatten(F.collect_set(k))).alias(k) for k in ("runs", "items", "spans")])
+    both = first.withColumns(key).join(common.cut(all_hits, "hits").hint("merge"), [*key], "left")
+    merged = {k: F.concat(f"_ll_hit.{k}", F.coalesce(F.col(k), F.expr(f"slice(_ll_hit.{k}, 1, 0)"))) for k in ("runs", "items", "spans")}
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(F.col("_ll_hit.n_words").alias("n_words"), *[v.alias(k) for k, v in merged.items()]).alias("_ll_hit"))
 
 
 def n_hit(runs: Column) -> Column:

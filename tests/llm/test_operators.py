@@ -603,20 +603,21 @@ def test_windows_by_brute_force(spark):
     items = [(i, make(int(n))) for i, n in enumerate([0, 1, 2, 9, 10, 11, 12, 15])] + [(90, None), (91, make(3)), (None, "a b")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    for most in (1 << 20, 40):
-        got = Counter(tuple(x) for x in decontaminate.told(decontaminate.scan(d, b, most)).collect())
+    for most, distinct in ((1 << 20, decontaminate.MOST_WORDS), (40, decontaminate.MOST_WORDS), (1 << 20, 3)):
+        got = Counter(tuple(x) for x in decontaminate.told(decontaminate.scan(d, b, most, distinct)).collect())
         want = Counter()
         for i, t in docs:
             w, hit, ids = words(t), set(), set()
             for k, s in items:
                 own = words(s)
                 n = min(len(own), 10)
-                for a in range(len(own) - n + 1 if own and k is not None else 0):
+                for a in range(len(own) - n + 1 if own else 0):
                     for p in range(len(w) - n + 1):
                         if w[p : p + n] == own[a : a + n]:
                             hit |= {*range(p, p + n)}
-                            ids.add(str(k))
-            want[i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)] += 1
+                            ids.add(k)
+            said = ",".join(sorted(str(k) for k in ids if k is not None))
+            want[i, len(w), len(hit), len(ids), hashlib.sha256(said.encode()).hexdigest(), bool(hit)] += 1
         assert got == want
 
 
@@ -633,6 +634,17 @@ def test_decontamination_of_awkward_rows(spark, awkward, none):
     assert kept.columns == awkward.columns and kept.count() == len(AWKWARD) - 4
     assert decontaminate.clean(awkward, items.limit(0)).count() == len(AWKWARD)
     assert decontaminate.told(decontaminate.scan(none, items)).count() == 0
+    with pytest.raises(ValueError, match="_ll_hit"):
+        decontaminate.clean(awkward.withColumn("_ll_hit", F.lit(1)), items)
+
+
+def test_more_distinct_words_than_one_automaton_holds():
+    """An item of 50 distinct words, at most 24 of them in an automaton: every window of it is whole in some piece."""
+    text = " ".join(f"w{i}" for i in range(50))
+    cut = [words(t) for _, t in decontaminate.pieces(7, text, 12)]
+    assert all(len(c) <= 12 for c in cut)
+    assert {tuple(c[i : i + 10]) for c in cut for i in range(len(c) - 9)} == {tuple(words(text)[i : i + 10]) for i in range(41)}
+    assert [*decontaminate.pieces(None, "a b", 12)] == [(None, "a b")]
 
 
 def test_phrases_by_brute_force(spark, docs, awkward):
