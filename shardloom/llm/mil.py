@@ -1,12 +1,14 @@
 """Multiple-instance learning over texts: a quality classifier with gated attention and a toxicity scorer with noisy-or.
 
-Both learn from document labels only, on a bounded sample of labelled rows (the bound is a parameter); features of the
-sample are worked out on the executors and only they come to the driver. Scoring covers every row and every passage
-and sentence of it, where the row is read, with no shuffle.
+Both learn from document labels only, on a bounded sample of labelled rows (the bound is a parameter) with all their
+passages and sentences; features of the sample are worked out on the executors and only they come to the driver. Scoring
+covers every row and every passage and sentence of it, where the row is read, with no shuffle.
 
 Defined cases: a null text is the empty text, which is one empty passage (quality) or has no sentence and scores the
 model's base rate (toxicity); labels repeated for a doc_id count as their maximum, null labels not at all; repeated
-rows score alike; ties of scores do not matter; without both kinds of labels the score is the share of label 1.
+rows score alike; ties of scores do not matter; without both kinds of labels the score is the share of label 1; very long
+texts are scored whole; a text without blanks is one word; columns other than doc_id and text are not read, and
+keep_good() passes them through (a column named `_ll_score` is refused).
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from . import common
 
 #: Labelled rows that a model is fitted on, at most.
 MOST_SAMPLES = 8_000
-#: Words of a passage, and passages of a sample document that training uses, at most.
-PASSAGE, MOST_TRAIN_PASSAGES = 48, 200
+#: Words of a passage.
+PASSAGE = 48
 #: Words that a worker keeps.
 KEPT_WORDS = 200_000
 
@@ -121,6 +123,21 @@ class GatedAttention:
         z = np.add.reduceat(a[:, None] * h, starts, axis=0)
         return h, t, s, a, z, z @ p["c"] + p["d"]
 
+    def gradients(self, xs: np.ndarray, starts: np.ndarray, bag: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean logistic loss of the bags, by parameter."""
+        p = self.p
+        h, t, s, a, z, logit = self.forward(xs, starts, bag)
+        g = (1 / (1 + np.exp(-logit)) - y).astype(xs.dtype) / len(starts)
+        gz = g[:, None] * p["c"]
+        ga = (gz[bag] * h).sum(1)
+        ge = a * (ga - np.add.reduceat(a * ga, starts)[bag])
+        gts = ge[:, None] * p["a"]
+        gt, gs = gts * s * (1 - t * t), gts * t * s * (1 - s)
+        gh = a[:, None] * gz[bag] + gt @ p["V"].T + gs @ p["U"].T
+        gp = gh * (1 - h * h)
+        xn = (xs - self.mean) / self.scale
+        return {"W": xn.T @ gp, "b": gp.sum(0), "V": h.T @ gt, "U": h.T @ gs, "a": ((t * s) * ge[:, None]).sum(0), "c": z.T @ g, "d": g.sum(keepdims=True)}
+
     def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = 30, batch: int = 128, rate: float = 0.01) -> GatedAttention:
         x = np.concatenate(bags)
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-2
@@ -137,18 +154,7 @@ class GatedAttention:
                 sizes = np.array([len(b) for b in some])
                 starts, bag = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(some)), sizes)
                 xs = np.concatenate(some)
-                h, t, s, a, z, logit = self.forward(xs, starts, bag)
-                g = (1 / (1 + np.exp(-logit)) - y[chosen]).astype(np.float32) / len(some)
-                p = self.p
-                gz = g[:, None] * p["c"]
-                ga = (gz[bag] * h).sum(1)
-                ge = a * (ga - np.add.reduceat(a * ga, starts)[bag])
-                gts = ge[:, None] * p["a"]
-                gt, gs = gts * s * (1 - t * t), gts * t * s * (1 - s)
-                gh = a[:, None] * gz[bag] + gt @ p["V"].T + gs @ p["U"].T
-                gp = gh * (1 - h * h)
-                xn = (xs - self.mean) / self.scale
-                grads = {"W": xn.T @ gp, "b": gp.sum(0), "V": h.T @ gt, "U": h.T @ gs, "a": ((t * s) * ge[:, None]).sum(0), "c": z.T @ g, "d": g.sum(keepdims=True)}
+                p, grads = self.p, self.gradients(xs, starts, bag, y[chosen])
                 step += 1
                 lr = rate * (0.1 + 0.9 * (1 - epoch / epochs))
                 for k, gk in grads.items():
@@ -167,14 +173,9 @@ class GatedAttention:
 
 
 def passage_vectors(texts: pa.Array) -> pa.Array:
-    """Passages of sample documents as flat bytes; a very long one gives evenly spaced passages for training only."""
-    f, out = Passages(), []
-    for text in texts.to_pylist():
-        x = f.vectors(text)
-        if len(x) > MOST_TRAIN_PASSAGES:
-            x = x[np.linspace(0, len(x) - 1, MOST_TRAIN_PASSAGES).astype(int)]
-        out.append(x.astype(np.float16).tobytes())
-    return pa.array(out, pa.binary())
+    """All passages of sample documents as flat bytes."""
+    f = Passages()
+    return pa.array([f.vectors(text.as_py()).astype(np.float16).tobytes() for text in texts], pa.binary())
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLES) -> GatedAttention:
@@ -215,6 +216,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier does not reject, with docs' columns."""
+    common.refuse(docs, "_ll_score")
     model = fit_quality(docs, labels)
     return docs.withColumn("_ll_score", quality_score(docs.sparkSession, model)("text")).where(F.col("_ll_score") >= QUALITY_LEAST).select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -222,8 +224,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 # --- toxicity: noisy-or over sentences ------------------------------------------------------------------------------
 
 SENTENCES = re.compile(r"[^.!?\n]+")
-#: Words that the scorer weighs, at most, and in how many toxic sample documents one must stand.
-MOST_TERMS, LEAST_TOXIC = 4_000, 3
+#: In how many toxic sample documents a word must stand that the scorer weighs.
+LEAST_TOXIC = 3
 #: Standard deviations by which a word must stand in toxic documents more often than by chance.
 LIFT = 4.0
 #: Marks at the edges of a word, which do not belong to it.
@@ -234,6 +236,11 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCES.finditer(text or "") if not m[0].isspace()]
 
 
+def cut_words(low: str) -> list[str]:
+    """The words of all sentences of a lower-cased text: what no blank and no end of a sentence parts."""
+    return low.replace(".", " ").replace("!", " ").replace("?", " ").split()
+
+
 def features(word: str) -> list[str]:
     """What a word counts as: itself, and its first three and four letters where it is longer."""
     w = word.strip(EDGES)
@@ -285,7 +292,7 @@ class NoisyOr:
         if self.held is None:
             self.held = common.Kept(lambda w: tuple(t for f in features(w) if (t := self.terms.get(f)) is not None), KEPT_WORDS)
         of = self.held.__getitem__
-        if not any(map(of, {*low.split()})):
+        if not any(map(of, {*cut_words(low)})):
             return sum(1 for s in SENTENCES.findall(low) if not s.isspace()), []
         plain, found = 0, []
         for a, b in sentences(text):
@@ -320,7 +327,7 @@ def sample_terms(terms: list[str]):
 
 
 def distinct_words(texts: pa.Array) -> pa.Array:
-    return pa.array([sorted({f for w in {*(t or "").lower().split()} for f in features(w)}) for t in texts.to_pylist()], pa.list_(pa.string()))
+    return pa.array([sorted({f for w in {*cut_words((t or "").lower())} for f in features(w)}) for t in texts.to_pylist()], pa.list_(pa.string()))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLES) -> NoisyOr:
@@ -335,7 +342,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLES) -
     words = sample.select("y", F.explode(F.arrow_udf(distinct_words, "array<string>")("text")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t"))
     share = n_toxic / n
     lift = F.col("t") - F.col("n") * share - LIFT * F.sqrt(F.col("n") * share)
-    terms = words.where((F.col("t") >= LEAST_TOXIC) & (lift > 0)).orderBy(lift.desc(), "w").limit(MOST_TERMS).collect()
+    terms = words.where((F.col("t") >= LEAST_TOXIC) & (lift > 0)).collect()  # at most the words of the sample's toxic documents
     terms.sort(key=lambda r: r.w)
     model = NoisyOr([r.w for r in terms])
     # from the words' own odds: where toxic words stand together, one would otherwise explain the others away
@@ -349,7 +356,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLES) -
 
 def toxicity_score(spark: SparkSession, model: NoisyOr):
     """Column function text -> struct(score, offending array<struct(start, end, score)>), offsets in characters."""
-    blob = spark.sparkContext.broadcast(pickle.dumps(model))  # at most MOST_TERMS words and weights
+    blob = spark.sparkContext.broadcast(pickle.dumps(model))  # at most the words of the sample's toxic documents
 
     def work(texts: pa.Array) -> pa.Array:
         m = common.per_worker(lambda: pickle.loads(blob.value), "toxic" + common.digest_of(blob.value), "toxic")

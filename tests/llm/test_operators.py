@@ -218,7 +218,72 @@ def test_labels_of_held_out_rows_are_never_read(spark, sf):
             assert one(a) == one(b)
 
 
-def test_gradients_of_gated_attention():
+def bags_of(seed, n=9, d=5):
+    r = np.random.default_rng(seed)
+    bags = [r.standard_normal((int(k), d)) for k in r.integers(1, 6, n)]
+    sizes = np.array([len(b) for b in bags])
+    return bags, np.concatenate(bags), np.cumsum(sizes) - sizes, np.repeat(np.arange(n), sizes), r.integers(0, 2, n).astype(float)
+
+
+def wide_model(x, d=5):
+    m = mil.GatedAttention(seed=3, hidden=4, gate=3)
+    m.mean, m.scale = x.mean(0), x.std(0)
+    m.start(d)
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    return m
+
+
+def test_gated_attention_by_hand():
+    """The forward pass against loops over passages."""
+    bags, x, starts, bag, _ = bags_of(1)
+    m = wide_model(x)
+    p = m.p
+    for b, got in zip(bags, m.scores(bags), strict=True):
+        hs = [[np.tanh(sum((v[i] - m.mean[i]) / m.scale[i] * p["W"][i, k] for i in range(5)) + p["b"][k]) for k in range(4)] for v in b]
+        e = [sum(p["a"][g] * np.tanh(sum(h[k] * p["V"][k, g] for k in range(4))) / (1 + np.exp(-sum(h[k] * p["U"][k, g] for k in range(4)))) for g in range(3)) for h in hs]
+        a = [np.exp(v) / sum(map(np.exp, e)) for v in e]
+        z = [sum(w * h[k] for w, h in zip(a, hs)) for k in range(4)]
+        assert got == pytest.approx(1 / (1 + np.exp(-(sum(z[k] * p["c"][k] for k in range(4)) + p["d"][0]))))
+
+
+def test_gradients_by_differences():
+    _, x, starts, bag, y = bags_of(2)
+    m = wide_model(x)
+
+    def loss():
+        logit = m.forward(x, starts, bag)[-1]
+        return np.mean(np.logaddexp(0, logit) - y * logit)
+
+    found = m.gradients(x, starts, bag, y)
+    for k, v in m.p.items():
+        for at in np.ndindex(v.shape):
+            was, e = v[at], 1e-6
+            v[at] = was + e
+            up = loss()
+            v[at] = was - e
+            down = loss()
+            v[at] = was
+            assert found[k][at] == pytest.approx((up - down) / (2 * e), abs=1e-7), (k, at)
+
+
+def test_words_glued_to_sentence_ends_count_alike():
+    """A text is looked up as it is cut: the quick look finds a term wherever the cut does."""
+    m = mil.NoisyOr(["moron", "^idi"])
+    m.w = np.array([9.0, 9.0])
+    assert m.text_terms("you.moron!")[1] == [(4, 9, [0])] and m.score("end.idiot")[0] > 0.5
+    assert mil.distinct_words(pa.array(["you.moron!x"])).to_pylist() == [sorted({"you", "moron", "^mor", "^moro", "x"})]
+    r = np.random.default_rng(5)
+    for _ in range(400):
+        text = "".join(r.choice(["moron", "idiot", "fine", ".", "!", "?", "\n", " ", "(", "é", "\u2003"], int(r.integers(0, 9))))
+        plain, found = 0, []
+        for a, b in mil.sentences(text):
+            held = sorted({m.terms[f] for w in text[a:b].lower().split() for f in mil.features(w) if f in m.terms})
+            found += [(a, b, held)] if held else []
+            plain += not held
+        assert m.text_terms(text) == (plain, found), text
+
+
+def test_training_separates_bags():
     """Training separates bags by one telling passage."""
     r = np.random.default_rng(0)
     bags = [r.standard_normal((int(n), 6)).astype(np.float32) for n in r.integers(1, 9, 300)]
