@@ -44,8 +44,8 @@ def absolute(path: str) -> str:
 @dataclass
 class Options:
     """All parameters of download(). What Spark decides itself (distributor, subjob_size, processes_count,
-    max_shard_retry) is accepted and warned about; image parameters act through dimension columns, since no codec is
-    at hand."""
+    max_shard_retry) is accepted and warned about. Image parameters act where disable_all_reencoding is off; PNG is built
+    in, other codecs are given to download()."""
 
     url_list: str
     output_folder: str = "images"
@@ -121,6 +121,10 @@ class Options:
         for name, default in (("processes_count", 1), ("subjob_size", None), ("max_shard_retry", 1)):
             if getattr(self, name) != default:
                 warnings.warn(f"{name} is left to Spark's own configuration", stacklevel=3)
+        if self.disable_all_reencoding:
+            for name, default in (("image_size", 256), ("resize_mode", "border"), ("resize_only_if_bigger", False), ("skip_reencode", False), ("min_image_size", 0), ("max_image_area", math.inf), ("max_aspect_ratio", math.inf), ("bbox_col", None)):
+                if getattr(self, name) != default:
+                    warnings.warn(f"{name} has no effect while disable_all_reencoding is set", stacklevel=3)
         if self.enable_wandb:
             warnings.warn("there is no telemetry; see streaming.monitor for reports", stacklevel=3)
         if self.distributor != "pyspark":

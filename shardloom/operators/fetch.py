@@ -7,7 +7,8 @@ join (fetch_lookup). Whatever goes wrong with a row becomes its error message; n
 from __future__ import annotations
 
 import urllib.request
-from collections.abc import Callable, Iterator, Sequence
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import islice
@@ -59,7 +60,8 @@ class HttpFetcher:
                 size = reply.headers.get("Content-Length")
                 if self.max_bytes is not None and size is not None and int(size) > self.max_bytes:
                     return Reply(error=TOO_LARGE)
-                return Reply(body=reply.read())
+                body = reply.read() if self.max_bytes is None else reply.read(self.max_bytes + 1)
+                return Reply(error=TOO_LARGE) if self.max_bytes is not None and len(body) > self.max_bytes else Reply(body=body)
         except Exception as e:  # every failure is the row's own outcome
             return Reply(error=str(e))
 
@@ -76,19 +78,20 @@ def with_retries(fetch: Callable[[str], Reply], url: str, retries: int) -> Reply
     raise AssertionError
 
 
-def windowed(pool: ThreadPoolExecutor, work: Callable, items: Sequence, ahead: int) -> Iterator:
-    """work over items in order, with at most `ahead` of them begun and not yet taken."""
-    rest, begun = iter(items), []
-    begun = [pool.submit(work, x) for x in islice(rest, ahead)]
+def windowed(pool: ThreadPoolExecutor, work: Callable, items: Iterable, ahead: int) -> Iterator:
+    """work over items in order, with at most `ahead` of them begun and not yet taken; items are taken as they are begun."""
+    rest = iter(items)
+    begun = deque(pool.submit(work, x) for x in islice(rest, ahead))
     while begun:
-        done = begun.pop(0).result()
-        begun += [pool.submit(work, x) for x in islice(rest, 1)]
+        done = begun.popleft().result()
+        begun.extend(pool.submit(work, x) for x in islice(rest, 1))
         yield done
 
 
 def fetched(df: DataFrame, fetch: Callable[[str], Reply], payload: str, threads: int = 256, retries: int = 0, batch_rows: int = 256) -> DataFrame:
-    """df (with url) and payload, error_message, fetched_at_start and fetched_at_end (seconds). Rows are taken
-    batch_rows at a time, so that a batch of bodies stays far below Arrow's limit; at most 2 * threads replies wait."""
+    """df (with url) and payload, error_message, start_time and end_time (seconds). Rows go on batch_rows at a time, so
+    that a batch of bodies stays far below Arrow's limit. One window of fetches runs over all batches of a task: a slow
+    reply holds back the rows behind it, but up to 4 * threads of them are fetched meanwhile, whatever their batch."""
     import time
 
     extra = [T.StructField(payload, T.BinaryType()), T.StructField("error_message", T.StringType()), T.StructField("start_time", T.DoubleType()), T.StructField("end_time", T.DoubleType())]
@@ -96,18 +99,30 @@ def fetched(df: DataFrame, fetch: Callable[[str], Reply], payload: str, threads:
         raise ValueError(f"columns {sorted(taken)} are made by fetching")
 
     def work(batches):
-        with ThreadPoolExecutor(threads) as pool:
+        begun: deque[tuple[pa.RecordBatch, float]] = deque()
+
+        def urls():
             for whole in batches:
                 for at in range(0, whole.num_rows, batch_rows):
-                    batch, start = whole.slice(at, batch_rows), time.time()
-                    urls = batch.column(batch.schema.get_field_index("url")).to_pylist()
-                    one = lambda u: with_retries(fetch, u, retries) if u is not None else Reply(error="url is null")
-                    replies, ends = [], []
-                    for reply in windowed(pool, one, urls, 2 * threads):
-                        replies.append(reply)
-                        ends.append(time.time())
-                    columns = [pa.array([r.body for r in replies], pa.binary()), pa.array([None if r.body is not None else r.error or "no reply" for r in replies], pa.string()), pa.array([start] * len(urls), pa.float64()), pa.array(ends, pa.float64())]
-                    yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(f.name for f in extra)])
+                    batch = whole.slice(at, batch_rows)
+                    begun.append((batch, time.time()))
+                    yield from batch.column(batch.schema.get_field_index("url")).to_pylist()
+
+        def one(url):
+            reply = with_retries(fetch, url, retries) if url is not None else Reply(error="url is null")
+            return reply, time.time()
+
+        with ThreadPoolExecutor(threads) as pool:
+            replies, ends = [], []
+            for reply, end in windowed(pool, one, urls(), 4 * threads):
+                replies.append(reply)
+                ends.append(end)
+                if len(replies) < begun[0][0].num_rows:
+                    continue
+                batch, start = begun.popleft()
+                columns = [pa.array([r.body for r in replies], pa.binary()), pa.array([None if r.body is not None else r.error or "no reply" for r in replies], pa.string()), pa.array([start] * len(replies), pa.float64()), pa.array(ends, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(f.name for f in extra)])
+                replies, ends = [], []
 
     return df.mapInArrow(work, T.StructType([*df.schema.fields, *extra]))
 

@@ -29,7 +29,7 @@ def first_hosts(hosts: DataFrame, n: int) -> DataFrame:
 def drawn_hosts(hosts: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n hosts in an order drawn from the seed, or none at all if there are fewer."""
     enough = hosts.agg((F.count(F.lit(1)) >= n).alias("_enough"))  # one row
-    return hosts.crossJoin(F.broadcast(enough)).where("_enough").orderBy(F.xxhash64("host", F.lit(seed)), "host").limit(n).select("host")
+    return hosts.crossJoin(F.broadcast(enough)).where("_enough").orderBy(F.md5(F.concat("host", F.lit(f":{seed}"))), "host").limit(n).select("host")
 
 
 def setup(hosts: DataFrame, clusters: DataFrame, cluster_id: str, num_nodes: int, mem_gb: int, port: int = 8080) -> DataFrame:
@@ -57,9 +57,10 @@ def tail(state: DataFrame, n: int) -> DataFrame:
 
 def without(state: DataFrame, gone: DataFrame) -> DataFrame:
     """state after the hosts of gone are released."""
-    left = gone.agg(F.collect_list("host").alias("_gone"))  # bounded by the workers released
-    workers = F.array_except("workers", "_gone")
-    return state.crossJoin(F.broadcast(left)).withColumns({"workers": workers, "num_workers": F.size(workers)}).drop("_gone")
+    each = state.select("cluster_id", F.posexplode("workers").alias("_at", "host")).join(gone.select("host").distinct(), "host", "left_anti")
+    left = each.groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "host"))), lambda x: x["host"]).alias("_left"))
+    workers = F.coalesce("_left", F.array().cast("array<string>"))
+    return state.join(left, "cluster_id", "left").select(*[{"workers": workers, "num_workers": F.size(workers)}.get(c, F.col(c)).alias(c) for c in state.columns])
 
 
 def killed(state: DataFrame) -> DataFrame:

@@ -252,16 +252,17 @@ class Resizer:
 _RESULT = "payload binary, width long, height long, original_width long, original_height long, error string"
 
 
-def resize(df: DataFrame, payload: str, resizer: Resizer) -> DataFrame:
-    """df (with error_message): payloads resized, with width, height, original_width and original_height."""
+def resize(df: DataFrame, payload: str, resizer: Resizer, boxes: str | None = None) -> DataFrame:
+    """df (with error_message): payloads resized, with width, height, original_width and original_height. boxes: a column
+    of boxes that the resizer's blurrer is given."""
 
-    def work(payloads: pa.Array) -> pa.Array:
+    def work(payloads: pa.Array, boxed: pa.Array) -> pa.Array:
         names = [n.split(" ")[0] for n in _RESULT.split(", ")]
         kinds = [pa.binary(), *[pa.int64()] * 4, pa.string()]
-        rows = [resizer(x) for x in payloads.to_pylist()]
+        rows = [resizer(x.as_py(), b.as_py()) for x, b in zip(payloads, boxed, strict=True)]
         columns = list(zip(*rows, strict=True)) or [()] * 6
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    told = df.withColumn("_out", F.arrow_udf(work, _RESULT)(payload))
+    told = df.withColumn("_out", F.arrow_udf(work, _RESULT)(payload, boxes if boxes else F.lit(None).cast("string")))
     columns = {c: F.col(f"_out.{c}") for c in ("width", "height", "original_width", "original_height")}
     return told.withColumns({"error_message": F.coalesce("error_message", "_out.error"), payload: F.col("_out.payload")} | columns).drop("_out")

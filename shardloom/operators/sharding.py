@@ -13,12 +13,16 @@ MOST_BROADCAST_FILES = 1_000_000
 
 
 def with_row_index(df: DataFrame) -> DataFrame:
-    """Rows numbered from 0 within their file. Parquet scans know the number; other formats are numbered by a window for
-    each file over (split, order in the split). One text file is one task there, so large text should become Parquet."""
+    """Rows numbered from 0 within their file; df comes straight from a scan. Parquet scans know the number. Rows of other
+    formats have a running number within their task, where a split's rows stand together, so a row for each split is
+    enough to know what comes before it: rows are not shuffled, however large a file is."""
     if INDEX in df.columns:
         return df
-    order = Window.partitionBy(FILE).orderBy(BLOCK, "_seq")
-    return df.withColumn("_seq", F.monotonically_increasing_id()).withColumn(INDEX, (F.row_number().over(order) - 1).cast("long")).drop("_seq")
+    rows = df.withColumn("_seq", F.monotonically_increasing_id())
+    splits = rows.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_least"))
+    before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(FILE, BLOCK, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_start"))
+    return rows.join(starts, [FILE, BLOCK]).withColumn(INDEX, (F.col("_seq") + F.col("_start")).cast("long")).drop("_seq", "_start")
 
 
 def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0) -> DataFrame:

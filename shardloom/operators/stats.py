@@ -54,12 +54,17 @@ def speed_report(stats: DataFrame) -> DataFrame:
     return with_ratios(per.unionByName(total))
 
 
-def running_totals(stats: DataFrame, order: Column | str = "end_time") -> DataFrame:
-    """Totals over the shards finished so far, a row for each shard. Shards are few beside samples; they are ordered in
-    one place."""
-    w = Window.orderBy(order, "shard_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = [F.sum(c).over(w).alias(f"total_{c}") for c in ("count", "successes", "failed_to_download", "failed_to_resize")]
-    return stats.select("shard_id", "end_time", *totals, F.min("start_time").over(w).alias("first_start"))
+def running_totals(stats: DataFrame, span: float = 600.0) -> DataFrame:
+    """Totals over the shards finished so far, a row for each shard. Spans of `span` seconds are summed first; only a row
+    for each span is ordered in one place, and shards are ordered within their span."""
+    counts = ("count", "successes", "failed_to_download", "failed_to_resize")
+    rows = stats.withColumn("_span", F.coalesce(F.floor(F.col("end_time") / span), F.lit(-(2**62))))
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy("_span").agg(*[F.sum(c).alias(f"_{c}") for c in counts], F.min("start_time").alias("_first"))
+    spans = spans.select("_span", *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in counts], F.min("_first").over(before).alias("_first"))
+    within = Window.partitionBy("_span").orderBy("end_time", "shard_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = [(F.sum(c).over(within) + F.col(f"_{c}")).alias(f"total_{c}") for c in counts]
+    return rows.join(spans, "_span").select("shard_id", "end_time", *totals, F.least(F.min("start_time").over(within), F.col("_first")).alias("first_start"))
 
 
 def merged_status(stats: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """The whole job: URL table -> shards and keys -> shards not yet done -> fetch -> outcomes -> containers -> statistics.
 
 Fetching is costly and not repeatable, so its rows are written once to a staging table in the output folder; containers,
-metadata and statistics are derived from that. A shard counts as done when its statistics file stands, which is written
-last.
+metadata and statistics are derived from that, and only then is it deleted: a run that dies in between leaves it, and the
+next run takes it up instead of fetching again. A shard counts as done when its statistics file stands, which is written
+last; a container that is written again takes the place of the one before.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Options
-from ..operators import classify, fetch, sharding
+from ..operators import classify, fetch, images, sharding
 from ..operators.stats import shard_stats
 from ..sinks.containers import write_dataset, write_stats
 from ..sources.tables import url_table
+from ..streaming import monitor
 from ..streaming.monitor import done_shards
 
 
@@ -35,51 +37,97 @@ def planned(spark: SparkSession, options: Options, done: DataFrame | None = None
     return sharding.with_key(sharded, options.magnitude, options.oom_shard_count)
 
 
-def outcomes(df: DataFrame, options: Options) -> DataFrame:
-    """Hash checks and status after a fetch."""
+def outcomes(df: DataFrame, options: Options, codecs: dict | None = None) -> DataFrame:
+    """Hash checks, pictures where they are to be worked on, and status after a fetch. codecs: decoders, encoders and
+    blurrer of images.Resizer beyond the built-in ones."""
     payload = options.encode_format
     if options.verify_hash:
         df = classify.verify_hash(df, options.verify_hash[0], options.verify_hash[1], payload)
     if options.compute_hash:
         df = classify.with_hash(df, options.compute_hash, payload)
-    return classify.with_status(df, payload)
+    if options.disable_all_reencoding:
+        return classify.with_status(df, payload)
+    fetched = df.withColumn("_fetched", F.col("error_message").isNull() & F.col(payload).isNotNull())
+    resizer = images.Resizer(
+        size=options.image_size, mode=options.resize_mode, only_if_bigger=options.resize_only_if_bigger, up=options.upscale_interpolation, down=options.downscale_interpolation, encode_format=options.encode_format, quality=options.encode_quality,
+        skip_reencode=options.skip_reencode, min_size=options.min_image_size, max_area=options.max_image_area, max_aspect=options.max_aspect_ratio, **(codecs or {}),
+    )
+    worked = images.resize(fetched, payload, resizer, options.bbox_col)
+    bad = F.col("_fetched") & F.col("error_message").isNotNull()
+    return classify.with_status(worked, payload).withColumn("status", F.when(bad, classify.NOT_RESIZED).otherwise(F.col("status"))).drop("_fetched")
 
 
-def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None) -> DataFrame:
-    """Run the job; returns the metadata of the rows it wrote. store (url, body) replaces the network."""
+def finished(spark: SparkSession, options: Options, staging: str) -> str:
+    """Write what a staging table holds of shards that are not done, statistics last, then let the table go; the folder of
+    the metadata of its rows."""
+    fs, at = _path(spark, staging)
+    payload = options.encode_format
+    whole = sharding.remaining(spark.read.parquet(staging), done_shards(spark, options.output_folder))
+    meta = [c for c in whole.columns if c not in ("start_time", "end_time", payload, "shard_id", "key", "status", "error_message")]
+    data = whole.select("shard_id", *meta, "key", "status", "error_message", payload)
+    kept = f"{options.output_folder}/_runs/{at.getName()}"
+    data.drop(payload, "shard_id").write.mode("overwrite").parquet(kept)
+    if whole.limit(1).count():
+        write_dataset(data, options.output_folder, options.output_format, payload, bool(options.caption_col), options.oom_shard_count)
+        write_stats(shard_stats(whole), options.output_folder, options.oom_shard_count)
+    fs.delete(at, True)
+    return kept
+
+
+def left_over(spark: SparkSession, options: Options) -> list[str]:
+    """Whole staging tables of runs that died after their fetch; those that were not written to the end are deleted."""
+    fs, at = _path(spark, options.output_folder)
+    found = []
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if not name.startswith("_staging_"):
+            continue
+        folder = f"{options.output_folder}/{name}"
+        if fs.exists(_path(spark, f"{folder}/_SUCCESS")[1]):
+            found.append(folder)
+        else:
+            fs.delete(status.getPath(), True)
+    return sorted(found)
+
+
+def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False) -> DataFrame:
+    """Run the job; returns the metadata of the rows it wrote, those of an earlier run that died after its fetch among
+    them. store (url, body) replaces the network. With monitoring, totals of the statistics files go to the in-memory
+    table job_totals while shards finish, and once more in the end."""
     fs, at = _path(spark, options.output_folder)
     if options.incremental_mode == "overwrite" and fs.exists(at):
         fs.delete(at, True)
     fs.mkdirs(at)
-    done = done_shards(spark, options.output_folder)
-    if options.incremental_mode == "extend":
-        options.start_shard_id = sharding.next_shard(done).first()[0]
-        done = None
-    rows = planned(spark, options, done).drop("idx")
-    payload = options.encode_format
-    if store is not None:
-        got = fetch.fetch_lookup(rows, store, payload).withColumns({"start_time": F.unix_micros(F.current_timestamp()) / 1e6, "end_time": F.unix_micros(F.current_timestamp()) / 1e6})
-        got = got.withColumn("error_message", F.coalesce("error_message", classify.size_error(F.octet_length(F.col(payload)), options.max_bytes)))
-        got = got.withColumn(payload, F.when(F.col("error_message").isNull(), F.col(payload)))
-    else:
-        fetcher = fetcher or fetch.HttpFetcher(options.timeout, options.user_agent_token, options.disallowed_header_directives, options.max_bytes)
-        got = fetch.fetched(rows, fetcher, payload, options.thread_count, options.retries)
-    staging = f"{options.output_folder}/_staging_{uuid.uuid4().hex}"
-    outcomes(got, options).write.parquet(staging)
+    before = done_shards(spark, options.output_folder).collect()  # a row for each shard that is done
+    watch = None
+    if monitoring:
+        known = spark.createDataFrame([(r.shard_id,) for r in before], "shard_id long")
+        watch = monitor.start(spark, options.output_folder, "job_totals", f"{options.output_folder}/_monitor_{uuid.uuid4().hex}", done=known)
     try:
-        whole = spark.read.parquet(staging)
-        meta = [c for c in whole.columns if c not in ("start_time", "end_time", payload, "shard_id", "key", "status", "error_message")]
-        data = whole.select("shard_id", *meta, "key", "status", "error_message", payload)
-        if whole.limit(1).count():
-            write_dataset(data, options.output_folder, options.output_format, payload, bool(options.caption_col), options.oom_shard_count)
-            write_stats(shard_stats(whole), options.output_folder, options.oom_shard_count)
-        kept = f"{options.output_folder}/_runs/{uuid.uuid4().hex}"
-        data.drop(payload, "shard_id").write.parquet(kept)
+        kept = [finished(spark, options, staging) for staging in left_over(spark, options)]
+        done = done_shards(spark, options.output_folder)
+        if options.incremental_mode == "extend":
+            options.start_shard_id = sharding.next_shard(done).first()[0]
+            done = None
+        rows = planned(spark, options, done).drop("idx")
+        payload = options.encode_format
+        if store is not None:
+            got = fetch.fetch_lookup(rows, store, payload).withColumns({"start_time": F.unix_micros(F.current_timestamp()) / 1e6, "end_time": F.unix_micros(F.current_timestamp()) / 1e6})
+            got = got.withColumn("error_message", F.coalesce("error_message", classify.size_error(F.octet_length(F.col(payload)), options.max_bytes)))
+            got = got.withColumn(payload, F.when(F.col("error_message").isNull(), F.col(payload)))
+        else:
+            fetcher = fetcher or fetch.HttpFetcher(options.timeout, options.user_agent_token, options.disallowed_header_directives, options.max_bytes)
+            got = fetch.fetched(rows, fetcher, payload, options.thread_count, options.retries)
+        staging = f"{options.output_folder}/_staging_{uuid.uuid4().hex}"
+        outcomes(got, options, codecs).write.parquet(staging)
+        kept.append(finished(spark, options, staging))
     finally:
-        fs.delete(_path(spark, staging)[1], True)
-    return spark.read.schema(data.drop(payload, "shard_id").schema).parquet(kept)
+        if watch:
+            watch.processAllAvailable()  # the final count
+            watch.stop()
+    return spark.read.schema(spark.read.parquet(kept[-1]).schema).parquet(*kept)
 
 
-def download(spark: SparkSession, url_list: str, fetcher=None, store: DataFrame | None = None, **parameters) -> DataFrame:
+def download(spark: SparkSession, url_list: str, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False, **parameters) -> DataFrame:
     """Fetch the URLs of url_list and write them as sharded containers; parameters are those of Options."""
-    return materialize(spark, Options(url_list, **parameters), fetcher, store)
+    return materialize(spark, Options(url_list, **parameters), fetcher, store, codecs, monitoring)

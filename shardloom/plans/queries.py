@@ -6,18 +6,22 @@ the twin.
 
 from __future__ import annotations
 
+import gzip
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import DIRECTIVES, RESERVED
+from ..config import DIRECTIVES, INPUT_FORMATS, MEGABYTE, RESERVED, Options
 from ..functions import scalars
 from ..operators import classify, fetch, fleet, sharding, stats
 from ..sinks import containers
-from ..sources.tables import BLOCK, FILE, INDEX, canonical, column_list
+from ..sources import containers as made
+from ..sources import tables
+from ..sources.tables import BLOCK, FILE, INDEX
 from ..streaming import monitor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,7 +60,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select page_id, html as caption, url from pages")
 def canonicalize(spark, sf_dir):
-    return canonical(read(spark, sf_dir, "pages"), column_list("parquet", "url", "html", ["page_id"]))
+    return tables.url_table(spark, f"{sf_dir}/pages.parquet", "parquet", "url", "html", ["page_id"]).select("page_id", "caption", "url")
 
 
 @query("select url, page_id // 100 as shard_id, page_id % 100 as idx from pages")
@@ -71,9 +75,8 @@ def sample_key(spark, sf_dir):
 
 @query("with r as (select row_number() over (order by o_orderkey) - 1 as n from orders) select n // 1000 as shard_id, count(*)::bigint as n_rows, min(n % 1000)::bigint as first_idx, max(n % 1000)::bigint as last_idx from r group by 1")
 def shard_manifest(spark, sf_dir):
-    """orders as one file in order of keys: ids are 0, 1, ..., so the key is the position."""
-    shard, idx = sharding.positions(F.col("o_orderkey"), 1000)
-    return sharding.manifest(read(spark, sf_dir, "orders").select(shard.alias("shard_id"), idx.alias("idx")))
+    """orders is one file, so the scan's row number is the position."""
+    return sharding.manifest(sharding.with_shards(positioned(spark, sf_dir, "orders"), 1000))
 
 
 def two_files(spark, sf_dir):
@@ -228,14 +231,13 @@ _SAMPLES = "with s as (select event_id // 1000 as shard_id, case event_type when
 def samples(spark, sf_dir) -> DataFrame:
     """events as samples of shards of 1000: errors are failed fetches, sign-ups failed resizes."""
     kind, n = F.col("event_type"), F.col("event_id")
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     return read(spark, sf_dir, "events").select(
         F.floor(n / 1000).cast("long").alias("shard_id"), F.when(kind == "error", classify.NOT_FETCHED).when(kind == "signup", classify.NOT_RESIZED).otherwise(classify.SUCCESS).alias("status"),
-        F.when(kind == "error", F.concat(F.lit("HTTP "), (n % 5).cast("string"))).when(kind == "signup", classify.TOO_SMALL).alias("error_message"), utc(spark, seconds, "ts").alias("start_time"), utc(spark, seconds, "ts").alias("end_time"),
+        F.when(kind == "error", F.concat(F.lit("HTTP "), (n % 5).cast("string"))).when(kind == "signup", classify.TOO_SMALL).alias("error_message"), utc("ts").alias("start_time"), utc("ts").alias("end_time"),
     )
 
 
-def utc(spark, seconds, column):
+def utc(column):
     """Seconds of a zoneless timestamp, whatever the session's zone."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(column)) / 1e6
 
@@ -284,8 +286,7 @@ def merged_status(spark, sf_dir):
 
 def stats_folder(spark, sf_dir) -> str:
     """A folder of statistics files of the samples' shards, where all executors see it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    folder = f"{shared}/stats-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "stats")
     containers.write_stats(stats.shard_stats(samples(spark, sf_dir)), folder, 5)
     return folder
 
@@ -329,8 +330,31 @@ def meta_json(spark, sf_dir):
 
 @query("select n_nationkey, list_sort(list_intersect([lower(n_name), 'url', 'sha256', 'own'], [" + ", ".join(f"'{r}'" for r in RESERVED) + "]))[1] as first_taken, 2::bigint as n_taken from nation")
 def reserved_columns(spark, sf_dir):
-    taken = F.array_intersect(F.array(F.lower("n_name"), F.lit("url"), F.lit("sha256"), F.lit("own")), F.array(*[F.lit(r) for r in RESERVED]))
-    return read(spark, sf_dir, "nation").select("n_nationkey", F.array_min(taken).alias("first_taken"), F.size(taken).cast("long").alias("n_taken"))
+    """What Options says of additional columns that are taken; nation has a fixed number of rows."""
+    out = []
+    for row in read(spark, sf_dir, "nation").select("n_nationkey", F.lower("n_name").alias("n")).collect():
+        try:
+            Options("urls", save_additional_columns=[row.n, "url", "sha256", "own"])
+            out.append((row.n_nationkey, None, 0))
+        except ValueError as e:
+            taken = str(e).partition(": ")[2].split(", ")
+            out.append((row.n_nationkey, min(taken), len(taken)))
+    return spark.createDataFrame(out, "n_nationkey int, first_taken string, n_taken long")
+
+
+@query("select n_nationkey, length((n_nationkey * 97 + 1)::varchar)::bigint - case when n_nationkey * 97 + 1 in (1, 10, 100, 1000) then 1 else 0 end as magnitude, lower(n_name) as token, 'noai,noindex' as directives, '/tmp/' || n_name as folder, case when n_nationkey % 2 = 0 then 'one' end as refused from nation")
+def option_values(spark, sf_dir):
+    """Orders of magnitude, normalised tokens and directives, absolute paths, and hashes that do not agree."""
+    out = []
+    for row in read(spark, sf_dir, "nation").collect():
+        o = Options("urls", f"/tmp/{row.n_name}", number_sample_per_shard=row.n_nationkey * 97 + 1, user_agent_token=f"  {row.n_name} ", disallowed_header_directives=[" NoIndex", "noai ", "NOAI"])
+        said = None
+        try:
+            Options("urls", compute_hash="md5", verify_hash=("h", "sha256" if row.n_nationkey % 2 == 0 else "md5"))
+        except ValueError as e:
+            said = str(e).split(" ")[-2]
+        out.append((row.n_nationkey, o.magnitude, o.user_agent_token, ",".join(o.disallowed_header_directives), o.output_folder, said))
+    return spark.createDataFrame(out, "n_nationkey int, magnitude long, token string, directives string, folder string, refused string")
 
 
 @query("select s_suppkey, '10.0.' || (s_suppkey % 300) || '.1' as host, s_suppkey % 300 <= 255 as is_ip, replace('10.0.' || (s_suppkey % 300) || '.1', '.', '_') || '_80' as safe from supplier")
@@ -386,29 +410,240 @@ def release_hosts(spark, sf_dir):
     return state.select("cluster_id", "num_workers")
 
 
-# --- layouts of containers ------------------------------------------------------------------------------------------
+@query("with m as (select s_name, row_number() over (order by md5(s_name || ':7'), s_name) n, count(*) over () c from supplier) select s_name as host, 'enough' as asked from m where n <= 5 and c >= 5")
+def drawn_hosts(spark, sf_dir):
+    """Five hosts drawn by a seed; of more than there are none is drawn."""
+    some = hosts(spark, sf_dir)
+    too_many = fleet.drawn_hosts(some.where("s_suppkey < 3"), 1_000_000, 7)
+    return fleet.drawn_hosts(some, 5, 7).withColumn("asked", F.lit("enough")).unionByName(too_many.withColumn("asked", F.lit("too many")))
+
+
+@query("with f as (select s_name from supplier where s_nationkey % 3 = 0 order by s_name limit 2), g as (select s_nationkey, s_name from supplier union select n, s_name from f, (select distinct s_nationkey n from supplier)) select s_nationkey::varchar as cluster_id, string_agg(s_name, ',' order by s_name) as workers, count(*)::integer as num_workers from g group by 1")
+def added_nodes(spark, sf_dir):
+    """The first two free hosts join every cluster, once each."""
+    state = clusters(spark, sf_dir)
+    grown = fleet.added(state, fleet.first_hosts(fleet.free_hosts(hosts(spark, sf_dir), state), 2))
+    return grown.select("cluster_id", F.array_join(F.array_sort("workers"), ",").alias("workers"), "num_workers")
+
+
+@query("select s_nationkey::varchar as cluster_id, 'master-' || s_nationkey as master_node, count(*)::integer as num_workers, string_agg(s_name, ',' order by s_name) as workers from supplier where s_nationkey % 3 > 0 group by s_nationkey")
+def cluster_state_roundtrip(spark, sf_dir):
+    """States saved as files; those of running clusters read back."""
+    folder = new_folder(spark, "state")
+    fleet.save(clusters(spark, sf_dir), folder)
+    return tables.running_clusters(spark, folder).select("cluster_id", "master_node", "num_workers", F.array_join("workers", ",").alias("workers"))
+
+
+@query("select s_name as host from supplier")
+def hosts_csv(spark, sf_dir):
+    folder = new_folder(spark, "hosts")
+    hosts(spark, sf_dir).select("s_suppkey", "host").write.option("header", True).csv(folder)
+    return tables.hosts(spark, folder)
+
+
+@query("select n_name as id, (n_nationkey + 1)::integer as num_nodes, (n_regionkey * 8)::integer as mem_gb, case when n_nationkey % 2 = 0 then 'setup ' || n_name end as setup_script from nation")
+def cluster_config(spark, sf_dir):
+    folder = new_folder(spark, "config")
+    rows = read(spark, sf_dir, "nation").select(F.col("n_name").alias("id"), (F.col("n_nationkey") + 1).alias("num_nodes"), (F.col("n_regionkey") * 8).alias("mem_gb"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("setup "), "n_name")).alias("setup_script"))
+    text_files(rows.select(F.to_json(F.struct("*")).alias("line"), F.col("id").alias("file")), folder, "json")
+    return tables.cluster_config(spark, folder)
+
+
+@query("select 'h' || s_suppkey || '.net' as host from supplier where s_suppkey % 3 > 0")
+def dashboard_html(spark, sf_dir):
+    """A master page for each nation, its workers the suppliers there, every third of them dead."""
+    row = F.concat(F.lit("<tr>\n<td><a href='w'>"), F.col("s_suppkey").cast("string"), F.lit("</a></td><td> h"), F.col("s_suppkey").cast("string"), F.lit(".net:7078 </td><td>"), F.when(F.col("s_suppkey") % 3 > 0, "ALIVE").otherwise("DEAD"), F.lit("</td></tr>"))
+    pages_of = hosts(spark, sf_dir).groupBy("s_nationkey").agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
+    html = F.concat(F.lit("<html><table class='w'><thead><tr><th>Worker Id</th><th>Address</th><th>State</th></tr></thead>"), "rows", F.lit("</table><table><tr><th>State</th></tr><tr><td>ALIVE</td></tr></table>"))
+    return tables.alive_workers(tables.worker_table(pages_of.select(html.alias("html"))))
+
+
+@query("select '10.0.0.' || s_suppkey as host from supplier where s_suppkey % 4 > 0")
+def dashboard_json(spark, sf_dir):
+    """A reply for each nation; every fourth node has a null and is left out."""
+    node = F.concat(F.lit('{"ip": "10.0.0.'), F.col("s_suppkey").cast("string"), F.lit(' (head)", "state": '), F.when(F.col("s_suppkey") % 4 > 0, F.lit('"RUNNING"')).otherwise("null"), F.lit("}"))
+    body = F.concat(F.lit('{"result": true, "data": {"summary": ['), F.array_join(F.collect_list(node), ", "), F.lit("]}}"))
+    return tables.dashboard_nodes(hosts(spark, sf_dir).groupBy("s_nationkey").agg(body.alias("body")))
+
+
+# --- URL tables of all formats, written and read --------------------------------------------------------------------
+
+
+def new_folder(spark, name: str) -> str:
+    """A new folder where all executors see it."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.gettempdir()
+    return f"{found}/{name}-{uuid.uuid4().hex}"
+
+
+def text_files(lines: DataFrame, folder: str, ending: str, head: str | None = None, between: str = "\n", ends: tuple[str, str] = ("", "\n")) -> None:
+    """Files of lines (line, file) named file.ending, gzip-compressed where the ending says so; lines in their order."""
+
+    def work(batches):
+        fs, root = containers.filesystem(folder)
+        fs.create_dir(root, recursive=True)
+        held: dict[str, list[str]] = {}
+        for batch in batches:
+            for line, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(file, [] if head is None else [head]).append(line)
+        for file, own in held.items():
+            data = (ends[0] + between.join(own) + ends[1]).encode()
+            with fs.open_output_stream(f"{root}/{file}.{ending}", compression=None) as out:
+                out.write(gzip.compress(data) if ending.endswith(".gz") else data)
+        yield pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64())], names=["n"])
+
+    lines.select("line", "file").repartition("file").mapInArrow(work, "n long").agg(F.sum("n")).collect()
+
+
+def written_table(spark, sf_dir, kind: str) -> str:
+    """pages as URL tables of a format, in five files (page_id mod 5); captions hold quotes, line ends and nothing."""
+    rows = read(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 7 != 0, F.col("html")).otherwise("").alias("alt"), F.col("url").alias("link"), (F.col("page_id") % 5).cast("string").alias("file"))
+    folder, plain = new_folder(spark, "urls"), kind.removesuffix(".gz")
+    if plain == "parquet":
+        rows.drop("file").write.parquet(folder)
+        return folder
+    if plain == "txt":
+        text_files(rows.select(F.concat("link", F.when(F.col("page_id") % 3 == 0, F.lit("\n")).otherwise("")).alias("line"), "file"), folder, kind)
+    elif plain in ("csv", "tsv"):
+        sep = "," if plain == "csv" else "\t"
+        quoted = F.concat(F.lit('"'), F.regexp_replace("alt", '"', '""'), F.lit('"'))
+        text_files(rows.select(F.concat_ws(sep, F.col("page_id").cast("string"), quoted, "link").alias("line"), "file"), folder, kind, head=sep.join(("page_id", "alt", "link")))
+    elif plain == "json":
+        text_files(rows.select(F.to_json(F.struct("page_id", "alt", "link")).alias("line"), "file"), folder, kind, between=",\n", ends=("[", "]"))
+    else:
+        text_files(rows.select(F.to_json(F.struct("page_id", "alt", "link")).alias("line"), "file"), folder, kind)
+    return folder
+
+
+def reader(kind: str):
+    only_urls = kind.removesuffix(".gz") == "txt"
+
+    def read_back(spark, sf_dir):
+        table = tables.url_table(spark, written_table(spark, sf_dir, kind), kind, "link", None if only_urls else "alt", [] if only_urls else ["page_id"])
+        return table.select("url") if only_urls else table.select("page_id", F.md5("caption").alias("caption_md5"), "url")
+
+    read_back.__name__ = "read_" + kind.replace(".", "_")
+    query("select url from pages" if only_urls else "select page_id, md5(case when page_id % 7 <> 0 then html else '' end) as caption_md5, url from pages")(read_back)
+
+
+for _kind in INPUT_FORMATS:
+    reader(_kind)
+
+
+@query("select page_id % 5 as file, count(*)::bigint as n, min(idx)::bigint as first_idx, max(shard)::bigint as last_shard from (select page_id, (row_number() over (partition by page_id % 5 order by page_id) - 1) % 20 as idx, page_id % 5 * (select ceil(max(n) / 20) from (select count(*) n from pages group by page_id % 5)) + (row_number() over (partition by page_id % 5 order by page_id) - 1) // 20 as shard from pages) group by 1")
+def text_positions(spark, sf_dir):
+    """Shards of 20 rows over five text files of equal length; files in order of their names."""
+    folder = written_table(spark, sf_dir, "jsonl")
+    table = tables.url_table(spark, folder, "jsonl", "link", None, ["page_id"])
+    return sharding.with_shards(table, 20).groupBy((F.col("page_id") % 5).alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first_idx"), F.max("shard_id").alias("last_shard"))
 
-_MEMBERS = "select page_id // 100 as shard_id, printf('%07d', page_id) || '.' || e as member from pages, (select unnest(['bin', 'txt', 'json']) as e) where page_id % 6 <> 0"
+
+# --- containers, written and read back ------------------------------------------------------------------------------
 
 
 def stored(spark, sf_dir):
     return pages(spark, sf_dir).select("shard_id", "key", F.when(F.col("page_id") % 6 != 0, scalars.encoded(F.col("html"))).alias("bin"), F.col("url").alias("caption"))
 
 
-@query(_MEMBERS)
+def written(spark, sf_dir, output_format: str, captions: bool = True) -> str:
+    folder = new_folder(spark, output_format)
+    containers.write_dataset(stored(spark, sf_dir), folder, output_format, "bin", captions)
+    return folder
+
+
+#: Members of each shard with the digests of their bytes; the sidecar is told byte by byte.
+_BYTES = """
+with p as (select *, printf('%05d', page_id // 100) as shard, printf('%07d', page_id) as key from pages where page_id % 6 <> 0),
+m as (select shard, key, 'bin' as e, html as body from p union all select shard, key, 'txt', url from p
+  union all select shard, key, 'json', '{' || chr(10) || '    "key": "' || key || '",' || chr(10) || '    "caption": "' || url || '"' || chr(10) || '}' from p)
+select shard, key || '.' || e as member, octet_length(encode(body))::bigint as n_bytes, md5(body) as digest from m
+"""
+
+
+def bodies(rows: DataFrame) -> DataFrame:
+    return rows.select("shard", "member", F.octet_length("body").cast("long").alias("n_bytes"), F.md5("body").alias("digest"))
+
+
+@query(_BYTES)
 def tar_members(spark, sf_dir):
-    return containers.members(stored(spark, sf_dir), "bin")
+    return bodies(made.tar_members(spark, written(spark, sf_dir, "webdataset")))
 
 
-@query("select printf('%05d', page_id // 100) || '/' || printf('%07d', page_id) || '.' || e as path from pages, (select unnest(['bin', 'json']) as e) where page_id % 6 <> 0")
+@query(_BYTES)
 def files_layout(spark, sf_dir):
-    return containers.members(stored(spark, sf_dir), "bin", captions=False).select(F.concat(scalars.shard_name(F.col("shard_id")), F.lit("/"), "member").alias("path"))
+    return bodies(made.files(spark, written(spark, sf_dir, "files")))
+
+
+@query(_BYTES + " where e <> 'txt'")
+def tar_without_captions(spark, sf_dir):
+    return bodies(made.tar_members(spark, written(spark, sf_dir, "webdataset", False)))
+
+
+@query("select printf('%05d', page_id // 100) as shard, printf('%07d', page_id) as key, url as caption, case when page_id % 6 <> 0 then md5(html) end as digest from pages")
+def parquet_sink(spark, sf_dir):
+    return made.parquet_shards(spark, written(spark, sf_dir, "parquet")).select("shard", "key", "caption", F.md5("bin").alias("digest"))
+
+
+@query("select printf('%05d', page_id // 100) as shard, printf('%07d', page_id) as key, url as caption from pages")
+def sidecar(spark, sf_dir):
+    """The metadata beside tar archives holds the rows without a payload too."""
+    folder = written(spark, sf_dir, "webdataset")
+    return spark.read.schema("key string, caption string, shard string").parquet(f"{folder}/_metadata_table").select("shard", "key", "caption")
+
+
+@query("select 0::bigint as n_files, 'Invalid output format zip' as refused")
+def dummy_sink(spark, sf_dir):
+    """Nothing is written, and a format that is not known is refused."""
+    folder = written(spark, sf_dir, "dummy")
+    try:
+        written(spark, sf_dir, "zip")
+        said = None
+    except ValueError as e:
+        said = str(e)
+    fs, root = containers.filesystem(folder)
+    there = fs.get_file_info(root).type.name != "NotFound"
+    return spark.createDataFrame([(int(there), said)], "n_files long, refused string")
 
 
-@query("select page_id // 100 as shard_id, count(*)::bigint as n_records, (sum(octet_length(encode(html))))::bigint as n_bytes from pages where page_id % 6 <> 0 group by 1")
+@query("select printf('%05d', page_id // 100) as shard, printf('%07d', page_id) as key, url as caption, octet_length(encode(html))::bigint as n_bytes, md5(html) as digest, 'bin,caption,key,txt' as names from pages where page_id % 6 <> 0")
 def tfrecord_features(spark, sf_dir):
-    rows = classify.with_payload_only(stored(spark, sf_dir), "bin")
-    return rows.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_records"), F.sum(F.octet_length("bin")).alias("n_bytes"))
+    rows = made.record_features(spark, written(spark, sf_dir, "tfrecord")).withColumn("v", F.get("bytes", F.lit(0)))
+    of = lambda n: F.max(F.when(F.col("name") == n, F.col("v")))
+    told = rows.groupBy("shard", "record").agg(of("key").cast("string").alias("key"), of("caption").cast("string").alias("caption"), of("bin").alias("bin"), F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names"))
+    return told.select("shard", "key", "caption", F.octet_length("bin").cast("long").alias("n_bytes"), F.md5("bin").alias("digest"), "names")
+
+
+@query("select event_id, 'int64' as id_kind, 'float' as value_kind, value::float::double as value, case when event_id % 4 = 0 then '' else props end as props, 'int64' as list_kind, event_id - 500 || ',' || user_id as list from events")
+def feature_kinds(spark, sf_dir):
+    """Numbers, lists and nulls as features: whole numbers (negative ones too) as int64, floats in 32 bits, null as empty."""
+    n = F.col("event_id")
+    rows = read(spark, sf_dir, "events").select(F.floor(n / 2000).cast("long").alias("shard_id"), n.cast("string").alias("key"), F.encode("props", "UTF-8").alias("bin"), "event_id", "value", F.when(n % 4 != 0, F.col("props")).alias("props"), F.array(n - 500, F.col("user_id")).alias("list"))
+    folder = new_folder(spark, "features")
+    containers.write_dataset(rows, folder, "tfrecord", "bin")
+    found = made.record_features(spark, folder)
+    of = lambda name, c: F.max(F.when(F.col("name") == name, c))
+    return found.groupBy("shard", "record").agg(
+        of("event_id", F.get("ints", F.lit(0))).alias("event_id"), of("event_id", F.col("kind")).alias("id_kind"), of("value", F.col("kind")).alias("value_kind"), of("value", F.get("floats", F.lit(0))).alias("value"),
+        of("props", F.get("bytes", F.lit(0)).cast("string")).alias("props"), of("list", F.col("kind")).alias("list_kind"), of("list", F.array_join(F.col("ints").cast("array<string>"), ",")).alias("list"),
+    ).drop("shard", "record")
+
+
+_JOB = "with j as (select page_id, page_id // 100 as shard_id, case when page_id % 11 = 0 then 'not found' when octet_length(encode(html)) > 3000 then 'Image too large' end as e from pages) "
+
+
+@query(_JOB + "select printf('%07d', page_id) as key, url, case when e is null then 'success' else 'failed_to_download' end as status, e as error_message, case when e is null then md5(html) end as md5 from j join pages using (page_id)")
+def whole_job(spark, sf_dir):
+    """The job itself, over a Parquet table and a store without every eleventh page; its metadata, read from its output."""
+    from .materialize import download
+
+    folder = new_folder(spark, "job")
+    source = read(spark, sf_dir, "pages")
+    store = source.where(F.col("page_id") % 11 != 0).select("url", F.col("html").alias("body"))
+    done = download(spark, f"{sf_dir}/pages.parquet", store=store, input_format="parquet", output_folder=folder, output_format="webdataset", encode_format="bin", number_sample_per_shard=100, max_data_size=3000 / MEGABYTE, compute_hash="md5")
+    return done.select("key", "url", "status", "error_message", F.when(F.col("status") == classify.SUCCESS, F.col("md5")).alias("md5"))
 
 
 # --- the whole relational pipeline ----------------------------------------------------------------------------------

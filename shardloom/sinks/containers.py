@@ -207,9 +207,10 @@ def write_containers(df: DataFrame, folder: str, output_format: str, payload: st
 
 
 def write_parquet(df: DataFrame, folder: str, shard_digits: int) -> None:
-    """One folder shard=NNNNN for each shard, failed rows with a null payload."""
+    """One folder shard=NNNNN for each shard, failed rows with a null payload. A shard that is written again (its job died
+    before its statistics) takes the place of what was there; other shards stay."""
     rows = by_shard(df.withColumn("shard", shard_name(F.col("shard_id"), shard_digits)), "shard").drop("_shard", "shard_id")
-    rows.write.mode("append").partitionBy("shard").parquet(folder)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
 
 
 def write_sidecar(df: DataFrame, folder: str, payload: str, shard_digits: int) -> None:

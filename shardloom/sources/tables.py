@@ -63,21 +63,17 @@ def read_files(spark: SparkSession, paths: Sequence[str], input_format: str) ->
         return spark.read.text(paths).where("value <> ''").select(F.col("value").alias("url"), *meta)
     if kind in ("csv", "tsv"):
         reader = spark.read.options(header=True, inferSchema=True, multiLine=True, escape='"', sep="\t" if kind == "tsv" else ",", timestampFormat="yyyy-MM-dd HH:mm:ss", preferDate=True)
-        return tagged(empty_for_null(as_arrow_reads(with_meta(reader.csv(paths)))))
+        return empty_for_null(as_arrow_reads(with_meta(reader.csv(paths))))
     if kind == "json":
         df = with_meta(spark.read.option("multiLine", True).json(paths))
-        return tagged(as_arrow_reads(records(df)))
-    return tagged(as_arrow_reads(with_meta(spark.read.json(paths))))
+        return as_arrow_reads(records(df))
+    return as_arrow_reads(with_meta(spark.read.json(paths)))
 
 
 def with_meta(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
 
 
-def tagged(df: DataFrame) -> DataFrame:
-    return df
-
-
 def records(df: DataFrame) -> DataFrame:
     """Rows of a JSON document: an array of records as it is; an object of columns ({column: {row: value}}) is turned
     about, its rows in order of their numbers."""

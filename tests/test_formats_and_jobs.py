@@ -131,6 +131,13 @@ def test_parquet_sink(spark, sample, tmp_path):
     assert back.count() == 7 and back.where("bin is null").first().key == "00005"
 
 
+def test_parquet_shards_replace_themselves(spark, sample, tmp_path):
+    containers.write_dataset(sample, str(tmp_path), "parquet", "bin")
+    containers.write_dataset(sample.where("shard_id = 1"), str(tmp_path), "parquet", "bin")
+    back = spark.read.parquet(str(tmp_path / "data"))
+    assert back.count() == 7 and back.select("key").distinct().count() == 7
+
+
 def test_noop_and_unknown(sample, tmp_path):
     containers.write_dataset(sample, str(tmp_path), "dummy", "bin")
     assert not [*tmp_path.iterdir()]
@@ -239,6 +246,129 @@ def test_lookup_job(spark, tmp_path):
     assert {r.url: r.status for r in got.collect()}["http://x/f"] == "failed_to_download" and got.where("status = 'success'").count() == 2
 
 
+@pytest.mark.parametrize("kind", ["parquet", "webdataset"])
+def test_job_that_dies_before_its_statistics(spark, tmp_path, kind, monkeypatch):
+    """What was fetched is kept and taken up by the next run; no row is fetched or stands twice."""
+    from shardloom.plans import materialize as job
+
+    (tmp_path / "in.txt").write_text("\n".join(f"http://x/{i}" for i in range(10)))
+    asked = spark.sparkContext.accumulator(0)
+
+    def fetcher(url):
+        asked.add(1)
+        return fetch.Reply(body=url.encode())
+
+    run = lambda **more: download(spark, str(tmp_path / "in.txt"), fetcher, output_folder=str(tmp_path / "out"), number_sample_per_shard=4, output_format=kind, encode_format="bin", **more)
+
+    def dies(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(job, "write_stats", dies)
+        with pytest.raises(RuntimeError, match="died"):
+            run()
+    assert [p.name for p in (tmp_path / "out").glob("_staging_*")] and asked.value == 10
+    assert run().count() == 10 and asked.value == 10 and not [*(tmp_path / "out").glob("_staging_*")]
+    rows = lambda: spark.read.parquet(str(tmp_path / "out" / ("data" if kind == "parquet" else "_metadata_table")))
+    assert rows().count() == rows().select("key").distinct().count() == 10
+    for p in (tmp_path / "out").glob("0000[01]_stats.json"):  # as if these had never been written
+        p.unlink()
+    assert run().count() == 8 and asked.value == 18
+    assert rows().count() == rows().select("key").distinct().count() == 10
+
+
+def test_job_that_dies_while_it_fetches(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("http://x/1")
+    (tmp_path / "out" / "_staging_half").mkdir(parents=True)
+    done = download(spark, str(tmp_path / "in.txt"), lambda url: fetch.Reply(body=b"x"), output_folder=str(tmp_path / "out"), output_format="files", encode_format="bin")
+    assert done.count() == 1 and not (tmp_path / "out" / "_staging_half").exists()
+
+
+def test_pictures_in_the_job(spark, tmp_path):
+    """Gates, resizing and boxes act where re-encoding is not switched off."""
+    import numpy as np
+
+    from shardloom.operators import images
+
+    (tmp_path / "in.jsonl").write_text("\n".join(json.dumps({"url": f"http://x/{n}", "boxes": "b"}) for n in ("good", "small", "bad")))
+    picture = lambda w, h: images.encode_png(np.full((h, w, 3), 7, np.uint8))
+    bodies = {"http://x/good": picture(40, 20), "http://x/small": picture(5, 5), "http://x/bad": b"no picture"}
+    seen = []
+
+    def blurred(img, bbox_list):
+        return np.zeros_like(img)
+
+    got = download(spark, str(tmp_path / "in.jsonl"), lambda url: fetch.Reply(body=bodies[url]), codecs={"blurrer": blurred}, output_folder=str(tmp_path / "out"), input_format="jsonl", output_format="files", encode_format="png", encode_quality=6, disable_all_reencoding=False, image_size=16, resize_mode="keep_ratio", min_image_size=10, bbox_col="boxes")
+    rows = {r.url: r for r in got.collect()}
+    good = rows["http://x/good"]
+    assert (good.status, good.width, good.height, good.original_width) == ("success", 32, 16, 40)
+    assert rows["http://x/small"].status == rows["http://x/bad"].status == "failed_to_resize" and rows["http://x/small"].error_message == "image too small"
+    pixels = images.decode_png(next((tmp_path / "out" / "00000").glob("*.png")).read_bytes())
+    assert pixels.shape[:2] == (16, 32) and not pixels[..., :3].any()
+    assert json.loads((tmp_path / "out" / "00000_stats.json").read_text())["failed_to_resize"] == 2
+    with pytest.warns(UserWarning, match="image_size has no effect"):
+        from shardloom.config import Options
+
+        Options("u", image_size=5)
+
+
+def test_monitored_job(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("\n".join(f"http://x/{i}" for i in range(9)))
+    download(spark, str(tmp_path / "in.txt"), lambda url: fetch.Reply(body=b"x") if url[-1] != "3" else fetch.Reply(error="no"), monitoring=True, output_folder=str(tmp_path / "out"), number_sample_per_shard=4, output_format="dummy", encode_format="bin")
+    row = spark.table("job_totals").first()
+    assert (row["count"], row.successes, row.failed_to_download) == (9, 8, 1)
+
+
+def test_bodies_without_a_length_are_bounded():
+    class Endless(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+            try:
+                for _ in range(2_000):
+                    self.wfile.write(b"x" * 10_000)
+            except OSError:
+                pass
+
+        def log_message(self, *a):
+            pass
+
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Endless)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    reply = fetch.HttpFetcher(max_bytes=50_000)(f"http://127.0.0.1:{s.server_port}/")
+    s.shutdown()
+    assert reply.body is None and reply.error == "Image too large"
+
+
+def test_a_slow_reply_does_not_stop_the_rows_behind_its_batch(spark):
+    """Rows of later batches are fetched while the first row of the first batch waits."""
+    import time
+
+    def slow(url):
+        if url == "u0":
+            time.sleep(1.5)
+        return fetch.Reply(body=str(time.time()).encode())
+
+    df = spark.createDataFrame([(f"u{i}",) for i in range(40)], "url string").coalesce(1)
+    rows = {r.url: float(bytes(r.bin)) for r in fetch.fetched(df, slow, "bin", threads=8, batch_rows=4).collect()}
+    assert len(rows) == 40 and sum(at < rows["u0"] for at in rows.values()) >= 28
+
+
+def test_text_rows_are_numbered_over_splits(spark, tmp_path):
+    """One text file of many splits is many tasks; positions follow the lines."""
+    (tmp_path / "a.txt").write_text("".join(f"http://x/{i:06d}\n" for i in range(5_000)))
+    (tmp_path / "b.txt").write_text("".join(f"http://y/{i:06d}\n\n" for i in range(777)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        table = tables.url_table(spark, str(tmp_path), "txt")
+        rows = sharding.with_shards(table, 100).collect()
+        assert table.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    at = {r.url: r.shard_id * 100 + r.idx for r in rows}
+    assert at == {f"http://x/{i:06d}": i for i in range(5_000)} | {f"http://y/{i:06d}": 5_000 + i for i in range(777)}
+
+
 def test_command_line(spark, tmp_path):
     from shardloom.__main__ import main
 
