@@ -11,12 +11,14 @@ would differ in more than radius bits, so some block differs in its flips at mos
 with every choice of that many bits turned, which finds every pair within the radius; the distance is then counted
 exactly.
 
-Neighbours in doc_id order are found without a global sort: cut points (one approximate quantile query over the ids)
-deal the rows into buckets of close ids, the first row of each bucket is also sent, marked, to the end of the bucket
-before it, and each bucket is ordered by itself. One shuffle of the texts serves the order, the lead and the votes.
+Neighbours in doc_id order are found without a sort of the texts: ids and sizes alone are sorted, which gives an id for
+every BUCKET_BYTES of text, however large the table. These cut the rows into buckets of close ids, the first row of each
+bucket is also sent, marked, to the end of the bucket before it, and each bucket is ordered by itself. One shuffle of the
+texts serves the order, the lead and the votes.
 
 Defined cases: null text is the empty text; rows of equal doc_id are ordered by text; null doc_ids come last; repeated
-rows each give a row; one single row is its own next; an empty table gives an empty result.
+rows each give a row; one single row is its own next; a very long text is a bucket of its own; columns other than doc_id
+and text are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,35 +29,47 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
+from .units import in_order
 
 SHINGLE = 5
 LANES = 0x100000001
 #: Hamming radius of near() in the query, and the number of blocks: eight tables, each keyed by one block of 16 bits.
 #: Texts of similarity 0.8 (a cosine of 0.89) are expected 19 bits apart, with a deviation of 4.
 RADIUS, BLOCKS = 27, 8
-MOST_BUCKETS = 2048
+#: Bytes of text of the documents that one task orders, about, and how many cuts are worth more of them.
+BUCKET_BYTES, MOST_CUTS = 8 << 20, 1_000_000
 
 
-def id_cuts(docs: DataFrame, n: int) -> list[int]:
-    """Up to n ids that cut the rows, in descending order of id, into buckets of like size; the first is the largest."""
-    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n + 1)], 100 * n).alias("c"), F.max("doc_id").alias("m")).first()
-    return sorted({*(found.c or ()), *([found.m] if found.m is not None else [])}, reverse=True)
+def id_cuts(docs: DataFrame, bucket_bytes: int) -> list[int]:
+    """Ids that cut the rows, in descending order of id, into buckets of about bucket_bytes of text; the first is the
+    largest. Only ids and sizes are sorted; one id for each bucket comes to the driver."""
+    sizes = docs.where("doc_id is not null").groupBy("doc_id").agg((F.sum(F.octet_length("text")) + 16).alias("size"))
+    sizes = common.cut(sizes.select(F.bitwise_not("doc_id").alias("below"), "size"), "sizes")
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bucket = F.floor(F.col("before") / max(bucket_bytes, -(-total // MOST_CUTS)))
+    return sorted((~r.below for r in in_order(sizes, "below", weight="size").groupBy(bucket.alias("b")).agg(F.min("below").alias("below")).collect()), reverse=True)
 
 
-def with_next(docs: DataFrame, n_buckets: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, text) -> bucket, rn, last, doc_id, text, next_text: each text beside that of the next document in
     descending order of doc_id, the first after the last. Rows with `last` true repeat the head of the next bucket."""
-    spark = docs.sparkSession
-    n = min(n_buckets or 2 * common.partitions(spark), MOST_BUCKETS)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = id_cuts(rows, n)
+    cuts = id_cuts(rows, bucket_bytes)
     if cuts:
-        heads = F.array(*[F.lit(c).cast("long") for c in cuts])
-        bucket = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) - 1)).otherwise(F.size(F.filter(heads, lambda c: c >= F.col("doc_id"))) - 1)
-        place = F.array_position(heads, F.col("doc_id")).cast("int")  # from 1; null or 0: not a head
-        before = F.when(place == 1, F.lit(len(cuts) - 1)).otherwise(place - 2)
-        own = F.struct(bucket.alias("bucket"), F.lit(False).alias("last"))
-        to = F.when(place > 0, F.array(own, F.struct(before.alias("bucket"), F.lit(True).alias("last")))).otherwise(F.array(own))
+        heads = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")  # folded to a constant
+
+        def halved(s: Column, _: Column) -> Column:
+            middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+            up = (s["lo"] < s["hi"]) & (F.get(heads, middle) >= F.col("doc_id"))
+            return F.struct(F.when(up, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(up | (s["lo"] >= s["hi"]), s["hi"]).otherwise(middle).alias("hi"))
+
+        # how many heads are as large as the id or larger, by bisection
+        above = F.aggregate(F.sequence(F.lit(0), F.lit(len(cuts).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")), halved, lambda s: s["lo"])
+        rows = rows.withColumn("above", F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(above))
+        own = F.struct((F.col("above") - 1).alias("bucket"), F.lit(False).alias("last"))
+        before = F.when(F.col("above") == 1, F.lit(len(cuts) - 1)).otherwise(F.col("above") - 2)
+        is_head = F.get(heads, F.col("above") - 1) == F.col("doc_id")
+        to = F.when(is_head, F.array(own, F.struct(before.alias("bucket"), F.lit(True).alias("last")))).otherwise(F.array(own))
     else:
         to = F.array(F.struct(F.lit(0).alias("bucket"), F.lit(False).alias("last")))
     dealt = rows.select("doc_id", "text", F.inline(to))

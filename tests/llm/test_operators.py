@@ -130,14 +130,26 @@ def test_near_copies_are_counted(spark, tmp_path):
     assert found.pop(100) == 10 and set(found.values()) == {None}
 
 
-@pytest.mark.parametrize("n", [1, 3, 50])
-def test_neighbours_in_any_buckets(spark, awkward, n):
-    got = simhash.with_next(awkward, n).where("not last").collect()
+@pytest.mark.parametrize("size", [10**9, 100_000, 60, 1])
+def test_neighbours_in_any_buckets(spark, awkward, size):
+    got = simhash.with_next(awkward, size).where("not last").collect()
     order = sorted([(i, t or "") for i, t in AWKWARD], key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
     want = Counter((*o, order[(k + 1) % len(order)][1]) for k, o in enumerate(order))
     assert Counter((r.doc_id, r.text, r.next_text) for r in got) == want
 
 
+def test_buckets_follow_bytes(spark):
+    """However many rows there are, and wherever their ids lie, a bucket holds about so many bytes."""
+    ids = [*range(500), *range(10**12, 10**12 + 500, 7), -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(i, f"text {i % 13} ".ljust(84, "x")) for i in ids], "doc_id long, text string")
+    rows = simhash.with_next(df, 1000).collect()
+    held = Counter(r.bucket for r in rows if not r["last"])
+    assert max(held.values()) <= 11 and len(held) >= len(ids) // 11
+    order = sorted(ids, reverse=True)
+    text = {i: f"text {i % 13} ".ljust(84, "x") for i in ids}
+    assert {(r.doc_id, r.next_text) for r in rows if not r["last"]} == {(d, text[order[(k + 1) % len(order)]]) for k, d in enumerate(order)}
+
+
 def test_fingerprints_of_awkward_rows(spark, awkward, none):
     rows = simhash.edited_fingerprints(awkward).collect()
     assert len(rows) == len(AWKWARD) and all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in rows)
