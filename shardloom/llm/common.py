@@ -35,10 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+#: Narrow rows that one task writes, where their number is known.
+ROWS_A_FILE = 500_000
+
+
+def cut(df: DataFrame, name: str = "cut", rows: int | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends here, so a lost executor costs no more
-    than the tasks it ran, and what follows may read it many times."""
+    than the tasks it ran, and what follows may read it many times. rows: how many narrow rows df has at most, where
+    that is known; then so few tasks write them that no file is tiny."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     # partitions are put together to the advised size, so that a small table is few files
     first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"

@@ -231,14 +231,15 @@ def components(links: DataFrame) -> DataFrame:
     """links (a, b) -> node, class (the smallest node that it is linked to, through any number of links): each node takes
     the smallest label among its neighbours and then its label's label, until nothing changes."""
     both = common.cut(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = common.cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("class")), "labels")
+    most = both.count()
+    labels = common.cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("class")), "labels", most)
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), F.col("class").alias("c")), "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
         near = labels.join(seen, "node", "left").select("node", "class", F.least("class", F.coalesce("c", "class")).alias("new"))
-        near = common.cut(near, "near")  # so that both sides of the next join, whose keys are hot, are exchanged afresh
+        near = common.cut(near, "near", most)  # so that both sides of the next join, whose keys are hot, are exchanged afresh
         jump = near.select(F.col("node").alias("new"), F.col("new").alias("far"))
         after = near.join(jump, "new", "left").select("node", "class", F.least(F.col("new"), F.coalesce("far", "new")).alias("new"))
-        after = common.cut(after, "labels")
+        after = common.cut(after, "labels", most)
         changed = after.where("class <> new").limit(1).count()
         common.drop(labels, near)
         labels = common.same_table(after, after.select("node", F.col("new").alias("class")))

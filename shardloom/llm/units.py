@@ -93,13 +93,13 @@ def remover(min_lines: int, run_words: int):
     return F.arrow_udf(work, _LEFT)
 
 
-def in_order(rows: DataFrame, *cols: str, weight: str | None = None, last: str | None = None) -> DataFrame:
+def in_order(rows: DataFrame, *cols: str, weight: str | None = None, last: str | None = None, most: int | None = None) -> DataFrame:
     """rows (distinct in cols) with before: the sum of weight (else the number) of the rows that come earlier in the order
     of cols; with last, also that column of the row just before. Rows are dealt by range and sorted within each range;
-    only one row for each range comes to the driver."""
+    only one row for each range comes to the driver. most: the number of rows at most, where it is known."""
     spark = rows.sparkSession
     one = F.col(weight) if weight else F.lit(1)
-    dealt = common.cut(rows.withColumn("one", one.cast("long")).repartitionByRange(common.partitions(spark), *cols).withColumn("part", F.spark_partition_id()), "ordered")
+    dealt = common.cut(rows.withColumn("one", one.cast("long")).repartitionByRange(common.partitions(spark), *cols).withColumn("part", F.spark_partition_id()), "ordered", most)
     ends = F.max_by(F.col(last), F.struct(*cols)) if last else F.lit(None).cast("long")
     sizes = sorted((r[0], r[1], r[2]) for r in dealt.groupBy("part").agg(F.sum("one"), ends).collect())
     starts, at, end = [], 0, None
@@ -115,27 +115,27 @@ def in_order(rows: DataFrame, *cols: str, weight: str | None = None, last: str |
     return out.withColumn("before", F.col("own") + F.col("start")).withColumn("previous", F.coalesce("previous", "end")).drop("part", "one", "own", "start", "end")
 
 
-def doubled(ranked: DataFrame) -> list[DataFrame]:
+def doubled(ranked: DataFrame, most: int) -> list[DataFrame]:
     """The tables of ranks by the first 1, 2, 4, ... lines. ranked: p, rank by the first line, n suffixes of that rank,
-    closed (whether the suffix ends before that many lines: False)."""
+    closed (whether the suffix ends before that many lines: False); most: its rows."""
     levels, size = [ranked], 1
     while levels[-1].where("n > 1 and not closed").limit(1).count():
         now = levels[-1].drop("n")
         after = now.select((F.col("p") - size).alias("p"), F.col("rank").alias("r2"), F.col("closed").alias("c2"))
         pairs = now.join(after.hint("merge"), "p", "left").select("p", F.col("rank").alias("r1"), F.when(F.col("closed") | F.col("r2").isNull(), 0).otherwise(F.col("r2")).alias("r2"), (F.col("closed") | F.coalesce("c2", F.lit(True))).alias("closed"))
-        pairs = common.cut(pairs, "pairs")
-        named = in_order(pairs.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n")), "r1", "r2").select("r1", "r2", "n", (F.col("before") + 1).alias("rank"))
-        levels.append(common.cut(pairs.join(named.hint("merge"), ["r1", "r2"]).select("p", "rank", "n", "closed"), "run-level"))
+        pairs = common.cut(pairs, "pairs", most)
+        named = in_order(pairs.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n")), "r1", "r2", most=most).select("r1", "r2", "n", (F.col("before") + 1).alias("rank"))
+        levels.append(common.cut(pairs.join(named.hint("merge"), ["r1", "r2"]).select("p", "rank", "n", "closed"), "run-level", most))
         common.drop(pairs)
         size *= 2
     return levels
 
 
-def common_prefixes(levels: list[DataFrame], least: int) -> DataFrame:
+def common_prefixes(levels: list[DataFrame], least: int, most: int) -> DataFrame:
     """p, q, lcp for neighbours p and q of the suffix array whose longest common prefix has least lines or more."""
     k = least.bit_length() - 1
     some = levels[k].where("n > 1 and not closed").select("p")
-    array = in_order(levels[-1].select("p", "rank").join(some.hint("merge"), "p"), "rank", "p", last="p")
+    array = in_order(levels[-1].select("p", "rank").join(some.hint("merge"), "p"), "rank", "p", last="p", most=most)
     pairs = array.where("previous is not null").select("p", F.col("previous").alias("q"), F.lit(0).cast("long").alias("lcp"))
     for step, at in enumerate(reversed(range(len(levels)))):
         open_ = levels[at].where("not closed")
@@ -144,29 +144,29 @@ def common_prefixes(levels: list[DataFrame], least: int) -> DataFrame:
         pairs = pairs.withColumns({"x": F.col("p") + F.col("lcp"), "y": F.col("q") + F.col("lcp")}).join(mine, "x", "left").join(other, "y", "left")
         pairs = pairs.select("p", "q", (F.col("lcp") + F.when(F.col("rx") == F.col("ry"), 1 << at).otherwise(0)).alias("lcp"))
         if step % 4 == 3:
-            pairs = common.cut(pairs, "prefixes")
-    return common.cut(pairs.where(F.col("lcp") >= least), "prefixes")
+            pairs = common.cut(pairs, "prefixes", most)
+    return common.cut(pairs.where(F.col("lcp") >= least), "prefixes", most)
 
 
-def maximal_runs(prefixes: DataFrame) -> DataFrame:
+def maximal_runs(prefixes: DataFrame, most: int) -> DataFrame:
     """p, lines: the maximal repeated runs."""
     longest = prefixes.select("p", "lcp").union(prefixes.select("q", "lcp")).groupBy("p").agg(F.max("lcp").alias("lines"))
-    longest = common.cut(longest, "longest")
+    longest = common.cut(longest, "longest", most)
     before = longest.select((F.col("p") + 1).alias("p"), (F.col("lines") - 1).alias("held"))
     return longest.join(before.hint("merge"), "p", "left").where("held is null or held < lines").select("p", "lines")
 
 
-def later_lines(levels: list[DataFrame], min_lines: int, long_lines: DataFrame) -> DataFrame:
+def later_lines(levels: list[DataFrame], min_lines: int, long_lines: DataFrame, most: int) -> DataFrame:
     """p of the lines of later copies of runs of min_lines, and of the lines of long_lines (p) that are later copies."""
     k = min_lines.bit_length() - 1
     rest = min_lines - (1 << k)  # two windows of a power of two that overlap
     open_ = levels[k].where("n > 1 and not closed").select("p", "rank")
     named = open_.join(open_.select((F.col("p") - rest).alias("p"), F.col("rank").alias("r2")).hint("merge"), "p") if rest else open_.withColumn("r2", F.lit(0))
-    firsts = common.cut(named.groupBy("rank", "r2").agg(F.min("p").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "intervals")
+    firsts = common.cut(named.groupBy("rank", "r2").agg(F.min("p").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "intervals", most)
     starts = named.join(firsts.hint("merge"), ["rank", "r2"]).where("p > first").select("p")
     runs = starts.select(F.explode(F.sequence("p", F.col("p") + (min_lines - 1))).alias("p"))
     alone = levels[0].select("p", "rank")
-    first = common.cut(alone.groupBy("rank").agg(F.min("p").alias("first")), "firsts")
+    first = common.cut(alone.groupBy("rank").agg(F.min("p").alias("first")), "firsts", most)
     single = alone.join(long_lines.hint("merge"), "p").join(first.hint("merge"), "rank").where("p > first").select("p")
     return runs.union(single).distinct()
 
@@ -183,11 +183,12 @@ def dedup_runs(docs: DataFrame, min_lines: int = MIN_LINES, run_words: int = RUN
     again = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ids = common.cut(in_order(again, "a", "b").select("a", "b", "n", (F.col("before") + 1).alias("rank")), "line-ids")
     at = common.cut(each.join(ids.hint("merge"), ["a", "b"]).select("p", "rank", "n", "w"), "line-ranks")
-    levels = doubled(at.select("p", "rank", "n", F.lit(False).alias("closed")))
+    most = at.count()
+    levels = doubled(at.select("p", "rank", "n", F.lit(False).alias("closed")), most)
     while len(levels) < min_lines.bit_length():  # nothing repeats that far
         levels.append(levels[-1].where("false"))
-    gone = later_lines(levels, min_lines, at.where(F.col("w") >= run_words).select("p")).select("p", F.lit(None).cast("long").alias("lines"))
-    runs = maximal_runs(common_prefixes(levels, min_lines)).select("p", "lines")
+    gone = later_lines(levels, min_lines, at.where(F.col("w") >= run_words).select("p"), most).select("p", F.lit(None).cast("long").alias("lines"))
+    runs = maximal_runs(common_prefixes(levels, min_lines, most), most).select("p", "lines")
     # back to sequences, through the places of all their lines
     owner = seqs.where("n > 0").select("s1", "s2", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"), "offset").select("s1", "s2", "j", (F.col("offset") + F.col("j")).alias("p"))
     told_of = gone.withColumn("goes", F.lit(True)).unionByName(runs.withColumn("goes", F.lit(False)))
