@@ -548,9 +548,89 @@ def test_windows_score_each_token_once():
     assert full[at].tolist() == [*range(at * 16 - 17, at * 16 + 15)]
 
 
-def test_model_beats_chance_on_documents(spark, docs):
-    out = lm.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
-    assert out[0] / out[1] > -7
+def test_scores_are_those_of_the_training_pass():
+    """The table-driven scores against the forward pass that is trained, token by token and with no floor."""
+    m, seqs = small_model()
+    slow = lm.Attention(40)
+    slow.p, slow.experts = m.trained, m.experts
+    for ids in [*seqs[:20], np.array([38, 0, 38, 0], np.int32), np.zeros(0, np.int32)]:
+        x, y, _ = slow.windows([ids])
+        f = slow.forward(x, y, slow.experts)
+        assert m.scores([ids])[0] == pytest.approx(np.log10(f["joint"].sum(-1)[f["ok"]].astype(float)).sum(), rel=1e-4)
+
+
+def test_language_model_gradients_by_differences():
+    m = lm.Attention(9, seed=2)
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    r = np.random.default_rng(1)
+    m.experts = r.dirichlet(np.ones(9), lm.EXPERTS).T
+    x, y, _ = m.windows([r.integers(0, 8, 37).astype(np.int32), r.integers(0, 8, 5).astype(np.int32)])
+
+    def loss():
+        f = m.forward(x, y, m.experts)
+        return -np.log(f["joint"].sum(-1)[f["ok"]]).mean()
+
+    f = m.forward(x, y, m.experts)
+    found = m.gradients(x, f, f["joint"] / f["joint"].sum(-1, keepdims=True))
+    for k, v in m.p.items():
+        for at in map(tuple, r.integers(0, v.shape, (12, v.ndim))):
+            was, e = v[at], 1e-5
+            v[at] = was + e
+            up = loss()
+            v[at] = was - e
+            down = loss()
+            v[at] = was
+            assert found[k][at] == pytest.approx((up - down) / (2 * e), rel=1e-3, abs=1e-7), (k, at)
+
+
+def test_every_window_may_be_drawn():
+    """Over places, one in share of the windows of long and of short documents is drawn; all of them at a share of one."""
+    m = lm.Attention(50)
+    ids = [np.arange(n, dtype=np.uint16) % 49 for n in (0, 5, 40, 3_000)]
+    rows = pa.RecordBatch.from_arrays([pa.array([0] * 400), pa.array([*range(400)]), pa.array([ids[i % 4].tobytes() for i in range(400)], pa.binary())], names=["block", "idx", "ids"])
+    whole = sum(len(m.windows([i.astype(np.int32)])[0]) for i in ids) * 100
+    n = lambda share: sum(len(x) for x, _ in lm.drawn(share, 3)(m, [rows]))
+    assert n(1) == whole and abs(n(8) - whole / 8) < whole / 40
+
+
+def test_averages_and_sums_of_tasks():
+    a, b = lm.Attention(6, 1), lm.Attention(6, 2)
+    rows = []
+    for m, n in ((a, 3.0), (b, 1.0)):
+        dense = np.concatenate([m.p[k].ravel() for k in sorted(m.p) if k != "E"])
+        rows.append(lm.sums_of([2, 4, lm.DENSE], [n, n, n], [m.p["E"][2] * n, m.p["E"][4] * n, dense * n]))
+    out = lm.Attention(6, 5)
+    kept = out.p["E"][0].copy()
+    (batch,) = lm.added(rows)
+    from types import SimpleNamespace
+
+    lm.average(out, [SimpleNamespace(**r) for r in batch.to_pylist()])
+    assert np.allclose(out.p["E"][4], (3 * a.p["E"][4] + b.p["E"][4]) / 4, atol=1e-6) and (out.p["E"][0] == kept).all()
+    assert all(np.allclose(out.p[k], (3 * a.p[k] + b.p[k]) / 4, atol=1e-6) for k in out.p if k != "E")
+    i, r = lm.summed(np.array([3, 1, 3]), np.array([[1.0], [2.0], [4.0]]))
+    assert i.tolist() == [1, 3] and r.tolist() == [[2.0], [5.0]]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_model_beats_the_base_on_held_out_documents(spark, folder):
+    out = lm.op5_lm(spark, folder).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert out[0] / out[2] > out[1] / out[2]
+
+
+def test_more_of_the_corpus_goes_into_the_model(spark):
+    """What the tasks send of the experts' shares follows the documents, and long ones give as much as their length."""
+    sub = lm.Subwords(lm.load())
+    text = " ".join(f"word{i % 97}" for i in range(4_000))
+    m = lm.Attention(sub.end + 1)
+    m.spread(np.ones(sub.end + 1))
+
+    def mass(texts):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        where = lm.parts(df, spark.sparkContext.broadcast(lm.load())).where("kind = 0").withColumn("train", F.lit(True))
+        return sum(r.weight for r in lm.gathered(where, m, lm.shares))
+
+    one, three, long = mass([text] * 8), mass([text] * 24), mass([" ".join([text] * 3)] * 8)
+    assert 2.5 < three / one < 3.5 and 2.5 < long / one < 3.5
 
 
 def test_language_model_on_no_rows(spark, none):
@@ -758,13 +838,11 @@ def test_native_plans(spark, sf, name):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def test_large_counts_are_several_pairs(monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(lm, "MOST_COUNT", 3)
-    texts = [b"a a a a a a a b", b"a a a", b"c"]
-    rows = [b.to_pylist() for b in lm.worked(5, pa.array([1, 2, 3]), np.array([True, False, True]), texts, lm.Subwords(lm.load()))]
-    found = {r["word"]: r for batch in rows for r in batch if r["kind"] == lm.WORD}
-    pairs = lambda w: [(p >> 16, p & 0xFFFF) for p in found[w]["pairs"][:-1]]
-    assert pairs(b"a") == [(0, 3), (0, 3), (0, 1), (1, 3)] and pairs(b"b") == [(0, 1)] and pairs(b"c") == [(2, 1)]
-    assert all(r["pairs"][-1] == lm.MARK for r in found.values()) and found[b"a"]["train_n"] == 7
+def test_rows_of_a_block():
+    """Distinct words once, with hashes that tell them and counts of training rows; documents as places among them."""
+    texts = [b"a a a a a a a b", b"a a A", b"c"]
+    batches = [b.to_pylist() for b in lm.worked(5, pa.array([1, 2, 3]), np.array([True, False, True]), texts, lm.Subwords(lm.load()))]
+    found = [r for batch in batches for r in batch]
+    words_ = [r for r in found if r["kind"] == lm.WORD]
+    assert [(r["idx"], r["train_n"]) for r in words_] == [(0, 7), (1, 1), (2, 1)] and len({(r["h1"], r["h2"]) for r in words_}) == 3
+    assert [np.frombuffer(r["words"], np.int32).tolist() for r in found if r["kind"] == lm.DOC] == [[0] * 7 + [1], [0] * 3, [2]]
