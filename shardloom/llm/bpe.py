@@ -5,7 +5,8 @@ symbols have changed since it was pushed is stale and skipped. Decoding joins th
 
 Defined cases: a null text is the empty text (no ids, empty decoded text); white space yields no ids; a special
 token's exact string in a text is that token's id; a text without white space is one pre-token list, merged in
-O(n log n). Repeated rows each get their row; extra columns pass through.
+O(n log n); very long texts are encoded whole. Repeated rows each get their row; an empty table gives an empty result.
+Extra columns pass through, those with an output's name give way to it, and one named `_ll_bpe` is refused.
 """
 
 from __future__ import annotations
@@ -179,6 +180,7 @@ def decoder(spark: SparkSession, path: str | None = None):
 def encode(docs: DataFrame, path: str | None = None, ids: bool = True) -> DataFrame:
     """docs with n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids; columns of docs with these names give
     way. No shuffle: each row is worked on where it is read."""
+    common.refuse(docs, "_ll_bpe")
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
     return docs.withColumn("_ll_bpe", encoder(docs.sparkSession, path, ids)("text")).select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new], *[F.col(f"_ll_bpe.{c}").alias(c) for c in new])
 

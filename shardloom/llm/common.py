@@ -106,15 +106,22 @@ def per_worker(build: Callable[[], object], key: str, group: str = "") -> object
     return _BUILT[key]
 
 
+#: Characters (or bytes) of the longest key that Kept keeps.
+KEPT_KEY = 64
+
+
 class Kept(dict):
-    """work(key) by key, for the keys that come again: two generations of at most `most` results each. A key that is
-    asked for after its generation has aged is taken over into the new one; the rest of the old one goes."""
+    """work(key) by key, for the keys that come again: two generations of at most `most` results each, of keys of
+    KEPT_KEY characters at most, so the memory is bounded whatever the texts hold. A key that is asked for after its
+    generation has aged is taken over into the new one; the rest of the old one goes."""
 
     def __init__(self, work: Callable[[object], object], most: int):
         super().__init__()
         self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, key):
+        if len(key) > KEPT_KEY:
+            return self.work(key)
         out = self.old.get(key)
         if out is None:
             out = self.work(key)

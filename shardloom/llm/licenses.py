@@ -13,7 +13,8 @@ their share of the notice).
 Templates are a small fixed table, broadcast behind a check of its size; beyond it the join is an ordinary shuffle.
 
 Defined cases: null text is the empty text (no words, no labels, score 0); repeated rows each give a row; ties of
-spans are broken by the smaller start.
+spans are broken by the smaller start; very long texts are scanned whole, a row for each word; columns other than doc_id
+and text are not read, so their names cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ MOST_SAMPLES = 8_000
 #: Words of a passage.
 PASSAGE = 48
 #: Words that a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS, KEPT_CHARS = 200_000, 16_000_000
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int) -> DataFrame:
@@ -51,6 +51,7 @@ class Passages:
 
     def __init__(self):
         self.at: dict[str, int] = {}
+        self.chars = 0
         self.rows = np.zeros((1024, SHAPES + DIRECTIONS), np.float32)
 
     def word(self, w: str) -> np.ndarray:
@@ -69,6 +70,7 @@ class Passages:
         if i == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.rows[i] = self.word(w)
+        self.chars += len(w)
         self.at[w] = i
         return i
 
@@ -76,8 +78,9 @@ class Passages:
         words = (text or "").split()
         if not words:
             return np.zeros((1, SHAPES + DIRECTIONS + 3), np.float32)
-        if len(self.at) > KEPT_WORDS:
+        if len(self.at) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.at.clear()
+            self.chars = 0
         get, index = self.at.get, self.index
         ids = np.array([get(w, -1) for w in words], np.int64)
         for i in np.flatnonzero(ids < 0):

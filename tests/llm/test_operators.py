@@ -12,7 +12,7 @@ import pytest
 from conftest import same
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, decontaminate, licenses, lm, mil, minhash, registry, simhash, substrings, units
+from shardloom.llm import bpe, common, decontaminate, licenses, lm, mil, minhash, registry, simhash, substrings, units
 
 LONG = " ".join(f"w{i % 997}x" for i in range(30_000))
 PASSAGE = " ".join(f"passage{i}" for i in range(60))
@@ -846,3 +846,35 @@ def test_rows_of_a_block():
     words_ = [r for r in found if r["kind"] == lm.WORD]
     assert [(r["idx"], r["train_n"]) for r in words_] == [(0, 7), (1, 1), (2, 1)] and len({(r["h1"], r["h2"]) for r in words_}) == 3
     assert [np.frombuffer(r["words"], np.int32).tolist() for r in found if r["kind"] == lm.DOC] == [[0] * 7 + [1], [0] * 3, [2]]
+
+
+def test_texts_of_millions_of_characters_without_a_blank(spark, tmp_path):
+    """One word of two million letters, twice, and one of as many marks: every operator works on it whole."""
+    letters = "".join(np.random.default_rng(0).choice(list("abcdefgh"), 2_000_000))
+    rows = [(1, letters), (2, letters), (3, "!" * 2_000_000), (4, "a short text"), (5, letters[:-1] + "\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (3, 0, 1), (4, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, letters), (2, "short text")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {name: {r.doc_id: r for r in f(spark, str(tmp_path)).collect()} for name, f in registry.queries().items() if name != "pipeline" and name != "op5_lm"}
+    assert all(len(r) == 5 for r in got.values())
+    assert got["op6_minhash"][2].class_id == 1 and got["op9_decontaminate"][1].n_hit == got["op9_decontaminate"][4].n_hit - 1 == 1
+    assert got["op1_simhash"][3].n_chars == 2_000_000 and got["op1_simhash"][1].fingerprint == got["op1_simhash"][2].fingerprint
+    assert len({got["op2_bpe"][i].ids_sha256 for i in (1, 2)}) == 1 and got["op2_bpe"][3].n_tokens > 0
+    sub = lm.Subwords(lm.load())
+    ids, n = sub.ids([letters.encode()])
+    assert len(ids) == n[0] and np.isfinite(lm.Attention(sub.end + 1).finish(np.ones(sub.end + 1)).scores([ids.astype(np.int32)]))
+
+
+def test_what_a_worker_keeps_is_bounded():
+    kept = common.Kept(len, 10)
+    assert kept["x" * 100] == 100 and not kept
+    for i in range(50):
+        assert kept[f"k{i}"] == len(f"k{i}")
+    assert len(kept) <= 10 and len(kept.old) <= 10
+
+
+@pytest.mark.parametrize("run, column", [(lambda d: bpe.encode(d), "_ll_bpe"), (lambda d: units.dedup_runs(d), "_ll_copy"), (lambda d: minhash.dedup(d), "_ll_r"), (lambda d: mil.keep_good(d, d.select("doc_id", F.lit(1).alias("quality"))), "_ll_score")])
+def test_own_columns_are_refused(awkward, run, column):
+    with pytest.raises(ValueError, match=column):
+        run(awkward.withColumn(column, F.lit(1)))
