@@ -513,8 +513,13 @@ def small_model(v=40):
     return m.train(x, y, steps=150, batch=64).finish(np.bincount(np.concatenate(seqs), minlength=v).astype(float)), seqs
 
 
-def test_model_is_a_causal_distribution():
+@pytest.mark.parametrize("sent", [False, True])
+def test_model_is_a_causal_distribution(sent):
+    """As it is trained, and as tasks are sent it."""
+    import pickle
+
     m, seqs = small_model()
+    m = pickle.loads(pickle.dumps(m)) if sent else m
     # the next id's probabilities sum to one, whatever stands before
     for start in ([], [1], [4, 7, 10], [*range(39)]):
         p = [10 ** (m.scores([np.array([*start, i], np.int32)])[0]) for i in range(39)]
@@ -552,7 +557,7 @@ def test_scores_are_those_of_the_training_pass():
     """The table-driven scores against the forward pass that is trained, token by token and with no floor."""
     m, seqs = small_model()
     slow = lm.Attention(40)
-    slow.p, slow.experts = m.trained, m.experts
+    slow.p, slow.experts = m.p, m.experts
     for ids in [*seqs[:20], np.array([38, 0, 38, 0], np.int32), np.zeros(0, np.int32)]:
         x, y, _ = slow.windows([ids])
         f = slow.forward(x, y, slow.experts)
@@ -607,6 +612,11 @@ def test_averages_and_sums_of_tasks():
     lm.average(out, [SimpleNamespace(**r) for r in batch.to_pylist()])
     assert np.allclose(out.p["E"][4], (3 * a.p["E"][4] + b.p["E"][4]) / 4, atol=1e-6) and (out.p["E"][0] == kept).all()
     assert all(np.allclose(out.p[k], (3 * a.p[k] + b.p[k]) / 4, atol=1e-6) for k in out.p if k != "E")
+    import pickle
+
+    m, seqs = small_model()
+    sent = pickle.loads(pickle.dumps(m))
+    assert np.allclose(sent.experts.sum(0), 1, atol=1e-5) and np.allclose(sent.scores(seqs), m.scores(seqs), rtol=2e-3)
     i, r = lm.summed(np.array([3, 1, 3]), np.array([[1.0], [2.0], [4.0]]))
     assert i.tolist() == [1, 3] and r.tolist() == [[2.0], [5.0]]
 
