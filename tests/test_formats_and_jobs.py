@@ -450,6 +450,31 @@ def test_fleet(spark, tmp_path):
     assert (new.master_node, new.workers, new.num_workers) == ("h3", ["h4"], 1)
 
 
+def test_fleet_command_line(spark, tmp_path, capsys):
+    from shardloom.fleet import main
+
+    (tmp_path / "hosts.csv").write_text(",host\n" + "".join(f"{i},h{i}\n" for i in range(8)))
+    (tmp_path / "cfg.json").write_text(json.dumps({"id": "b", "num_nodes": 2, "mem_gb": 4}))
+    at = ["--states", str(tmp_path / "s"), "--hosts", str(tmp_path / "hosts.csv")]
+    said = lambda *argv: (main([*argv, *at]), [json.loads(x) for x in capsys.readouterr().out.splitlines()])[1]
+    assert said("list") == []
+    (a,) = said("setup", "--id", "a", "--num_nodes", "3")
+    assert (a["master_node"], a["workers"], a["num_workers"]) == ("h0", ["h1", "h2"], 2)
+    (b,) = said("setup", "--config", str(tmp_path / "cfg.json"))
+    assert (b["master_node"], b["workers"], b["mem_gb"]) == ("h3", ["h4"], 4)
+    (more,) = said("add", "--id", "a", "--num_nodes", "2", "--seed", "5")
+    assert more["num_workers"] == 4 and set(more["workers"][2:]) <= {"h5", "h6", "h7"}
+    (less,) = said("kill", "--id", "a", "--num_nodes", "1")
+    assert less["workers"] == more["workers"][:3]
+    assert said("list") == [{"cluster_id": "a", "num_workers": 3}, {"cluster_id": "b", "num_workers": 1}]
+    assert said("kill", "--id", "b")[0]["status"] == "stopped" and [r["cluster_id"] for r in said("list")] == ["a"]
+    for bad in (["add", "--id", "b", "--num_nodes", "1"], ["setup", "--id", "a", "--num_nodes", "1"]):
+        with pytest.raises(ValueError):
+            said(*bad)
+    with pytest.raises(SystemExit):
+        main(["add", "--states", "s", "--id", "a"])
+
+
 def test_counters(spark):
     counts = spark.createDataFrame([("a", 5), ("b", 5), ("c", 9), ("d", 1)], "status string, count long")
     assert [r.status for r in stats.status_table(counts, 3).collect()] == ["c", "a", "b"]
