@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, lm, mil, minhash, simhash, substrings, units
+from . import alignment, audit, bpe, decontaminate, jaccard, licenses, lm, mil, minhash, simhash, substrings, units
 
 
 def queries() -> dict:
@@ -19,9 +19,12 @@ def queries() -> dict:
         "op8_line_runs": units.op8_line_runs,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_licenses": licenses.op10_licenses,
+        "op11_alignment": alignment.op11_alignment,
+        "op12_filter_audit": audit.op12_filter_audit,
+        "op13_jaccard": jaccard.op13_jaccard,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_substrings": substrings.ORACLE, "op8_line_runs": units.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
+    return {"op4_substrings": substrings.ORACLE, "op8_line_runs": units.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op12_filter_audit": audit.ORACLE}
