@@ -43,8 +43,8 @@ def absolute(path: str) -> str:
 
 @dataclass
 class Options:
-    """All parameters of download(). What Spark decides itself (distributor, subjob_size, processes_count,
-    max_shard_retry) is accepted and warned about. Image parameters act where disable_all_reencoding is off; PNG is built
+    """All parameters of download(). What Spark decides itself (distributor, subjob_size, processes_count) is accepted and
+    warned about. max_bytes_in_flight bounds the bodies that a task holds. Image parameters act where disable_all_reencoding is off; PNG is built
     in, other codecs are given to download()."""
 
     url_list: str
@@ -87,6 +87,7 @@ class Options:
     enable_wandb: bool = False
     wandb_project: str | None = None
     start_shard_id: int = 0
+    max_bytes_in_flight: int = 256_000_000
     extras: list[str] = field(init=False, default_factory=list)
 
     def __post_init__(self):
@@ -116,9 +117,11 @@ class Options:
         given = DIRECTIVES if self.disallowed_header_directives is None else self.disallowed_header_directives
         self.disallowed_header_directives = tuple(sorted({x.strip().lower() for x in given}))
         self.max_bytes = None if self.max_data_size is None else int(self.max_data_size * MEGABYTE)
+        if self.max_shard_retry < 0 or self.max_bytes_in_flight < 1:
+            raise ValueError("max_shard_retry and max_bytes_in_flight must not be negative or nothing")
         self.magnitude = magnitude(self.number_sample_per_shard)
         self.url_list, self.output_folder = absolute(self.url_list), absolute(self.output_folder)
-        for name, default in (("processes_count", 1), ("subjob_size", None), ("max_shard_retry", 1)):
+        for name, default in (("processes_count", 1), ("subjob_size", None)):
             if getattr(self, name) != default:
                 warnings.warn(f"{name} is left to Spark's own configuration", stacklevel=3)
         if self.disable_all_reencoding:

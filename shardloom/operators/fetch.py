@@ -1,13 +1,16 @@
-"""Fetching payloads: a thread pool within each Arrow batch, retries, opt-out headers and size limits.
+"""Fetching payloads: a thread pool within each task, retries, opt-out headers, size limits and a budget of bytes in flight.
 
-A fetcher is a picklable callable url -> Reply. HttpFetcher asks the network; a lookup needs no fetcher, since it is a
+A fetcher is a picklable callable url -> Reply, or (url, reserve) -> Reply: then it calls reserve(n) before it reads n bytes
+of a body, and waits there until the task's budget has room. HttpFetcher asks the network; a lookup needs no fetcher, since it is a
 join (fetch_lookup). Whatever goes wrong with a row becomes its error message; no row is lost.
 """
 
 from __future__ import annotations
 
+import inspect
+import threading
 import urllib.request
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -40,6 +43,10 @@ def opted_out(values: Sequence[str], token: str | None, directives: Sequence[str
     return False
 
 
+#: Bytes that are reserved at a time for bodies whose length is not told.
+CHUNK = 65_536
+
+
 @dataclass
 class HttpFetcher:
     timeout: float = 10
@@ -51,7 +58,7 @@ class HttpFetcher:
     def agent(self) -> str:
         return USER_AGENT + (f" (compatible; {self.token}; +{self.project_url})" if self.token else "")
 
-    def __call__(self, url: str) -> Reply:
+    def __call__(self, url: str, reserve: Callable[[int], None] = lambda n: None) -> Reply:
         try:
             asked = urllib.request.Request(url, headers={"User-Agent": self.agent()})
             with urllib.request.urlopen(asked, timeout=self.timeout) as reply:
@@ -60,24 +67,71 @@ class HttpFetcher:
                 size = reply.headers.get("Content-Length")
                 if self.max_bytes is not None and size is not None and int(size) > self.max_bytes:
                     return Reply(error=TOO_LARGE)
-                body = reply.read() if self.max_bytes is None else reply.read(self.max_bytes + 1)
-                return Reply(error=TOO_LARGE) if self.max_bytes is not None and len(body) > self.max_bytes else Reply(body=body)
+                most = float("inf") if self.max_bytes is None else self.max_bytes
+                if size is not None:
+                    reserve(int(size))
+                    body = reply.read(int(size))
+                    return Reply(body=body) if len(body) == int(size) else Reply(error=f"{len(body)} of {size} bytes came")
+                parts, n = [], 0  # no length is told: the body is reserved as it comes
+                while n <= most:
+                    reserve(CHUNK)
+                    if not (part := reply.read(CHUNK)):
+                        return Reply(body=b"".join(parts))
+                    parts.append(part)
+                    n += len(part)
+                return Reply(error=TOO_LARGE)
         except Exception as e:  # every failure is the row's own outcome
             return Reply(error=str(e))
 
 
-def with_retries(fetch: Callable[[str], Reply], url: str, retries: int) -> Reply:
-    """The first reply with a body of up to retries + 1 attempts, else the last."""
+def with_retries(fetch: Callable[[str], Reply], url: str, retries: int, after: Callable[[Reply], None] = lambda reply: None) -> Reply:
+    """The first reply with a body of up to retries + 1 attempts, else the last; after() sees each attempt's reply."""
     for left in range(retries, -1, -1):
         try:
             reply = fetch(url)
+            if not isinstance(reply.body, (bytes, bytearray, type(None))):
+                reply = Reply(error=f"a body of {type(reply.body).__name__}")
         except Exception as e:
             reply = Reply(error=str(e))
+        after(reply)
         if reply.body is not None or not left:
             return reply
     raise AssertionError
 
 
+class Budget:
+    """Bytes of the bodies that a task holds. Bodies are taken in order of their places; those behind the first in line
+    share half of the budget and wait for room in it, the first takes what it needs. So no more than `most` bytes are
+    held, unless one body alone is larger than half of them, and the first in line never waits for the ones behind it."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.peak, self.first = most, 0, 0, 0
+        self.own: Counter = Counter()
+        self.changed = threading.Condition()
+
+    def take(self, place: int, n: int) -> None:
+        with self.changed:
+            self.changed.wait_for(lambda: place == self.first or self.held + n <= self.most // 2)
+            self.held += n
+            self.own[place] += n
+            self.peak = max(self.peak, self.held)
+
+    def settle(self, place: int, n: int) -> None:
+        """place holds n bytes in the end, whatever it took."""
+        with self.changed:
+            self.held += n - self.own[place]
+            self.own[place] = n
+            self.peak = max(self.peak, self.held)
+            self.changed.notify_all()
+
+    def done(self, place: int) -> None:
+        """The body of place, which was the first in line, is let go."""
+        with self.changed:
+            self.held -= self.own.pop(place, 0)
+            self.first = place + 1
+            self.changed.notify_all()
+
+
 def windowed(pool: ThreadPoolExecutor, work: Callable, items: Iterable, ahead: int) -> Iterator:
     """work over items in order, with at most `ahead` of them begun and not yet taken; items are taken as they are begun."""
     rest = iter(items)
@@ -88,10 +142,41 @@ def windowed(pool: ThreadPoolExecutor, work: Callable, items: Iterable, ahead: i
         yield done
 
 
-def fetched(df: DataFrame, fetch: Callable[[str], Reply], payload: str, threads: int = 256, retries: int = 0, batch_rows: int = 256) -> DataFrame:
-    """df (with url) and payload, error_message, start_time and end_time (seconds). Rows go on batch_rows at a time, so
-    that a batch of bodies stays far below Arrow's limit. One window of fetches runs over all batches of a task: a slow
-    reply holds back the rows behind it, but up to 4 * threads of them are fetched meanwhile, whatever their batch."""
+#: Bytes of bodies that a task holds at a time.
+BYTES_IN_FLIGHT = 256_000_000
+
+
+def replies(urls: Iterable[tuple], fetch: Callable, threads: int, retries: int, budget: Budget) -> Iterator[tuple]:
+    """(item, url) -> (item, reply, time of its end), in order. One window of fetches runs over all items: a slow reply holds
+    back the rows behind it, but up to 4 * threads of them are fetched meanwhile, as far as the budget goes. A body counts
+    until the next one is asked for. A fetcher that does not reserve is counted once its body is there."""
+    import time
+
+    reserves = "reserve" in inspect.signature(fetch).parameters
+
+    def one(numbered):
+        place, (item, url) = numbered
+
+        def after(reply):
+            n = 0 if reply.body is None else len(reply.body)
+            if n and not reserves:
+                budget.take(place, n)
+            budget.settle(place, n)
+
+        ask = (lambda u: fetch(u, lambda n: budget.take(place, n))) if reserves else fetch
+        reply = with_retries(ask, url, retries, after) if url is not None else Reply(error="url is null")
+        return item, reply, time.time()
+
+    with ThreadPoolExecutor(threads) as pool:
+        for place, found in enumerate(windowed(pool, one, enumerate(urls), 4 * threads)):
+            yield found
+            del found
+            budget.done(place)
+
+
+def fetched(df: DataFrame, fetch: Callable, payload: str, threads: int = 256, retries: int = 0, batch_rows: int = 256, most_bytes: int = BYTES_IN_FLIGHT) -> DataFrame:
+    """df (with url) and payload, error_message, start_time and end_time (seconds). Rows go on batch_rows at a time, or as
+    soon as their bodies hold a quarter of most_bytes, so that a batch stays far below Arrow's limit."""
     import time
 
     extra = [T.StructField(payload, T.BinaryType()), T.StructField("error_message", T.StringType()), T.StructField("start_time", T.DoubleType()), T.StructField("end_time", T.DoubleType())]
@@ -99,30 +184,24 @@ def fetched(df: DataFrame, fetch: Callable[[str], Reply], payload: str, threads:
         raise ValueError(f"columns {sorted(taken)} are made by fetching")
 
     def work(batches):
-        begun: deque[tuple[pa.RecordBatch, float]] = deque()
-
         def urls():
             for whole in batches:
                 for at in range(0, whole.num_rows, batch_rows):
-                    batch = whole.slice(at, batch_rows)
-                    begun.append((batch, time.time()))
-                    yield from batch.column(batch.schema.get_field_index("url")).to_pylist()
-
-        def one(url):
-            reply = with_retries(fetch, url, retries) if url is not None else Reply(error="url is null")
-            return reply, time.time()
-
-        with ThreadPoolExecutor(threads) as pool:
-            replies, ends = [], []
-            for reply, end in windowed(pool, one, urls(), 4 * threads):
-                replies.append(reply)
-                ends.append(end)
-                if len(replies) < begun[0][0].num_rows:
-                    continue
-                batch, start = begun.popleft()
-                columns = [pa.array([r.body for r in replies], pa.binary()), pa.array([None if r.body is not None else r.error or "no reply" for r in replies], pa.string()), pa.array([start] * len(replies), pa.float64()), pa.array(ends, pa.float64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(f.name for f in extra)])
-                replies, ends = [], []
+                    batch, start = whole.slice(at, batch_rows), time.time()
+                    for k, url in enumerate(batch.column(batch.schema.get_field_index("url")).to_pylist()):
+                        yield (batch, k, start), url
+
+        held: list[tuple[Reply, float]] = []
+        size = 0
+        for (batch, k, start), reply, end in replies(urls(), fetch, threads, retries, Budget(most_bytes * 3 // 4)):
+            held.append((reply, end))
+            size += len(reply.body or b"")
+            if k + 1 < batch.num_rows and size < most_bytes // 4:
+                continue
+            columns = [pa.array([r.body for r, _ in held], pa.binary()), pa.array([None if r.body is not None else r.error or "no reply" for r, _ in held], pa.string()), pa.array([start] * len(held), pa.float64()), pa.array([e for _, e in held], pa.float64())]
+            part = batch.slice(k + 1 - len(held), len(held))
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *(f.name for f in extra)])
+            held, size = [], 0
 
     return df.mapInArrow(work, T.StructType([*df.schema.fields, *extra]))
 

@@ -1,26 +1,31 @@
-"""The whole job: URL table -> shards and keys -> shards not yet done -> fetch -> outcomes -> containers -> statistics.
+"""The whole job: URL table -> shards and keys -> shards not yet done -> fetch, write and commit, shard by shard.
 
-Fetching is costly and not repeatable, so its rows are written once to a staging table in the output folder; containers,
-metadata and statistics are derived from that, and only then is it deleted: a run that dies in between leaves it, and the
-next run takes it up instead of fetching again. A shard counts as done when its statistics file stands, which is written
-last; a container that is written again takes the place of the one before.
+A shard is fetched, written and committed in one task (sinks.commit), its statistics last: they mark it as done. Nothing of
+a job is kept elsewhere, so one that dies keeps each shard it finished and fetches the rest alone when it is run again. The
+rows of the ledger tell what became of each shard; shards that failed are tried again, up to max_shard_retry times, and
+those that fail to the end stand in the table _failed_shards of the output folder with their error.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from ..config import Options
 from ..operators import classify, fetch, images, sharding
-from ..operators.stats import shard_stats
-from ..sinks.containers import write_dataset, write_stats
+from ..sinks import commit
 from ..sources.tables import url_table
 from ..streaming import monitor
 from ..streaming.monitor import done_shards
 
+#: Tasks of a pass at most, and seconds after which what a dead run has staged is deleted.
+MOST_TASKS, STALE = 100_000, 7 * 24 * 3600
+
 
 def _path(spark: SparkSession, folder: str):
     jvm = spark.sparkContext._jvm
@@ -37,95 +42,98 @@ def planned(spark: SparkSession, options: Options, done: DataFrame | None = None
     return sharding.with_key(sharded, options.magnitude, options.oom_shard_count)
 
 
-def outcomes(df: DataFrame, options: Options, codecs: dict | None = None) -> DataFrame:
-    """Hash checks, pictures where they are to be worked on, and status after a fetch. codecs: decoders, encoders and
-    blurrer of images.Resizer beyond the built-in ones."""
-    payload = options.encode_format
-    if options.verify_hash:
-        df = classify.verify_hash(df, options.verify_hash[0], options.verify_hash[1], payload)
-    if options.compute_hash:
-        df = classify.with_hash(df, options.compute_hash, payload)
-    if options.disable_all_reencoding:
-        return classify.with_status(df, payload)
-    fetched = df.withColumn("_fetched", F.col("error_message").isNull() & F.col(payload).isNotNull())
-    resizer = images.Resizer(
-        size=options.image_size, mode=options.resize_mode, only_if_bigger=options.resize_only_if_bigger, up=options.upscale_interpolation, down=options.downscale_interpolation, encode_format=options.encode_format, quality=options.encode_quality,
-        skip_reencode=options.skip_reencode, min_size=options.min_image_size, max_area=options.max_image_area, max_aspect=options.max_aspect_ratio, **(codecs or {}),
-    )
-    worked = images.resize(fetched, payload, resizer, options.bbox_col)
-    bad = F.col("_fetched") & F.col("error_message").isNotNull()
-    return classify.with_status(worked, payload).withColumn("status", F.when(bad, classify.NOT_RESIZED).otherwise(F.col("status"))).drop("_fetched")
-
-
-def finished(spark: SparkSession, options: Options, staging: str) -> str:
-    """Write what a staging table holds of shards that are not done, statistics last, then let the table go; the folder of
-    the metadata of its rows."""
-    fs, at = _path(spark, staging)
+def outcome(options: Options, codecs: dict | None = None) -> commit.Outcome:
+    """What is made of a body. codecs: decoders, encoders and blurrer of images.Resizer beyond the built-in ones."""
+    resizer = None
+    if not options.disable_all_reencoding:
+        resizer = images.Resizer(
+            size=options.image_size, mode=options.resize_mode, only_if_bigger=options.resize_only_if_bigger, up=options.upscale_interpolation, down=options.downscale_interpolation, encode_format=options.encode_format, quality=options.encode_quality,
+            skip_reencode=options.skip_reencode, min_size=options.min_image_size, max_area=options.max_image_area, max_aspect=options.max_aspect_ratio, **(codecs or {}),
+        )
+    return commit.Outcome(options.encode_format, options.verify_hash, options.compute_hash, resizer, options.bbox_col)
+
+
+def target(options: Options, rows: DataFrame, made: commit.Outcome, run: str) -> commit.Target:
+    """Where a run writes, and the metadata of its rows: columns of the table, those that outcomes add, key and status."""
+    plain = to_arrow_schema(rows.drop("shard_id", "key").schema)
+    schema = pa.schema([*plain, *made.columns, pa.field("key", pa.string()), pa.field("status", pa.string()), pa.field("error_message", pa.string())])
+    return commit.Target(options.output_folder, run, options.output_format, options.encode_format, bool(options.caption_col), options.oom_shard_count, schema)
+
+
+def looked_up(rows: DataFrame, store: DataFrame, options: Options) -> DataFrame:
+    """rows with payload and error_message from a table (url, body)."""
     payload = options.encode_format
-    whole = sharding.remaining(spark.read.parquet(staging), done_shards(spark, options.output_folder))
-    meta = [c for c in whole.columns if c not in ("start_time", "end_time", payload, "shard_id", "key", "status", "error_message")]
-    data = whole.select("shard_id", *meta, "key", "status", "error_message", payload)
-    kept = f"{options.output_folder}/_runs/{at.getName()}"
-    data.drop(payload, "shard_id").write.mode("overwrite").parquet(kept)
-    if whole.limit(1).count():
-        write_dataset(data, options.output_folder, options.output_format, payload, bool(options.caption_col), options.oom_shard_count)
-        write_stats(shard_stats(whole), options.output_folder, options.oom_shard_count)
-    fs.delete(at, True)
-    return kept
-
-
-def left_over(spark: SparkSession, options: Options) -> list[str]:
-    """Whole staging tables of runs that died after their fetch; those that were not written to the end are deleted."""
-    fs, at = _path(spark, options.output_folder)
-    found = []
+    got = fetch.fetch_lookup(rows, store, payload)
+    got = got.withColumn("error_message", F.coalesce("error_message", classify.size_error(F.octet_length(F.col(payload)), options.max_bytes)))
+    return got.withColumn(payload, F.when(F.col("error_message").isNull(), F.col(payload)))
+
+
+def swept(spark: SparkSession, folder: str, run: str | None = None) -> None:
+    """Delete what this run has staged, and what runs have left that have been dead for long; other runs' work stays."""
+    fs, at = _path(spark, f"{folder}/_staging")
+    if not fs.exists(at):
+        return
     for status in fs.listStatus(at):
-        name = status.getPath().getName()
-        if not name.startswith("_staging_"):
-            continue
-        folder = f"{options.output_folder}/{name}"
-        if fs.exists(_path(spark, f"{folder}/_SUCCESS")[1]):
-            found.append(folder)
-        else:
+        if status.getPath().getName() == run or status.getModificationTime() < (time.time() - STALE) * 1000:
             fs.delete(status.getPath(), True)
-    return sorted(found)
+
+
+def ledger(spark: SparkSession, folder: str, run: str) -> DataFrame:
+    """A row for each shard and pass of a run, with pass (from 0)."""
+    passes = spark.read.schema(commit.LEDGER + ", pass int").option("basePath", f"{folder}/_ledger/{run}")
+    return passes.parquet(f"{folder}/_ledger/{run}")
 
 
 def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False) -> DataFrame:
-    """Run the job; returns the metadata of the rows it wrote, those of an earlier run that died after its fetch among
-    them. store (url, body) replaces the network. With monitoring, totals of the statistics files go to the in-memory
-    table job_totals while shards finish, and once more in the end."""
-    fs, at = _path(spark, options.output_folder)
+    """Run the job; returns the metadata of the rows that it wrote. store (url, body) replaces the network. With
+    monitoring, totals of the statistics files go to the in-memory table job_totals while shards finish, and once more in
+    the end."""
+    folder, run = options.output_folder, uuid.uuid4().hex
+    fs, at = _path(spark, folder)
     if options.incremental_mode == "overwrite" and fs.exists(at):
         fs.delete(at, True)
     fs.mkdirs(at)
-    before = done_shards(spark, options.output_folder).collect()  # a row for each shard that is done
+    swept(spark, folder)
+    if options.incremental_mode == "extend":
+        options.start_shard_id = sharding.next_shard(done_shards(spark, folder)).first()[0]
     watch = None
     if monitoring:
-        known = spark.createDataFrame([(r.shard_id,) for r in before], "shard_id long")
-        watch = monitor.start(spark, options.output_folder, "job_totals", f"{options.output_folder}/_monitor_{uuid.uuid4().hex}", done=known)
+        before = f"{folder}/_monitor_{run}/done"
+        done_shards(spark, folder).write.parquet(before)  # as it is now: what this run adds is not in it
+        watch = monitor.start(spark, folder, "job_totals", f"{folder}/_monitor_{run}/state", done=spark.read.schema("shard_id long").parquet(before))
     try:
-        kept = [finished(spark, options, staging) for staging in left_over(spark, options)]
-        done = done_shards(spark, options.output_folder)
-        if options.incremental_mode == "extend":
-            options.start_shard_id = sharding.next_shard(done).first()[0]
-            done = None
-        rows = planned(spark, options, done).drop("idx")
-        payload = options.encode_format
-        if store is not None:
-            got = fetch.fetch_lookup(rows, store, payload).withColumns({"start_time": F.unix_micros(F.current_timestamp()) / 1e6, "end_time": F.unix_micros(F.current_timestamp()) / 1e6})
-            got = got.withColumn("error_message", F.coalesce("error_message", classify.size_error(F.octet_length(F.col(payload)), options.max_bytes)))
-            got = got.withColumn(payload, F.when(F.col("error_message").isNull(), F.col(payload)))
-        else:
-            fetcher = fetcher or fetch.HttpFetcher(options.timeout, options.user_agent_token, options.disallowed_header_directives, options.max_bytes)
-            got = fetch.fetched(rows, fetcher, payload, options.thread_count, options.retries)
-        staging = f"{options.output_folder}/_staging_{uuid.uuid4().hex}"
-        outcomes(got, options, codecs).write.parquet(staging)
-        kept.append(finished(spark, options, staging))
+        every = planned(spark, options).drop("idx")
+        made = outcome(options, codecs)
+        where = target(options, every, made, run)
+        if store is None and fetcher is None:
+            fetcher = fetch.HttpFetcher(options.timeout, options.user_agent_token, options.disallowed_header_directives, options.max_bytes)
+        for k in range(options.max_shard_retry + 1):
+            rows = sharding.remaining(every, done_shards(spark, folder)) if options.incremental_mode != "extend" or k else every
+            n = rows.agg(F.count_distinct("shard_id")).first()[0]
+            if store is not None:
+                rows = looked_up(rows, store, options)
+            told = commit.commit_shards(commit.dealt(rows, min(max(n, 1), MOST_TASKS)), where, made, None if store is not None else fetcher, options.thread_count, options.retries, options.max_bytes_in_flight)
+            told.write.parquet(f"{folder}/_ledger/{run}/pass={k}")
+            bad = spark.read.schema(commit.LEDGER).parquet(f"{folder}/_ledger/{run}/pass={k}").where("error is not null")
+            if not bad.limit(1).count():
+                break
+        bad.select("shard_id", "error").write.mode("overwrite").parquet(f"{folder}/_failed_shards")
     finally:
+        swept(spark, folder, run)
         if watch:
             watch.processAllAvailable()  # the final count
             watch.stop()
-    return spark.read.schema(spark.read.parquet(kept[-1]).schema).parquet(*kept)
+    return written(spark, where)
+
+
+def written(spark: SparkSession, where: commit.Target) -> DataFrame:
+    """The metadata of the shards that a run has committed."""
+    schema = from_arrow_schema(where.schema.append(pa.field("shard", pa.string())))
+    mine = ledger(spark, where.folder, where.run).where("error is null").select("shard")
+    fs, at = _path(spark, f"{where.folder}/{where.tables}")
+    if not fs.exists(at):
+        return spark.createDataFrame([], schema).drop("shard")
+    return spark.read.schema(schema).parquet(at.toString()).join(mine.distinct(), "shard", "left_semi").select(*where.schema.names)
 
 
 def download(spark: SparkSession, url_list: str, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False, **parameters) -> DataFrame:

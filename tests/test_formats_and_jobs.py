@@ -246,42 +246,132 @@ def test_lookup_job(spark, tmp_path):
     assert {r.url: r.status for r in got.collect()}["http://x/f"] == "failed_to_download" and got.where("status = 'success'").count() == 2
 
 
-@pytest.mark.parametrize("kind", ["parquet", "webdataset"])
-def test_job_that_dies_before_its_statistics(spark, tmp_path, kind, monkeypatch):
-    """What was fetched is kept and taken up by the next run; no row is fetched or stands twice."""
-    from shardloom.plans import materialize as job
+def a_run(spark, tmp_path, fetcher, rows=40, size=4, **more):
+    (tmp_path / "in.txt").write_text("\n".join(f"http://x/{i}" for i in range(rows)))
+    return download(spark, str(tmp_path / "in.txt"), fetcher, output_folder=str(tmp_path / "out"), number_sample_per_shard=size, encode_format="bin", thread_count=1, **more)
 
-    (tmp_path / "in.txt").write_text("\n".join(f"http://x/{i}" for i in range(10)))
-    asked = spark.sparkContext.accumulator(0)
 
-    def fetcher(url):
-        asked.add(1)
-        return fetch.Reply(body=url.encode())
+@pytest.mark.parametrize("kind", ["parquet", "webdataset", "files", "tfrecord", "dummy"])
+def test_a_job_that_is_killed_keeps_its_finished_shards(spark, tmp_path, kind):
+    """A fetcher ends its whole worker in the midst of shard 7, whatever tries again; the next run fetches what no finished
+    shard holds, and no row stands twice."""
+    asked = tmp_path / "asked"
+    asked.mkdir()
 
-    run = lambda **more: download(spark, str(tmp_path / "in.txt"), fetcher, output_folder=str(tmp_path / "out"), number_sample_per_shard=4, output_format=kind, encode_format="bin", **more)
+    def fetcher(url):
+        n = int(url.rsplit("/", 1)[1])
+        with open(asked / str(n), "a") as f:
+            f.write("x")
+        if n == 30 and (tmp_path / "deadly").exists():
+            import os
 
-    def dies(*_):
-        raise RuntimeError("died")
+            os._exit(1)
+        return fetch.Reply(body=url.encode())
 
-    with monkeypatch.context() as m:
-        m.setattr(job, "write_stats", dies)
-        with pytest.raises(RuntimeError, match="died"):
-            run()
-    assert [p.name for p in (tmp_path / "out").glob("_staging_*")] and asked.value == 10
-    assert run().count() == 10 and asked.value == 10 and not [*(tmp_path / "out").glob("_staging_*")]
-    rows = lambda: spark.read.parquet(str(tmp_path / "out" / ("data" if kind == "parquet" else "_metadata_table")))
-    assert rows().count() == rows().select("key").distinct().count() == 10
+    count = lambda: sum(len(p.read_text()) for p in asked.iterdir())
+    (tmp_path / "deadly").touch()
+    with pytest.raises(Exception, match="(?s).*"):
+        a_run(spark, tmp_path, fetcher, output_format=kind)
+    done = {int(p.name.split("_")[0]) for p in (tmp_path / "out").glob("*_stats.json")}
+    assert len(done) >= 2 and 7 not in done
+    (tmp_path / "deadly").unlink()
+    before = count()
+    got = a_run(spark, tmp_path, fetcher, output_format=kind)
+    assert count() - before == 40 - 4 * len(done) == got.count()
+    assert len([*(tmp_path / "out").glob("*_stats.json")]) == 10 and not [*(tmp_path / "out" / "_staging").iterdir()]
+    if kind in ("parquet", "webdataset", "files", "tfrecord"):
+        rows = spark.read.parquet(str(tmp_path / "out" / ("data" if kind == "parquet" else "_metadata_table")))
+        assert rows.count() == rows.select("key").distinct().count() == 40
     for p in (tmp_path / "out").glob("0000[01]_stats.json"):  # as if these had never been written
         p.unlink()
-    assert run().count() == 8 and asked.value == 18
-    assert rows().count() == rows().select("key").distinct().count() == 10
+    assert a_run(spark, tmp_path, fetcher, output_format=kind).count() == 8 and count() - before == 48 - 4 * len(done)
+    assert a_run(spark, tmp_path, fetcher, output_format=kind).count() == 0
+
+
+def test_shards_that_fail_are_tried_again(spark, tmp_path):
+    """Shards 1 and 2 cannot be put into place, shard 1 only twice."""
+    tables = tmp_path / "out" / "_metadata_table"
+    tables.mkdir(parents=True)
+    for shard in (1, 2):
+        (tables / f"shard=0000{shard}").touch()  # a file where the shard's folder should be
+
+    def fetcher(url):
+        if url.endswith("/5"):
+            tries = len([*tmp_path.glob("try*")])
+            (tmp_path / f"try{tries}").touch()
+            if tries == 2:
+                (tables / "shard=00001").unlink()
+        return fetch.Reply(body=b"x")
+
+    got = a_run(spark, tmp_path, fetcher, rows=16, output_format="webdataset", max_shard_retry=3)
+    (tables / "shard=00002").unlink()
+    assert sorted(r.key for r in got.collect()) == [f"{s:05d}{i:01d}" for s in (0, 1, 3) for i in range(4)]
+    (bad,) = spark.read.parquet(str(tmp_path / "out" / "_failed_shards")).collect()
+    assert bad.shard_id == 2 and bad.error
+    (run,) = (tmp_path / "out" / "_ledger").iterdir()
+    passes = spark.read.parquet(str(run)).collect()
+    assert sorted((r["pass"], r.shard_id, r.error is None) for r in passes) == [(0, 0, True), (0, 1, False), (0, 2, False), (0, 3, True), (1, 1, False), (1, 2, False), (2, 1, True), (2, 2, False), (3, 2, False)]
+    again = a_run(spark, tmp_path, lambda url: fetch.Reply(body=b"y"), rows=16, output_format="webdataset")
+    assert again.count() == 4 and spark.read.parquet(str(tmp_path / "out" / "_failed_shards")).count() == 0
+
+
+def test_other_runs_keep_what_they_stage(spark, tmp_path):
+    import os
+    import time
+
+    for name, age in (("young", 0), ("old", 30 * 24 * 3600)):
+        (tmp_path / "out" / "_staging" / name).mkdir(parents=True)
+        os.utime(tmp_path / "out" / "_staging" / name, (time.time() - age,) * 2)
+    assert a_run(spark, tmp_path, lambda url: fetch.Reply(body=b"x"), output_format="files").count() == 40
+    assert [p.name for p in (tmp_path / "out" / "_staging").iterdir()] == ["young"]
+
+
+@pytest.mark.parametrize("reserving", [True, False])
+def test_bodies_in_flight_stay_within_the_budget(reserving):
+    """Replies of known sizes, some of them late: what is held at a time, told from outside."""
+    import random
+    import threading
+    import time
+
+    r, lock, held, peak = random.Random(3), threading.Lock(), [0], [0]
+    sizes = [r.choice([0, 1_000, 20_000, 45_000]) for _ in range(400)]
+    budget = fetch.Budget(100_000)
 
+    def count(n):
+        with lock:
+            held[0] += n
+            peak[0] = max(peak[0], held[0])
 
-def test_job_that_dies_while_it_fetches(spark, tmp_path):
-    (tmp_path / "in.txt").write_text("http://x/1")
-    (tmp_path / "out" / "_staging_half").mkdir(parents=True)
-    done = download(spark, str(tmp_path / "in.txt"), lambda url: fetch.Reply(body=b"x"), output_folder=str(tmp_path / "out"), output_format="files", encode_format="bin")
-    assert done.count() == 1 and not (tmp_path / "out" / "_staging_half").exists()
+    def reserved(url, reserve):
+        i = int(url)
+        if i % 50 == 0:
+            time.sleep(0.05)
+        reserve(sizes[i])
+        count(sizes[i])
+        return fetch.Reply(body=bytes(sizes[i]))
+
+    ask = reserved if reserving else (lambda url: reserved(url, lambda n: None))
+    seen = []
+    for i, reply, _ in fetch.replies(((i, str(i)) for i in range(400)), ask, 16, 0, budget):
+        seen.append((i, len(reply.body)))
+        count(-len(reply.body))
+    assert seen == [*enumerate(sizes)] and budget.held == 0 and budget.peak <= 100_000
+    assert not reserving or peak[0] <= 100_000
+
+
+def test_a_body_larger_than_the_budget_goes_alone_and_failures_give_back(server):
+    budget = fetch.Budget(1_000)
+    bodies = {"0": 5_000, "1": 400, "2": None, "3": 5_000}
+
+    def ask(url, reserve):
+        reserve(bodies[url] or 900)
+        return fetch.Reply(body=bytes(bodies[url])) if bodies[url] is not None else fetch.Reply(error="broke off")
+
+    got = [(i, reply.error or len(reply.body)) for i, reply, _ in fetch.replies(((i, str(i)) for i in range(4)), ask, 4, 1, budget)]
+    assert got == [(0, 5_000), (1, 400), (2, "broke off"), (3, 5_000)] and budget.held == 0
+    taken = []
+    reply = fetch.HttpFetcher()(server + "/ok", taken.append)
+    assert taken == [len(reply.body)]
 
 
 def test_pictures_in_the_job(spark, tmp_path):
