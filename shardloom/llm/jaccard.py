@@ -30,6 +30,8 @@ alone, so further columns may have any names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -37,30 +39,109 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, minhash
-from .minhash import KEY
+from .minhash import KEY, mixed
 
 SHINGLE, PERCENT = 4, 85
 #: Slots of the table of counts, and slots of a row of it on its way.
 SLOTS, SLOT_ROW = 1 << 18, 1 << 14
+#: Bytes whose words are hashed at a time; longer words are hashed by another function wherever a text is that long.
+SEGMENT, LONG_WORD = 1 << 19, 1 << 16
+#: Pairs of a centre that one task compares, about.
+CENTRE_PAIRS = 1_000
+#: Nodes that are broadcast to find their texts (16 bytes each); more are joined by a shuffle.
+MOST_BROADCAST_NODES = 500_000
 #: Rounds of centres before the exact comparison.
 ROUNDS = 3
 
 _U = np.uint64
 
 
-def shingles(text: bytes | None) -> np.ndarray:
-    """The distinct runs as sorted 64-bit hashes."""
-    known = common.per_worker(lambda: common.Kept(xxhash.xxh64_intdigest, minhash.KEPT_WORDS), "words", "jaccard")
-    ws = (text or b"").lower().split()  # bytes: A-Z alone are lowered, and the blanks are the six of the word rule
-    n = len(ws)
+class Words:
+    """Hashes of the words of many texts at once. A word's hash is the sum of a random number for each of its bytes, times
+    the powers of an odd base, modulo 2^64: running sums give all words of a segment without a loop over them."""
+
+    def __init__(self):
+        r = np.random.default_rng(11)
+        self.byte = r.integers(0, 1 << 64, 256, _U)
+        self.power = np.full(SEGMENT + LONG_WORD + 1, r.integers(0, 1 << 63, dtype=_U) * _U(2) + _U(1))
+        self.power[0] = 1
+        with np.errstate(over="ignore"):
+            self.power = np.cumprod(self.power, dtype=_U)
+
+    def of_segment(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first byte) of each word of lower-case data of at most SEGMENT + LONG_WORD bytes."""
+        raw = np.frombuffer(data, np.uint8)
+        blank = (raw == 32) | (raw - np.uint8(9) <= 4)
+        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        starts, ends = edge[::2], edge[1::2]
+        sums = np.zeros(len(raw) + 1, _U)
+        with np.errstate(over="ignore"):
+            np.cumsum(self.byte[raw] * self.power[: len(raw)], dtype=_U, out=sums[1:])
+            return mixed((sums[ends] - sums[starts]) * self.power[SEGMENT + LONG_WORD - starts]), starts
+
+    def of_text(self, data: bytes) -> np.ndarray:
+        """Hashes of the words of one text of any length, segment by segment."""
+        data = data.lower()
+        if len(data) <= SEGMENT:
+            return self.of_segment(data)[0]
+        out, run, size = [], [], 0
+        for word in data.split():
+            if len(word) > LONG_WORD:  # has a hash of another kind, wherever it stands
+                out += [self.of_segment(b" ".join(run))[0], np.array([xxhash.xxh64_intdigest(word)], _U)]
+                run, size = [], 0
+                continue
+            run.append(word)
+            size += len(word) + 1
+            if size > SEGMENT:
+                out.append(self.of_segment(b" ".join(run))[0])
+                run, size = [], 0
+        return np.concatenate([*out, self.of_segment(b" ".join(run))[0]])
+
+
+def runs_of(h: np.ndarray) -> np.ndarray:
+    """The distinct runs of a text's words, sorted."""
+    n = len(h)
     if not n:
-        return np.zeros(0, _U)
-    h = np.array([*map(known.__getitem__, ws)], _U)
+        return h
     s = np.full(max(n - SHINGLE + 1, 1), min(n, SHINGLE), _U)
     with np.errstate(over="ignore"):
         for i in range(min(n, SHINGLE)):
             s = s * _U(0x9E3779B97F4A7C15) + h[i : i + len(s)]
-    return np.unique(minhash.mixed(s))
+    return np.unique(mixed(s))
+
+
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The set of each text, as sorted 64-bit hashes; short texts are hashed many at a time."""
+    words = common.per_worker(Words, "words", "jaccard")
+    texts = texts.cast(pa.binary())
+    held: list[bytes] = []
+    size = 0
+
+    def given():
+        whole = b" ".join(held).lower()
+        hashes, starts = words.of_segment(whole)
+        ends = np.cumsum([len(t) + 1 for t in held])
+        for own in np.split(hashes, np.searchsorted(starts, ends[:-1])):
+            yield runs_of(own)
+
+    for text in texts:
+        data = text.as_py() or b""
+        if len(data) > SEGMENT // 4:
+            yield from given() if held else ()
+            held, size = [], 0
+            yield runs_of(words.of_text(data))
+            continue
+        if size + len(data) >= SEGMENT:
+            yield from given()
+            held, size = [], 0
+        held.append(data)
+        size += len(data) + 1
+    if held:
+        yield from given()
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    return next(shingle_sets(pa.array([text], pa.binary())))
 
 
 def least_shared(n: int) -> int:
@@ -68,6 +149,10 @@ def least_shared(n: int) -> int:
     return -(-n * PERCENT // 100)
 
 
+def node_of(runs: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(runs.tobytes()) >> 1 if len(runs) else None
+
+
 def slot(runs: np.ndarray) -> np.ndarray:
     return (runs & _U(SLOTS - 1)).astype(np.int64)
 
@@ -82,9 +167,8 @@ def nodes_and_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             kind = batch.column("doc_id").type
             node, n = [], []
-            for text in batch.column("text").cast(pa.binary()):
-                runs = shingles(text.as_py())
-                node.append(xxhash.xxh3_64_intdigest(runs.tobytes()) >> 1 if len(runs) else None)
+            for runs in shingle_sets(batch.column("text")):
+                node.append(node_of(runs))
                 n.append(len(runs))
                 np.add.at(total, slot(runs), 1)
             told = [batch.column("doc_id"), *(batch.column(k) for k in KEY), pa.array(node, pa.int64()), pa.array(n, pa.int64())]
@@ -144,17 +228,13 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         seen = common.Kept(lambda node: True, 200_000)
         for batch in batches:
             rows = []
-            for text in batch.column("text").cast(pa.binary()):
-                runs = shingles(text.as_py())
-                if not len(runs):
-                    continue
-                node = xxhash.xxh3_64_intdigest(runs.tobytes()) >> 1
-                key = node.to_bytes(8, "little")
-                if key in seen or key in seen.old:
+            for runs in shingle_sets(batch.column("text")):
+                node = node_of(runs)
+                if node is None or (key := node.to_bytes(8, "little")) in seen or key in seen.old:
                     continue
                 seen[key]
                 own = count[slot(runs)]
-                order = np.lexsort((runs, own))
+                order = np.argsort((own.astype(_U) << _U(24)) | (runs >> _U(40)), kind="stable")  # runs are sorted: ties too have one order
                 n = len(runs)
                 m = matches(n, np.maximum(own[order] - noise, 0))
                 rows.append((node, n, m, runs[order[: n - least_shared(n) + m]].view(np.int64)))
@@ -177,17 +257,47 @@ def buckets(known: DataFrame) -> DataFrame:
     return common.cut(posted.hint("merge").join(one, "key").select(F.lit(0).alias("band"), "key", "node", "n", "centre"), "members")
 
 
-def bagged(texts: pa.Array) -> pa.Array:
-    return pa.array([shingles(text.as_py()).tobytes() for text in texts.cast(pa.binary())], pa.binary())
-
-
-def linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-    return pa.array(out, pa.bool_())
+def is_link(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def compared(batches):
+    """mapInArrow function: rows (b, salt, node, text) sorted so that a centre's own row (node = b) comes first in its group
+    -> links (a, b)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    at, centre = None, None
+    for batch in batches:
+        out = []
+        rows = zip(*(batch.column(c).to_pylist() for c in ("b", "salt", "node")), strict=True)
+        for (b, salt, node), runs in zip(rows, shingle_sets(batch.column("text")), strict=True):
+            if (b, salt) != at:
+                at, centre = (b, salt), runs if node == b else None
+            elif node != b and centre is not None and is_link(runs, centre):
+                out.append((min(node, b), max(node, b)))
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+
+def linker(batches):
+    """mapInArrow function: rows sorted by pair of blocks (band, key, kind, i, j), with node, class, second, text -> links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    at, held = None, []
+
+    def found():
+        nodes, classes, second = (np.array(x) for x in zip(*(r[0] for r in held), strict=True))
+        links = minhash.forest(nodes, classes, second, at[2] == 1 or at[3] != at[4], [r[1] for r in held], PERCENT / 100)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
+
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "kind", "i", "j", "node", "class", "second")), strict=True)
+        for row, runs in zip(keys, shingle_sets(batch.column("text")), strict=True):
+            if row[:5] != at:
+                if held:
+                    yield found()
+                at, held = row[:5], []
+            held.append((row[5:8], runs))
+    if held:
+        yield found()
 
 
 def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -198,35 +308,50 @@ def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("p_a", "p_b")) >= needed).select("a", "b")
 
 
-def links(rows: DataFrame, known: DataFrame, members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """node, class: of the nodes with links. known: prefixes(); members: buckets(); rows (node, text): of each member."""
-    spark = rows.sparkSession
-    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
-    bags = common.cut(texts.select("node", F.arrow_udf(bagged, "binary")("text").alias("bag")), "bags")
+def of_nodes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of some nodes: by a broadcast of the nodes where their counted number allows it."""
+    some = common.cut(nodes.select("node").distinct(), "some")
+    return texts.join(F.broadcast(some) if some.count() <= MOST_BROADCAST_NODES else some.hint("merge"), "node", "left_semi")
+
+
+def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (node, b: a centre) -> the links (a, b) among them. Each node's text goes to its centre's group; a centre with
+    many pairs has several groups, each with its own text."""
+    new = common.cut(pairs.select("node", "b").distinct(), "pairs")
+    some = common.cut(promising(new.withColumnRenamed("node", "a"), known).withColumnRenamed("a", "node"), "promising")
+    salts = some.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CENTRE_PAIRS).cast("int").alias("salts"))
+    salts = common.cut(salts, "salts")
+    members = some.join(salts.hint("merge"), "b").select("b", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), "node")
+    centres = salts.select("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("b").alias("node"))
+    groups = common.cut(members.union(centres), "groups")
+    rows = groups.join(of_nodes(texts, groups).hint("merge"), "node").select("b", "salt", "node", (F.col("node") != F.col("b")).alias("later"), "text")
+    dealt = rows.repartition(common.partitions(texts.sparkSession), "b", "salt").sortWithinPartitions("b", "salt", "later")
+    return common.cut(dealt.mapInArrow(compared, "a long, b long"), "links")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        new = common.cut(pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "pairs")
-        some = common.cut(promising(new, known), "promising")
-        first = some.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("x")).hint("merge"), "a")
-        both = first.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("y")).hint("merge"), "b")
-        return common.cut(both.where(F.arrow_udf(linked, "boolean")("x", "y")).select("a", "b"), "links")
+
+def links(texts: DataFrame, known: DataFrame, members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """node, class: of the nodes with links. texts (node, text): of each member; known: prefixes(); members: buckets()."""
 
     def classed() -> DataFrame:
-        return common.cut(members.select("band", "key", "node", "n").join(own, "node", "left").withColumn("class", F.coalesce("class", "node")), "held")
+        held = members.select("band", "key", "node", "n").join(own, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        held = common.cut(held, "held")  # buckets of one class are done
+        split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi and m > 2")
+        out = common.cut(held.join(common.cut(split.select("band", "key"), "split").hint("merge"), ["band", "key"]), "open")
+        common.drop(held)
+        return out
 
-    found = verified(members.where("node <> centre").select("node", F.col("centre").alias("b")))
+    found = verified(members.where("node <> centre").select("node", F.col("centre").alias("b")), known, texts)
     own = minhash.components(found)
     for t in range(1, rounds):
-        held = classed()
-        split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("x"), "node", "class")).alias("c"), F.count(F.lit(1)).alias("m")).where("lo <> hi and m > 2").select("band", "key", F.col("c.node").alias("b"), F.col("c.class").alias("bc"))
-        found = found.union(verified(held.join(common.cut(split, "centres"), ["band", "key"]).where("class <> bc").select("node", "b")))
+        members = classed()
+        centre = members.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("x"), "node", "class")).alias("c")).select("band", "key", F.col("c.node").alias("b"), F.col("c.class").alias("bc"))
+        found = found.union(verified(members.join(common.cut(centre, "centres"), ["band", "key"]).where("class <> bc").select("node", "b"), known, texts))
         own = minhash.components(found)
-        common.drop(held)
-    pairs = minhash.blocked(classed()).join(bags.hint("merge"), "node").select("band", "key", "kind", "i", "j", "node", "class", "second", "bag")
+    blocks = common.cut(minhash.blocked(classed()), "blocks")
+    pairs = blocks.join(of_nodes(texts, blocks).hint("merge"), "node").select("band", "key", "kind", "i", "j", "node", "class", "second", "text")
     order = ["band", "key", "kind", "i", "j"]
-    dealt = pairs.repartition(common.partitions(spark), *order).sortWithinPartitions(*order)
-    more = common.cut(dealt.mapInArrow(minhash.linker(PERCENT / 100), "a long, b long"), "links")
-    return minhash.components(found.union(more))
+    dealt = pairs.repartition(common.partitions(texts.sparkSession), *order).sortWithinPartitions(*order)
+    return minhash.components(found.union(common.cut(dealt.mapInArrow(linker, "a long, b long"), "links")))
 
 
 def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -239,7 +364,8 @@ def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     members = buckets(known)
     # the text of one row for each node that has a candidate, by the keys of the row
     keys = sets.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct(*KEY)).alias("k")).select("node", "k.*")
-    own = links(rows.select(*KEY, "text").hint("merge").join(common.cut(keys, "keys"), KEY), known, members, rounds)
+    texts = rows.select(*KEY, "text").hint("merge").join(common.cut(keys, "keys"), KEY).groupBy("node").agg(F.first("text").alias("text"))
+    own = links(common.cut(texts, "texts"), known, members, rounds)
     classed = common.cut(sets.join(own.hint("merge"), "node", "left").withColumn("class", F.coalesce("class", "node")), "classes")
     ids = classed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("component_size"))
     told = classed.join(common.cut(ids, "component-ids").hint("merge"), "class", "left")

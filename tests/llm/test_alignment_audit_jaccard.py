@@ -321,3 +321,23 @@ def test_registered(spark, sf):
     for name, rows in (("op11_alignment", 200), ("op13_jaccard", 200)):
         assert registry.queries()[name](spark, sf).count() == rows
     assert "op12_filter_audit" in registry.oracle_sql()
+
+
+def test_words_hash_alike_wherever_they_stand(monkeypatch):
+    """The same words give the same hashes in short and long texts, alone or among others, in segments of any size."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(7)
+    letters = "".join(r.choice(list("abcdefgh"), jaccard.LONG_WORD + 10))
+    vocabulary = [f"w{i}é" for i in range(3000)] + [letters, letters[:-1] + "X", letters[: jaccard.LONG_WORD]]
+    texts = [" ".join(r.choice(vocabulary[:3000], int(r.integers(0, 40)))) for _ in range(50)]
+    texts += ["", None, "\t\x0b \n", " ".join(r.choice(vocabulary[:3000], 200_000)), " ".join([*vocabulary[3000:], "a", "b", "C", *vocabulary])]
+    want = {}
+    for t, got in zip(texts, jaccard.shingle_sets(pa.array(texts, pa.string())), strict=True):
+        assert np.array_equal(got, jaccard.shingles(None if t is None else t.encode()))
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        runs = {tuple(w[i : i + 4]) for i in range(max(len(w) - 3, 1))} if w else set()
+        assert len(got) == len(runs)
+        for run in [*runs][:300]:
+            (own,) = jaccard.shingles(" ".join(run).encode())
+            assert own in got and want.setdefault(run, own) == own
