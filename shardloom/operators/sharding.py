@@ -6,23 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sample_key, shard_count
-from ..sources.tables import BLOCK, FILE, INDEX
+from ..sources.tables import BLOCK, FILE, INDEX, kept
 
 #: Files whose offsets are broadcast; more are joined by a shuffle.
 MOST_BROADCAST_FILES = 1_000_000
 
 
 def with_row_index(df: DataFrame) -> DataFrame:
-    """Rows numbered from 0 within their file; df comes straight from a scan. Parquet scans know the number. Rows of other
-    formats have a running number within their task, where a split's rows stand together, so a row for each split is
-    enough to know what comes before it: rows are not shuffled, however large a file is."""
+    """Rows numbered from 0 within their file; df comes straight from a scan. Parquet scans and delimited text know the
+    number. Rows of other formats have a running number within their task, where a split's rows stand together, so a row
+    for each split is enough to know what comes before it: rows are not shuffled, however large a file is. The rows are
+    written once with their running numbers: a second scan may be split otherwise, as when executors join in between. A
+    row whose split is not known raises."""
     if INDEX in df.columns:
         return df
-    rows = df.withColumn("_seq", F.monotonically_increasing_id())
+    rows = kept(df.withColumn("_seq", F.monotonically_increasing_id()), "rows")
     splits = rows.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_least"))
     before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select(FILE, BLOCK, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_start"))
-    return rows.join(starts, [FILE, BLOCK]).withColumn(INDEX, (F.col("_seq") + F.col("_start")).cast("long")).drop("_seq", "_start")
+    return placed(rows, starts)
+
+
+def placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """rows (FILE, BLOCK, _seq) with INDEX; starts (FILE, BLOCK, _start): what to add in each split."""
+    known = F.coalesce("_start", F.raise_error(F.lit("a row's split is not known")).cast("long"))
+    return rows.join(starts, [FILE, BLOCK], "left").withColumn(INDEX, (F.col("_seq") + known).cast("long")).drop("_seq", "_start")
 
 
 def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0) -> DataFrame:

@@ -7,8 +7,6 @@ the twin.
 from __future__ import annotations
 
 import gzip
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -330,31 +328,41 @@ def meta_json(spark, sf_dir):
 
 @query("select n_nationkey, list_sort(list_intersect([lower(n_name), 'url', 'sha256', 'own'], [" + ", ".join(f"'{r}'" for r in RESERVED) + "]))[1] as first_taken, 2::bigint as n_taken from nation")
 def reserved_columns(spark, sf_dir):
-    """What Options says of additional columns that are taken; nation has a fixed number of rows."""
-    out = []
-    for row in read(spark, sf_dir, "nation").select("n_nationkey", F.lower("n_name").alias("n")).collect():
-        try:
-            Options("urls", save_additional_columns=[row.n, "url", "sha256", "own"])
-            out.append((row.n_nationkey, None, 0))
-        except ValueError as e:
-            taken = str(e).partition(": ")[2].split(", ")
-            out.append((row.n_nationkey, min(taken), len(taken)))
-    return spark.createDataFrame(out, "n_nationkey int, first_taken string, n_taken long")
+    """What Options says, in tasks, of additional columns that are taken."""
+
+    def said(names: pa.Array) -> pa.Array:
+        out = []
+        for name in names.to_pylist():
+            try:
+                Options("urls", save_additional_columns=[name, "url", "sha256", "own"])
+                out.append({"first_taken": None, "n_taken": 0})
+            except ValueError as e:
+                taken = str(e).partition(": ")[2].split(", ")
+                out.append({"first_taken": min(taken), "n_taken": len(taken)})
+        return pa.array(out, pa.struct([("first_taken", pa.string()), ("n_taken", pa.int64())]))
+
+    rows = read(spark, sf_dir, "nation").select("n_nationkey", F.arrow_udf(said, "first_taken string, n_taken long")(F.lower("n_name")).alias("o"))
+    return rows.select("n_nationkey", "o.*")
 
 
 @query("select n_nationkey, length((n_nationkey * 97 + 1)::varchar)::bigint - case when n_nationkey * 97 + 1 in (1, 10, 100, 1000) then 1 else 0 end as magnitude, lower(n_name) as token, 'noai,noindex' as directives, '/tmp/' || n_name as folder, case when n_nationkey % 2 = 0 then 'one' end as refused from nation")
 def option_values(spark, sf_dir):
-    """Orders of magnitude, normalised tokens and directives, absolute paths, and hashes that do not agree."""
-    out = []
-    for row in read(spark, sf_dir, "nation").collect():
-        o = Options("urls", f"/tmp/{row.n_name}", number_sample_per_shard=row.n_nationkey * 97 + 1, user_agent_token=f"  {row.n_name} ", disallowed_header_directives=[" NoIndex", "noai ", "NOAI"])
-        said = None
-        try:
-            Options("urls", compute_hash="md5", verify_hash=("h", "sha256" if row.n_nationkey % 2 == 0 else "md5"))
-        except ValueError as e:
-            said = str(e).split(" ")[-2]
-        out.append((row.n_nationkey, o.magnitude, o.user_agent_token, ",".join(o.disallowed_header_directives), o.output_folder, said))
-    return spark.createDataFrame(out, "n_nationkey int, magnitude long, token string, directives string, folder string, refused string")
+    """Orders of magnitude, normalised tokens and directives, absolute paths, and hashes that do not agree, in tasks."""
+    kind = "magnitude long, token string, directives string, folder string, refused string"
+
+    def said(keys: pa.Array, names: pa.Array) -> pa.Array:
+        out = []
+        for key, name in zip(keys.to_pylist(), names.to_pylist(), strict=True):
+            o = Options("urls", f"/tmp/{name}", number_sample_per_shard=key * 97 + 1, user_agent_token=f"  {name} ", disallowed_header_directives=[" NoIndex", "noai ", "NOAI"])
+            refused = None
+            try:
+                Options("urls", compute_hash="md5", verify_hash=("h", "sha256" if key % 2 == 0 else "md5"))
+            except ValueError as e:
+                refused = str(e).split(" ")[-2]
+            out.append({"magnitude": o.magnitude, "token": o.user_agent_token, "directives": ",".join(o.disallowed_header_directives), "folder": o.output_folder, "refused": refused})
+        return pa.array(out, pa.struct([("magnitude", pa.int64()), *((c, pa.string()) for c in ("token", "directives", "folder", "refused"))]))
+
+    return read(spark, sf_dir, "nation").select("n_nationkey", F.arrow_udf(said, kind)("n_nationkey", "n_name").alias("o")).select("n_nationkey", "o.*")
 
 
 @query("select s_suppkey, '10.0.' || (s_suppkey % 300) || '.1' as host, s_suppkey % 300 <= 255 as is_ip, replace('10.0.' || (s_suppkey % 300) || '.1', '.', '_') || '_80' as safe from supplier")
@@ -469,18 +477,12 @@ def dashboard_json(spark, sf_dir):
 # --- URL tables of all formats, written and read --------------------------------------------------------------------
 
 
-def new_folder(spark, name: str) -> str:
-    """A new folder where all executors see it."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.gettempdir()
-    return f"{found}/{name}-{uuid.uuid4().hex}"
+new_folder = tables.shared_folder
 
 
 def text_files(lines: DataFrame, folder: str, ending: str, head: str | None = None, between: str = "\n", ends: tuple[str, str] = ("", "\n")) -> None:
-    """Files of lines (line, file) named file.ending, gzip-compressed where the ending says so; lines in their order."""
+    """Files of lines (line, file, and at where their order counts) named file.ending, gzip-compressed where the ending says
+    so."""
 
     def work(batches):
         fs, root = containers.filesystem(folder)
@@ -495,7 +497,8 @@ def text_files(lines: DataFrame, folder: str, ending: str, head: str | None = No
                 out.write(gzip.compress(data) if ending.endswith(".gz") else data)
         yield pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64())], names=["n"])
 
-    lines.select("line", "file").repartition("file").mapInArrow(work, "n long").agg(F.sum("n")).collect()
+    dealt = lines.repartition("file").sortWithinPartitions("file", "at") if "at" in lines.columns else lines.repartition("file")
+    dealt.select("line", "file").mapInArrow(work, "n long").agg(F.sum("n")).collect()
 
 
 def written_table(spark, sf_dir, kind: str) -> str:
@@ -541,6 +544,46 @@ def text_positions(spark, sf_dir):
     return sharding.with_shards(table, 20).groupBy((F.col("page_id") % 5).alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first_idx"), F.max("shard_id").alias("last_shard"))
 
 
+#: Files of unequal lengths: 7 rows, 33, some, and the rest; only the last has no shard that is not full.
+_UNEVEN = "case when page_id < 7 then 'a' when page_id < 40 then 'b' when page_id % 3 = 0 then 'c' else 'd' end"
+_PLACES = f"""
+with r as (select page_id, {_UNEVEN} as file, row_number() over (partition by {_UNEVEN} order by page_id) - 1 as line from pages),
+f as (select file, ceil(count(*) / 20)::bigint as n from r group by file),
+o as (select file, coalesce(sum(n) over (order by file rows between unbounded preceding and 1 preceding), 0)::bigint as first from f)
+select page_id, first + line // 20 as shard_id, (line % 20)::bigint as idx from r join o using (file)
+"""
+
+
+def uneven(spark, sf_dir, kind: str):
+    """The table of pages as files of unequal lengths, and the place of each row in shards of 20."""
+    folder = new_folder(spark, "uneven")
+    rows = read(spark, sf_dir, "pages").withColumns({"file": F.expr(_UNEVEN), "alt": F.substring("html", 1, 200)})
+    if kind == "jsonl":
+        text_files(rows.select(F.to_json(F.struct("page_id", "url")).alias("line"), "file", F.col("page_id").alias("at")), folder, kind)
+    else:
+        cell = F.concat(F.lit('"'), F.regexp_replace(F.concat("alt", F.lit('\n"'), "url"), '"', '""'), F.lit('"'))
+        text_files(rows.select(F.concat_ws(",", F.col("page_id").cast("string"), cell, "url").alias("line"), "file", F.col("page_id").alias("at")), folder, kind, head="page_id,alt,url")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # so that files have many splits
+    try:
+        table = tables.url_table(spark, folder, kind, "url", None if kind == "jsonl" else "alt", ["page_id"])
+        return tables.kept(sharding.with_shards(table, 20), "places")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@query(_PLACES)
+def text_rows(spark, sf_dir):
+    """Shard and place of each line, row by row, over files of several splits."""
+    return uneven(spark, sf_dir, "jsonl").select("page_id", "shard_id", "idx")
+
+
+@query(f"select p.*, md5(substr(html, 1, 200) || chr(10) || '\"' || url) as caption_md5 from ({_PLACES}) p join pages using (page_id)")
+def delimited_rows(spark, sf_dir):
+    """The same of CSV files whose cells hold line ends and quotes, many tasks to a file."""
+    return uneven(spark, sf_dir, "csv").select("page_id", "shard_id", "idx", F.md5("caption").alias("caption_md5"))
+
+
 # --- containers, written and read back ------------------------------------------------------------------------------
 
 
@@ -646,6 +689,35 @@ def whole_job(spark, sf_dir):
     return done.select("key", "url", "status", "error_message", F.when(F.col("status") == classify.SUCCESS, F.col("md5")).alias("md5"))
 
 
+@query("select printf('%07d', page_id) as key, url, md5(case when page_id // 100 % 2 = 0 then html else upper(html) end) as md5, page_id // 100 % 2 = 1 as again from pages")
+def resumed_job(spark, sf_dir):
+    """A job of which every second shard was not finished, run again over other bodies: finished shards are as they were, and
+    the second run's own rows are those of the others alone."""
+    from .materialize import download
+
+    folder, source = new_folder(spark, "job"), read(spark, sf_dir, "pages")
+    run = lambda body: download(spark, f"{sf_dir}/pages.parquet", store=source.select("url", body.alias("body")), input_format="parquet", output_folder=folder, output_format="tfrecord", encode_format="bin", number_sample_per_shard=100, compute_hash="md5")
+    run(F.col("html"))
+    odd = monitor.done_shards(spark, folder).where("shard_id % 2 = 1")
+    forgotten(odd, folder)
+    again = tables.kept(run(F.upper("html")).select("key", F.lit(True).alias("again")), "again")
+    rows = spark.read.schema("url string, md5 string, key string").parquet(f"{folder}/_metadata_table")
+    return rows.join(again, "key", "left").select("key", "url", "md5", F.coalesce("again", F.lit(False)).alias("again"))
+
+
+def forgotten(shards: DataFrame, folder: str) -> None:
+    """Delete the statistics of shards, as if they had never been finished."""
+
+    def work(batches):
+        fs, root = containers.filesystem(folder)
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                fs.delete_file(f"{root}/{shard:05d}_stats.json")
+            yield batch
+
+    shards.select("shard_id").mapInArrow(work, "shard_id long").agg(F.count(F.lit(1))).collect()
+
+
 # --- the whole relational pipeline ----------------------------------------------------------------------------------
 
 _PIPELINE = """

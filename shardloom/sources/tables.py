@@ -7,6 +7,8 @@ in the scan.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,24 @@ from ..config import INPUT_FORMATS
 FILE, BLOCK, INDEX, ORDER = "_file", "_block", "_index", "_order"
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder where the driver and all executors see it: under spark.checkpoint.dir, or, where that is unset, one of
+    this machine, which only local mode may use."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.gettempdir()
+    return f"{found}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as it is now, written to the shared folder: whatever reads it again sees the same rows."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def listing(spark: SparkSession, path: str, input_format: str) -> list[str]:
     """A file itself, or the folder's files with the format's ending, in order of their names."""
     if input_format not in INPUT_FORMATS:
@@ -53,7 +73,8 @@ def empty_for_null(df: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], input_format: str) -> DataFrame:
-    """All columns of the files, with FILE, BLOCK (first byte of the split) and, for Parquet, INDEX (row in the file)."""
+    """All columns of the files, with FILE, BLOCK (first byte of the split) and, for Parquet and delimited text, INDEX (row in
+    the file)."""
     kind = input_format.removesuffix(".gz")
     meta = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
     paths = [*paths]
@@ -61,7 +82,11 @@ def read_files(spark: SparkSession, paths: Sequence[str], input_format: str) ->
         return spark.read.parquet(*paths).select("*", *meta, F.col("_metadata.row_index").alias(INDEX))
     if kind == "txt":
         return spark.read.text(paths).where("value <> ''").select(F.col("value").alias("url"), *meta)
-    if kind in ("csv", "tsv"):
+    if input_format in ("csv", "tsv"):
+        from .delimited import read_delimited
+
+        return read_delimited(spark, paths, "\t" if kind == "tsv" else ",")
+    if kind in ("csv", "tsv"):  # compressed files are read by a task each
         reader = spark.read.options(header=True, inferSchema=True, multiLine=True, escape='"', sep="\t" if kind == "tsv" else ",", timestampFormat="yyyy-MM-dd HH:mm:ss", preferDate=True)
         return empty_for_null(as_arrow_reads(with_meta(reader.csv(paths))))
     if kind == "json":
@@ -99,7 +124,7 @@ def canonical(df: DataFrame, columns: Sequence[tuple[str, str]], keep: Sequence[
 
 
 def url_table(spark: SparkSession, path: str, input_format: str, url_col: str = "url", caption_col: str | None = None, extras: Sequence[str] = ()) -> DataFrame:
-    """The canonical table with FILE, BLOCK and, for Parquet, INDEX."""
+    """The canonical table with FILE, BLOCK and, where it is known, INDEX."""
     df = read_files(spark, listing(spark, path, input_format), input_format)
     return canonical(df, column_list(input_format, url_col, caption_col, extras), [c for c in (FILE, BLOCK, INDEX) if c in df.columns])
 
