@@ -6,20 +6,22 @@ sets' similarity is PERCENT or more.
 Runs have one global order, the rarest first. If a set of n runs has a partner, they share at least t = ceil(n * PERCENT /
 100) runs, so among the first n - t + 1 runs of both (the index prefix) there is one that they share. A prefix that is longer
 by l - 1 runs must hold more of them: two sets whose prefixes leave out t_a - l_a and t_b - l_b of their runs share at least
-max(t_a, t_b) - max(t_a - l_a, t_b - l_b) runs within their prefixes. Every set chooses its own l: estimated counts of its
-runs tell how many candidates the index prefix brings and at most how many of them can hold l matches (each takes l of the
-postings), and of l = 1, 2, 4, ... up to t, where counting is verification, the one of least cost is taken. So a set of rare
-runs has a short prefix, and one among many of its like a long prefix that few strangers pass. The index itself holds
-only the index prefixes, whatever l is.
+max(t_a, t_b) - max(t_a - l_a, t_b - l_b) runs within their prefixes. Every set chooses its own l once the index has told how
+many postings its index prefix meets: a longer prefix costs more for each candidate and is passed by fewer of them (each takes
+l of the postings), and of l = 1, 2, 4, ... up to t, where counting is verification, the one of least estimated cost is
+taken. So a set with one near copy has a short prefix, and one among many of its like a long prefix that few strangers
+pass. The index itself holds only the index prefixes, whatever l is.
 
-The order and the estimates come from one count for each of SLOTS hashes over all documents, summed by task and then over
-tasks: a table of fixed size, which alone is broadcast. An order by any counts gives the same links.
+The order comes from one count for each of SLOTS hashes over all documents, summed by task and then over tasks: a table of
+fixed size, which alone is broadcast. An order by any counts gives the same links.
 
-Equal sets are one node. Buckets (runs that several nodes have in their index prefix) with the same members are one.
+Equal sets are one node. Buckets are the runs that several nodes have in their index prefix, each cut by size: a node stands
+in the band of its size and the next one, so that only sizes which may link meet. Buckets with the same members are one.
 Members are first compared with a few centres of their bucket: candidates are pairs of different classes whose sizes fit,
 then those whose prefixes share enough runs, then those whose sets are verified. What that leaves in a bucket with
-several classes is compared exactly in blocks of bounded size, with whole sets, without a row for any pair (minhash.blocked
-and minhash.linker). So any two texts that share a run of both index prefixes are compared, or are linked through others
+several classes is compared exactly in blocks of bounded size without a row for any pair (minhash.blocked): prefixes are
+counted against each other first, each two in one of the buckets that they share, and only nodes that have a partner
+there are compared with whole sets (minhash.forest). So any two texts that share a run of both index prefixes are compared, or are linked through others
 already. Components are found by minhash.components.
 
 Defined cases: null text is the empty text; a text without words has the empty set and is linked with nothing, not even
@@ -30,6 +32,7 @@ alone, so further columns may have any names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,8 @@ SHINGLE, PERCENT = 4, 85
 SLOTS, SLOT_ROW = 1 << 18, 1 << 14
 #: Bytes whose words are hashed at a time; longer words are hashed by another function wherever a text is that long.
 SEGMENT, LONG_WORD = 1 << 19, 1 << 16
+#: What it costs to send a run of a prefix, in merges of it.
+SENT = 10
 #: Pairs of a centre that one task compares, about.
 CENTRE_PAIRS = 1_000
 #: Nodes that are broadcast to find their texts (16 bytes each); more are joined by a shuffle.
@@ -201,30 +206,28 @@ def summed_counts(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def matches(n: int, others: np.ndarray) -> int:
-    """The l of a set of n runs in order, others[i] being the estimated number of other sets that hold the i-th: the
-    power of two (or t) of least cost. A candidate of the index prefix costs the merge of its prefix; one that may pass, the
-    merge of its set; of those there are at most the postings of the prefix, l to each."""
+def matches(n: int, postings: int) -> int:
+    """The l of a set of n runs whose index prefix meets so many postings: the power of two (or t) of least cost. The prefix
+    is sent SENT times over; each candidate costs its merge, and the merge of the sets if it passes. Postings are taken to
+    go on as in the index prefix, and a candidate that passes takes l of them."""
     t = least_shared(n)
-    postings = np.cumsum(others)
-    first = postings[n - t]
-    if first <= 0:
-        return 1
     ls = np.unique(np.minimum(1 << np.arange(t.bit_length() + 1), t))
     ends = n - t + ls
-    cost = first * ends + np.minimum(first, postings[ends - 1] / ls) * n
-    return int(ls[np.argmin(cost)])
+    passing = np.minimum(postings, postings * ends / ((n - t + 1) * ls))
+    return int(ls[np.argmin(ends * float(SENT) + postings * ends + passing * n)])
+
+
+def ordered(runs: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A set's runs (sorted by hash) in the global order: by count, then hash."""
+    own = count[slot(runs)].astype(_U)
+    return runs[np.argsort((own << _U(24)) | (runs >> _U(40)), kind="stable")]  # ties keep the order of their hashes
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """docs (text) -> node, n, l, prefix: runs in order, as far as l asks; the first n - t + 1 are the index prefix. A task
-    gives a node again only if it has met very many since."""
+    """docs (text) -> node, n, prefix: the index prefix. A task gives a node again only if it has met very many since."""
     told = docs.sparkSession.sparkContext.broadcast(counts)
 
     def work(batches):
-        count = told.value
-        load = count.sum() / SLOTS
-        noise = load + 3 * np.sqrt(load)  # a slot's count that chance explains
         seen = common.Kept(lambda node: True, 200_000)
         for batch in batches:
             rows = []
@@ -233,28 +236,45 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 if node is None or (key := node.to_bytes(8, "little")) in seen or key in seen.old:
                     continue
                 seen[key]
-                own = count[slot(runs)]
-                order = np.argsort((own.astype(_U) << _U(24)) | (runs >> _U(40)), kind="stable")  # runs are sorted: ties too have one order
-                n = len(runs)
-                m = matches(n, np.maximum(own[order] - noise, 0))
-                rows.append((node, n, m, runs[order[: n - least_shared(n) + m]].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=["node", "n", "l", "prefix"])
+                rows.append((node, len(runs), ordered(runs, told.value)[: len(runs) - least_shared(len(runs)) + 1].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["node", "n", "prefix"])
+
+    found = docs.select("text").mapInArrow(work, "node long, n long, prefix array<long>")
+    return found.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+
+
+def lengthened(texts: DataFrame, counts: np.ndarray) -> DataFrame:
+    """texts (node, postings, text) -> node, n, l, prefix: as long as l asks."""
+    told = texts.sparkSession.sparkContext.broadcast(counts)
 
-    found = docs.select("text").mapInArrow(work, "node long, n long, l long, prefix array<long>")
-    return found.groupBy("node").agg(F.first("n").alias("n"), F.first("l").alias("l"), F.first("prefix").alias("prefix"))
+    def work(batches):
+        for batch in batches:
+            sets = [*shingle_sets(batch.column("text"))]
+            ls = [matches(len(x), p) for x, p in zip(sets, batch.column("postings").to_pylist(), strict=True)]
+            cut = [ordered(x, told.value)[: len(x) - least_shared(len(x)) + m].view(np.int64) for x, m in zip(sets, ls, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([*map(len, sets)], pa.int64()), pa.array(ls, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], names=["node", "n", "l", "prefix"])
+
+    return texts.mapInArrow(work, "node long, n long, l long, prefix array<long>")
 
 
 def t_of(n: str):
     return F.expr(f"({n} * {PERCENT} + 99) div 100")
 
 
+def shared(posted: DataFrame, *keys: str) -> DataFrame:
+    """keys, centre (the smallest node), m: the groups of several nodes, one of those with the same members."""
+    held = posted.groupBy(*keys).agg(F.min("node").alias("centre"), F.max("node").alias("last"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x")).where("centre <> last")
+    return held.groupBy("centre", "last", "m", "x").agg(F.min(F.struct(*keys)).alias("k")).select("k.*", "centre", "m")
+
+
 def buckets(known: DataFrame) -> DataFrame:
-    """prefixes -> band (0), key, node, n, centre: members of the runs that several nodes have in their index prefix, one
-    run of those with the same members."""
-    posted = known.select("node", "n", F.explode(F.slice("prefix", F.lit(1), (F.col("n") - t_of("n") + 1).cast("int"))).alias("key"))
-    held = posted.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x")).where("centre <> last")
-    one = common.cut(held.groupBy("centre", "last", "m", "x").agg(F.min("key").alias("key")).select("key", "centre"), "runs")
-    return common.cut(posted.hint("merge").join(one, "key").select(F.lit(0).alias("band"), "key", "node", "n", "centre"), "members")
+    """prefixes -> band (of size), key, node, n, centre, m."""
+    posted = known.select("node", "n", F.explode("prefix").alias("key"))
+    crowded = posted.hint("merge").join(common.cut(shared(posted, "key").select("key"), "runs"), "key")
+    wide = math.log(100 / PERCENT) * (1 + 1e-9)  # sizes that may link are in one band or in neighbours
+    band = F.floor(F.log(F.col("n").cast("double")) / wide).cast("int")
+    banded = common.cut(crowded.select("key", "node", "n", F.explode(F.array(band, band + 1)).alias("band")), "banded")
+    return common.cut(banded.hint("merge").join(common.cut(shared(banded, "band", "key"), "buckets"), ["band", "key"]), "members")
 
 
 def is_link(x: np.ndarray, y: np.ndarray) -> bool:
@@ -278,26 +298,67 @@ def compared(batches):
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], schema=schema)
 
 
-def linker(batches):
-    """mapInArrow function: rows sorted by pair of blocks (band, key, kind, i, j), with node, class, second, text -> links."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    at, held = None, []
+BLOCK = ["band", "key", "kind", "i", "j"]
 
-    def found():
-        nodes, classes, second = (np.array(x) for x in zip(*(r[0] for r in held), strict=True))
-        links = minhash.forest(nodes, classes, second, at[2] == 1 or at[3] != at[4], [r[1] for r in held], PERCENT / 100)
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
+def by_block(batches, columns: list[str], sets) -> Iterator[tuple[tuple, list[tuple], list[np.ndarray]]]:
+    """The blocks of sorted rows: BLOCK, the rows' columns, and the arrays that sets(batch) gives for them."""
+    at, rows, held = None, [], []
     for batch in batches:
-        keys = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "kind", "i", "j", "node", "class", "second")), strict=True)
-        for row, runs in zip(keys, shingle_sets(batch.column("text")), strict=True):
+        told = zip(*(batch.column(c).to_pylist() for c in (*BLOCK, *columns)), strict=True)
+        for row, own in zip(told, sets(batch), strict=True):
             if row[:5] != at:
                 if held:
-                    yield found()
-                at, held = row[:5], []
-            held.append((row[5:8], runs))
+                    yield at, rows, held
+                at, rows, held = row[:5], [], []
+            rows.append(row[5:])
+            held.append(own)
     if held:
-        yield found()
+        yield at, rows, held
+
+
+def common_runs(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share, by products of 0/1 matrices of some columns at a time."""
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    shared = np.bincount(column, minlength=len(values)) > 1
+    keep = shared[column]
+    column, owner = (np.cumsum(shared) - 1)[column[keep]], owner[keep]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(shared.sum()), minhash.BLOCK_COLUMNS):
+        here = (column >= at) & (column < at + minhash.BLOCK_COLUMNS)
+        m = np.zeros((len(sets), minhash.BLOCK_COLUMNS), np.float32)
+        m[owner[here], column[here] - at] = 1
+        out += m @ m.T
+    return out
+
+
+def passing(batches):
+    """mapInArrow function: rows sorted by BLOCK, with node, class, second, n, l, bucket (a number for it), buckets (those of
+    the node, sorted) and prefix -> BLOCK, node of those that have a partner of another class whose size fits and whose
+    prefix shares as many runs as a link would. Two nodes that meet in several buckets are partners in the least of them."""
+    schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("kind", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.int64())])
+    arrays = lambda batch: zip(*([np.asarray(x.values) for x in batch.column(c)] for c in ("prefix", "buckets")), strict=True)
+    for at, rows, held in by_block(batches, ["node", "class", "second", "n", "l", "bucket"], arrays):
+        nodes, classes, second, n, m, bucket = (np.array(x) for x in zip(*rows, strict=True))
+        t = -(-n * PERCENT // 100)
+        both = lambda f, x: f(x[:, None], x[None, :])
+        fit = both(np.not_equal, classes) & (100 * both(np.minimum, n) >= PERCENT * both(np.maximum, n))
+        if at[2] == 1 or at[3] != at[4]:
+            fit &= both(np.not_equal, second)
+        fit &= common_runs([b[b < bucket[0]] for _, b in held]) == 0
+        fit &= common_runs([p for p, _ in held]) >= both(np.maximum, t) - both(np.maximum, t - m)
+        kept = nodes[fit.any(axis=1)]
+        yield pa.RecordBatch.from_arrays([*(pa.array([x] * len(kept), k) for x, k in zip(at, schema.types, strict=False)), pa.array(kept, pa.int64())], schema=schema)
+
+
+def linker(batches):
+    """mapInArrow function: rows sorted by BLOCK, with node, class, second, text -> links (a, b)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for at, rows, held in by_block(batches, ["node", "class", "second"], lambda batch: shingle_sets(batch.column("text"))):
+        nodes, classes, second = (np.array(x) for x in zip(*rows, strict=True))
+        links = minhash.forest(nodes, classes, second, at[2] == 1 or at[3] != at[4], held, PERCENT / 100)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
 
 def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -330,7 +391,7 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame, known: DataFrame, members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """node, class: of the nodes with links. texts (node, text): of each member; known: prefixes(); members: buckets()."""
+    """node, class: of the nodes with links. texts (node, text): of each member; known: lengthened(); members: buckets()."""
 
     def classed() -> DataFrame:
         held = members.select("band", "key", "node", "n").join(own, "node", "left").withColumn("class", F.coalesce("class", "node"))
@@ -347,11 +408,15 @@ def links(texts: DataFrame, known: DataFrame, members: DataFrame, rounds: int =
         centre = members.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("x"), "node", "class")).alias("c")).select("band", "key", F.col("c.node").alias("b"), F.col("c.class").alias("bc"))
         found = found.union(verified(members.join(common.cut(centre, "centres"), ["band", "key"]).where("class <> bc").select("node", "b"), known, texts))
         own = minhash.components(found)
-    blocks = common.cut(minhash.blocked(classed()), "blocks")
-    pairs = blocks.join(of_nodes(texts, blocks).hint("merge"), "node").select("band", "key", "kind", "i", "j", "node", "class", "second", "text")
-    order = ["band", "key", "kind", "i", "j"]
-    dealt = pairs.repartition(common.partitions(texts.sparkSession), *order).sortWithinPartitions(*order)
-    return minhash.components(found.union(common.cut(dealt.mapInArrow(linker, "a long, b long"), "links")))
+    members = classed()
+    of = members.groupBy("node").agg(F.sort_array(F.collect_list(F.xxhash64("band", "key"))).alias("buckets"))
+    blocks = common.cut(minhash.blocked(members), "blocks")
+    dealt = lambda rows: rows.repartition(common.partitions(texts.sparkSession), *BLOCK).sortWithinPartitions(*BLOCK)
+    told = blocks.join(known.join(of, "node").hint("merge"), "node").select(*BLOCK, "node", "class", "second", "n", "l", F.xxhash64("band", "key").alias("bucket"), "buckets", "prefix")
+    some = common.cut(dealt(told).mapInArrow(passing, "band int, key long, kind int, i int, j int, node long"), "passing")
+    blocks = common.cut(blocks.join(some.hint("merge"), [*BLOCK, "node"], "left_semi"), "blocks")
+    told = blocks.join(of_nodes(texts, blocks).hint("merge"), "node").select(*BLOCK, "node", "class", "second", "text")
+    return minhash.components(found.union(common.cut(dealt(told).mapInArrow(linker, "a long, b long"), "links")))
 
 
 def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -360,12 +425,13 @@ def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     both = common.cut(nodes_and_counts(rows), "sets")
     counts = summed_counts(both)
     sets = both.where("at is null").select("doc_id", *KEY, "node", "n")
-    known = common.cut(prefixes(rows, counts), "prefixes")
-    members = buckets(known)
+    members = buckets(common.cut(prefixes(rows, counts), "prefixes"))
     # the text of one row for each node that has a candidate, by the keys of the row
-    keys = sets.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct(*KEY)).alias("k")).select("node", "k.*")
-    texts = rows.select(*KEY, "text").hint("merge").join(common.cut(keys, "keys"), KEY).groupBy("node").agg(F.first("text").alias("text"))
-    own = links(common.cut(texts, "texts"), known, members, rounds)
+    met = common.cut(members.groupBy("node").agg(F.sum(F.col("m") - 1).alias("postings")), "met")
+    keys = sets.join(met.hint("merge"), "node").groupBy("node", "postings").agg(F.min(F.struct(*KEY)).alias("k")).select("node", "postings", "k.*")
+    texts = rows.select(*KEY, "text").hint("merge").join(common.cut(keys, "keys"), KEY).groupBy("node").agg(F.first("postings").alias("postings"), F.first("text").alias("text"))
+    texts = common.cut(texts, "texts")
+    own = links(texts.select("node", "text"), common.cut(lengthened(texts, counts), "lengthened"), members, rounds)
     classed = common.cut(sets.join(own.hint("merge"), "node", "left").withColumn("class", F.coalesce("class", "node")), "classes")
     ids = classed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("component_size"))
     told = classed.join(common.cut(ids, "component-ids").hint("merge"), "class", "left")

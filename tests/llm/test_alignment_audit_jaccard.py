@@ -299,14 +299,18 @@ def test_prefixes_hold_the_matches_of_any_link(monkeypatch):
         assert len(np.intersect1d(pa_[: len(pa_) - la + 1], pb[: len(pb) - lb + 1]))
 
 
-def test_prefixes_grow_with_estimated_candidates():
-    n = 200
-    assert jaccard.matches(n, np.zeros(n)) == 1
-    crowded = np.zeros(n)
-    crowded[10:45] = 300.0
-    found = jaccard.matches(n, crowded)
-    assert 1 < found <= jaccard.least_shared(n)
-    assert jaccard.matches(1, np.array([50.0])) == 1
+def test_prefixes_grow_with_candidates():
+    found = [jaccard.matches(200, postings) for postings in (0, 1, 30, 3000)]
+    assert found[0] == 1 and found == sorted(found) and 1 < found[-1] <= jaccard.least_shared(200)
+    assert all(jaccard.matches(n, 50) <= jaccard.least_shared(n) for n in range(1, 300))
+
+
+def test_sizes_that_may_link_share_a_band(spark):
+    wide = np.log(100 / jaccard.PERCENT) * (1 + 1e-9)
+    n = np.arange(1, 200_000)
+    band = np.floor(np.log(n) / wide)
+    most = n * 100 // jaccard.PERCENT  # the largest size that n may link with
+    assert (np.floor(np.log(most) / wide) - band <= 1).all()
 
 
 def test_join_of_no_rows_and_native_filters(spark, awkward):
