@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import fleet
 from .sinks.containers import filesystem
@@ -33,11 +34,14 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--num_nodes", type=int)
     parser.add_argument("--mem_gb", type=int, default=30)
     parser.add_argument("--seed", type=int, default=0)
+    parser.add_argument("--nodes_to_kill", nargs="+", help="workers to release by name, instead of the last --num_nodes")
     args = parser.parse_args(argv)
     if args.command in ("setup", "add") and not args.hosts:
         parser.error(f"{args.command} needs --hosts")
     if args.command in ("add", "kill") and not args.id:
         parser.error(f"{args.command} needs --id")
+    if args.nodes_to_kill and (args.command != "kill" or args.num_nodes is not None):
+        parser.error("--nodes_to_kill goes with kill alone, without --num_nodes")
     if args.command == "add" and not args.num_nodes:
         parser.error("add needs --num_nodes")
     if args.command == "setup" and not (args.config or args.id and args.num_nodes):
@@ -69,6 +73,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dict]:
             raise ValueError(f"no running cluster {args.id}")
         if args.command == "add":
             new = fleet.added(one, fleet.drawn_hosts(fleet.free_hosts(hosts, known), args.num_nodes, args.seed))
+        elif args.nodes_to_kill:
+            named = spark.createDataFrame([(h,) for h in args.nodes_to_kill], "host string")
+            strange = named.join(one.select(F.explode("workers").alias("host")), "host", "left_anti").orderBy("host").collect()
+            if strange:
+                raise ValueError(f"no workers of {args.id}: {', '.join(r.host for r in strange)}")
+            new = fleet.without(one, named)
         else:
             new = fleet.killed(one) if args.num_nodes is None else fleet.without(one, fleet.tail(one, args.num_nodes))
     rows = [r.asDict() for r in new.collect()]  # one cluster

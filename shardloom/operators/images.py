@@ -108,26 +108,36 @@ def decode_png(data: bytes) -> np.ndarray:
         raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(height, width * n + 1)
     except (zlib.error, ValueError) as e:
         raise ValueError(DECODING) from e
+    how, lines = raw[:, 0], raw[:, 1:]
+    if (how > 2).any():
+        return along_diagonals(how, lines.reshape(height, width, n))
     out, above = np.zeros((height, width * n), np.uint8), np.zeros(width * n, np.int64)
     for y in range(height):
-        how, line = raw[y, 0], raw[y, 1:].astype(np.int64)
-        if how == 2:
+        line = lines[y].astype(np.int64)
+        if how[y] == 2:
             line = line + above
-        elif how == 1:
+        elif how[y] == 1:
             line = np.cumsum(line.reshape(width, n), axis=0).ravel()
-        elif how in (3, 4):
-            for i in range(width * n):
-                left = line[i - n] if i >= n else 0
-                if how == 3:
-                    line[i] = (line[i] + (left + above[i]) // 2) & 255
-                else:
-                    corner = above[i - n] if i >= n else 0
-                    guess = left + above[i] - corner
-                    line[i] = (line[i] + min((left, above[i], corner), key=lambda v: abs(guess - v))) & 255  # noqa: B023
         out[y] = above = line & 255
     return out.reshape(height, width, n)
 
 
+def along_diagonals(how: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """Pixels of filtered lines (height, width, channels), whatever filter each line has. A pixel needs the ones on its left,
+    above it and between them, so the pixels of a diagonal are worked out together."""
+    height, width, n = lines.shape
+    out = np.zeros((height + 1, width + 1, n), np.int16)  # with a line and a column of zeros before the first
+    for d in range(height + width - 1):
+        y = np.arange(max(0, d - width + 1), min(height, d + 1))
+        x = d - y
+        left, above, corner, kind = out[y + 1, x], out[y, x + 1], out[y, x], how[y][:, None]
+        by_left, by_above, by_corner = (np.abs(g) for g in (above - corner, left - corner, left + above - 2 * corner))
+        nearest = np.where((by_left <= by_above) & (by_left <= by_corner), left, np.where(by_above <= by_corner, above, corner))
+        guess = np.select([kind == 1, kind == 2, kind == 3, kind == 4], [left, above, (left + above) >> 1, nearest], 0)
+        out[y + 1, x + 1] = (lines[y, x] + guess) & 255
+    return out[1:, 1:].astype(np.uint8)
+
+
 def encode_png(pixels: np.ndarray, quality: int = 6) -> bytes:
     """A PNG of 8 bits; quality is the level of compression, 0 to 9."""
     pixels = pixels if pixels.ndim == 3 else pixels[..., None]

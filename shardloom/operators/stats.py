@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,6 +86,43 @@ def capped(counts: DataFrame, most: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), "status").limit(most // 2)
 
 
+def shrunk(held: Counter, most: int) -> int:
+    """Bring a counter down to `most` entries: all lose what the next largest one has, and those with nothing left go.
+    Returns what each has lost."""
+    if len(held) <= most:
+        return 0
+    lost = sorted(held.values(), reverse=True)[most]
+    for name in [n for n, v in held.items() if v <= lost]:
+        del held[name]
+    for name in held:
+        held[name] -= lost
+    return lost
+
+
+def heavy_hitters(rows: DataFrame, most: int, weight: str | None = None) -> DataFrame:
+    """status, count, most: statuses of rows by counters of bounded size. Each task holds at most 2 * `most` counters of its
+    own rows and gives on `most` of them, so neither memory nor the shuffle grows with distinct statuses. The true count
+    lies between count and most, which differ by no more than all rows / (`most` + 1), and every status with more rows than
+    that is there. weight: a column of whole counts, else a row counts one. Null is no status."""
+    rows = rows.select(F.col("status").cast("string").alias("status"), (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("n")).where("status is not null and n > 0")
+
+    def work(batches):
+        held, lost = Counter(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 10_000):
+                own = pa.TableGroupBy(pa.Table.from_batches([batch.slice(at, 10_000)]), "status").aggregate([("n", "sum")])
+                for name, n in zip(own["status"].to_pylist(), own["n_sum"].to_pylist(), strict=True):
+                    held[name] += n
+                    if len(held) > 2 * most:
+                        lost += shrunk(held, most)
+        lost += shrunk(held, most)
+        yield pa.RecordBatch.from_arrays([pa.array([*held, None], pa.string()), pa.array([*held.values(), lost], pa.int64())], names=["status", "n"])
+
+    told = rows.mapInArrow(work, "status string, n long").groupBy("status").agg(F.sum("n").alias("count"))
+    lost = told.where("status is null").select(F.col("count").alias("_lost"))  # one row: what all tasks' counters have lost
+    return told.where("status is not null").join(F.broadcast(lost)).select("status", "count", (F.col("count") + F.col("_lost")).alias("most"))
+
+
 def failed_shards(stats: DataFrame, expected: DataFrame) -> DataFrame:
     """Shards that were planned and have no stats."""
     return expected.select("shard_id").distinct().join(stats.select("shard_id"), "shard_id", "left_anti")

@@ -8,8 +8,10 @@ those that fail to the end stand in the table _failed_shards of the output folde
 
 from __future__ import annotations
 
+import functools
 import time
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -84,10 +86,10 @@ def ledger(spark: SparkSession, folder: str, run: str) -> DataFrame:
     return passes.parquet(f"{folder}/_ledger/{run}")
 
 
-def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False) -> DataFrame:
+def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool | Callable = False) -> DataFrame:
     """Run the job; returns the metadata of the rows that it wrote. store (url, body) replaces the network. With
     monitoring, totals of the statistics files go to the in-memory table job_totals while shards finish, and once more in
-    the end."""
+    the end; a function is given (kind, rows) instead: `totals`, `statuses` (every 60 seconds), `bad` shards and `line`s."""
     folder, run = options.output_folder, uuid.uuid4().hex
     fs, at = _path(spark, folder)
     if options.incremental_mode == "overwrite" and fs.exists(at):
@@ -100,7 +102,12 @@ def materialize(spark: SparkSession, options: Options, fetcher=None, store: Data
     if monitoring:
         before = f"{folder}/_monitor_{run}/done"
         done_shards(spark, folder).write.parquet(before)  # as it is now: what this run adds is not in it
-        watch = monitor.start(spark, folder, "job_totals", f"{folder}/_monitor_{run}/state", done=spark.read.schema("shard_id long").parquet(before))
+        known, state = spark.read.schema("shard_id long").parquet(before), f"{folder}/_monitor_{run}/state"
+        if callable(monitoring):
+            given = {kind: functools.partial(monitoring, kind) for kind in ("totals", "statuses", "bad")}
+            watch = monitor.Monitor(spark, folder, state, **given, say=functools.partial(monitoring, "line"), done=known, interval="1 second")
+        else:
+            watch = monitor.start(spark, folder, "job_totals", state, done=known)
     try:
         every = planned(spark, options).drop("idx")
         made = outcome(options, codecs)
@@ -120,7 +127,9 @@ def materialize(spark: SparkSession, options: Options, fetcher=None, store: Data
         bad.select("shard_id", "error").write.mode("overwrite").parquet(f"{folder}/_failed_shards")
     finally:
         swept(spark, folder, run)
-        if watch:
+        if isinstance(watch, monitor.Monitor):
+            watch.stop()
+        elif watch:
             watch.processAllAvailable()  # the final count
             watch.stop()
     return written(spark, where)
@@ -136,6 +145,6 @@ def written(spark: SparkSession, where: commit.Target) -> DataFrame:
     return spark.read.schema(schema).parquet(at.toString()).join(mine.distinct(), "shard", "left_semi").select(*where.schema.names)
 
 
-def download(spark: SparkSession, url_list: str, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool = False, **parameters) -> DataFrame:
+def download(spark: SparkSession, url_list: str, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool | Callable = False, **parameters) -> DataFrame:
     """Fetch the URLs of url_list and write them as sharded containers; parameters are those of Options."""
     return materialize(spark, Options(url_list, **parameters), fetcher, store, codecs, monitoring)

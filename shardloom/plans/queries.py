@@ -7,6 +7,7 @@ the twin.
 from __future__ import annotations
 
 import gzip
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -277,6 +278,21 @@ def capped_counter(spark, sf_dir):
     return stats.capped(counts, 20)
 
 
+#: Counters of a task's summary of words.
+_COUNTERS = 300
+
+
+@query(f"with w as (select unnest(string_split_regex(text, ' ')) as status from documents), c as (select status, count(*)::bigint as count from w where status <> '' group by 1) select status, count, true as within from c where count * {_COUNTERS + 1} > (select sum(count) from c)")
+def heavy_hitters(spark, sf_dir):
+    """Words that a summary of bounded size must hold, with their true counts and whether these are within its bounds."""
+    words = read(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("status")).where("status <> ''")
+    exact = words.groupBy("status").agg(F.count(F.lit(1)).alias("count"))
+    total = exact.agg(F.sum("count").alias("total"))
+    held = stats.heavy_hitters(words, _COUNTERS).select("status", F.col("count").alias("least"), "most")
+    often = exact.join(F.broadcast(total), F.col("count") * (_COUNTERS + 1) > F.col("total")).select("status", "count")
+    return often.join(held, "status", "left").select("status", "count", F.coalesce(F.col("count").between(F.col("least"), F.col("most")), F.lit(False)).alias("within"))
+
+
 @query(_SAMPLES + "select coalesce(error_message, status) as status, count(*)::bigint as count from s group by 1")
 def merged_status(spark, sf_dir):
     return stats.merged_status(stats.shard_stats(samples(spark, sf_dir)))
@@ -298,6 +314,18 @@ def monitor_stream(spark, sf_dir):
     return spark.table(name).select("count", "successes", "failed_to_download", "failed_to_resize", F.round("success", 6).alias("success"), "start_time", "end_time")
 
 
+@query(_SAMPLES + "select 'total' as kind, 'count' as name, count(*)::bigint as n from s where shard_id <> 0 union all select 'total', 'successes', count(*) from s where shard_id <> 0 and status = 'success' union all select 'status', coalesce(error_message, status), count(*)::bigint from s where shard_id <> 0 group by 2")
+def status_stream(spark, sf_dir):
+    """Totals and statuses as one state of a stream over statistics files, a file at a time and over a restart; shard 0 was done
+    before."""
+    folder, name = stats_folder(spark, sf_dir), f"tally_{uuid.uuid4().hex}"
+    done = spark.createDataFrame([(0,)], "shard_id long")
+    tally = monitor.folded(monitor.fresh(monitor.stream_stats(spark, folder, 1), done))
+    for _ in range(2):  # the second run takes up the state of the first
+        tally.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}-state").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).where("kind = 'status' or name in ('count', 'successes')").select("kind", "name", "n")
+
+
 @query(_SAMPLES + "select shard_id, count, successes, failed_to_download, failed_to_resize from g")
 def stats_roundtrip(spark, sf_dir):
     """Statistics files written and read back by the monitor's reader."""
