@@ -314,15 +314,16 @@ def monitor_stream(spark, sf_dir):
     return spark.table(name).select("count", "successes", "failed_to_download", "failed_to_resize", F.round("success", 6).alias("success"), "start_time", "end_time")
 
 
-@query(_SAMPLES + "select 'total' as kind, 'count' as name, count(*)::bigint as n from s where shard_id <> 0 union all select 'total', 'successes', count(*) from s where shard_id <> 0 and status = 'success' union all select 'status', coalesce(error_message, status), count(*)::bigint from s where shard_id <> 0 group by 2")
+@query(_SAMPLES + "select 'total' as kind, 'count' as name, count(*)::bigint as n from s union all select 'total', 'successes', count(*) from s where status = 'success' union all select 'status', coalesce(error_message, status), count(*)::bigint from s group by 2")
 def status_stream(spark, sf_dir):
-    """Totals and statuses as one state of a stream over statistics files, a file at a time and over a restart; shard 0 was done
-    before."""
-    folder, name = stats_folder(spark, sf_dir), f"tally_{uuid.uuid4().hex}"
-    done = spark.createDataFrame([(0,)], "shard_id long")
-    tally = monitor.folded(monitor.fresh(monitor.stream_stats(spark, folder, 1), done))
-    for _ in range(2):  # the second run takes up the state of the first
-        tally.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}-state").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    """Totals and statuses as one state of a stream over statistics files, a few at a time: half of the shards, then, after a
+    restart that takes up the state, the other half."""
+    folder, name = new_folder(spark, "stats"), f"tally_{uuid.uuid4().hex}"
+    shards = stats.shard_stats(samples(spark, sf_dir).withColumn("shard_id", F.pmod(F.xxhash64("start_time"), F.lit(10))))
+    for half in (0, 1):
+        containers.write_stats(shards.where(F.col("shard_id") % 2 == half), folder, 5)
+        tally = monitor.folded(monitor.stream_stats(spark, folder, 3)).writeStream.outputMode("complete").option("checkpointLocation", f"{folder}-state")
+        tally.format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
     return spark.table(name).where("kind = 'status' or name in ('count', 'successes')").select("kind", "name", "n")
 
 
@@ -717,7 +718,7 @@ def whole_job(spark, sf_dir):
     return done.select("key", "url", "status", "error_message", F.when(F.col("status") == classify.SUCCESS, F.col("md5")).alias("md5"))
 
 
-@query("select printf('%07d', page_id) as key, url, md5(case when page_id // 100 % 2 = 0 then html else upper(html) end) as md5, page_id // 100 % 2 = 1 as again from pages")
+@query("select printf('%07d', page_id) as key, url, md5(case when page_id // 100 % 2 = 0 then html else html || '!' end) as md5, page_id // 100 % 2 = 1 as again from pages")
 def resumed_job(spark, sf_dir):
     """A job of which every second shard was not finished, run again over other bodies: finished shards are as they were, and
     the second run's own rows are those of the others alone."""
@@ -728,7 +729,7 @@ def resumed_job(spark, sf_dir):
     run(F.col("html"))
     odd = monitor.done_shards(spark, folder).where("shard_id % 2 = 1")
     forgotten(odd, folder)
-    again = tables.kept(run(F.upper("html")).select("key", F.lit(True).alias("again")), "again")
+    again = tables.kept(run(F.concat("html", F.lit("!"))).select("key", F.lit(True).alias("again")), "again")
     rows = spark.read.schema("url string, md5 string, key string").parquet(f"{folder}/_metadata_table")
     return rows.join(again, "key", "left").select("key", "url", "md5", F.coalesce("again", F.lit(False)).alias("again"))
 
