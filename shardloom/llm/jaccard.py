@@ -53,7 +53,7 @@ SEGMENT, LONG_WORD = 1 << 19, 1 << 16
 SENT = 10
 #: Pairs of a centre that one task compares, about.
 CENTRE_PAIRS = 1_000
-#: Nodes that are broadcast to find their texts (16 bytes each); more are joined by a shuffle.
+#: Nodes that are broadcast to find their texts and prefixes (up to 40 bytes each); more are joined by a shuffle.
 MOST_BROADCAST_NODES = 500_000
 #: Rounds of centres before the exact comparison.
 ROUNDS = 3
@@ -244,17 +244,20 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def lengthened(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """texts (node, postings, text) -> node, n, l, prefix: as long as l asks."""
+    """texts (node, postings, text) -> node, n, l, prefix, lost: the runs as far as l asks, by 32 of their bits, and how many
+    of them that makes equal. It is a filter alone: two prefixes share as many of these as runs, or fewer by what is lost."""
     told = texts.sparkSession.sparkContext.broadcast(counts)
 
     def work(batches):
         for batch in batches:
             sets = [*shingle_sets(batch.column("text"))]
             ls = [matches(len(x), p) for x, p in zip(sets, batch.column("postings").to_pylist(), strict=True)]
-            cut = [ordered(x, told.value)[: len(x) - least_shared(len(x)) + m].view(np.int64) for x, m in zip(sets, ls, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([*map(len, sets)], pa.int64()), pa.array(ls, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], names=["node", "n", "l", "prefix"])
+            long = [ordered(x, told.value)[: len(x) - least_shared(len(x)) + m] for x, m in zip(sets, ls, strict=True)]
+            cut = [np.unique(x.astype(np.uint32)).view(np.int32) for x in long]
+            lost = [len(x) - len(y) for x, y in zip(long, cut, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([*map(len, sets)], pa.int64()), pa.array(ls, pa.int64()), pa.array(cut, pa.list_(pa.int32())), pa.array(lost, pa.int64())], names=["node", "n", "l", "prefix", "lost"])
 
-    return texts.mapInArrow(work, "node long, n long, l long, prefix array<long>")
+    return texts.mapInArrow(work, "node long, n long, l long, prefix array<int>, lost long")
 
 
 def t_of(n: str):
@@ -270,7 +273,8 @@ def shared(posted: DataFrame, *keys: str) -> DataFrame:
 def buckets(known: DataFrame) -> DataFrame:
     """prefixes -> band (of size), key, node, n, centre, m."""
     posted = known.select("node", "n", F.explode("prefix").alias("key"))
-    crowded = posted.hint("merge").join(common.cut(shared(posted, "key").select("key"), "runs"), "key")
+    several = posted.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    crowded = posted.hint("merge").join(common.cut(several, "runs"), "key")
     wide = math.log(100 / PERCENT) * (1 + 1e-9)  # sizes that may link are in one band or in neighbours
     band = F.floor(F.log(F.col("n").cast("double")) / wide).cast("int")
     banded = common.cut(crowded.select("key", "node", "n", F.explode(F.array(band, band + 1)).alias("band")), "banded")
@@ -334,20 +338,20 @@ def common_runs(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def passing(batches):
-    """mapInArrow function: rows sorted by BLOCK, with node, class, second, n, l, bucket (a number for it), buckets (those of
+    """mapInArrow function: rows sorted by BLOCK, with node, class, second, n, l, lost, bucket (a number for it), buckets (those of
     the node, sorted) and prefix -> BLOCK, node of those that have a partner of another class whose size fits and whose
     prefix shares as many runs as a link would. Two nodes that meet in several buckets are partners in the least of them."""
     schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("kind", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.int64())])
     arrays = lambda batch: zip(*([np.asarray(x.values) for x in batch.column(c)] for c in ("prefix", "buckets")), strict=True)
-    for at, rows, held in by_block(batches, ["node", "class", "second", "n", "l", "bucket"], arrays):
-        nodes, classes, second, n, m, bucket = (np.array(x) for x in zip(*rows, strict=True))
+    for at, rows, held in by_block(batches, ["node", "class", "second", "n", "l", "lost", "bucket"], arrays):
+        nodes, classes, second, n, m, lost, bucket = (np.array(x) for x in zip(*rows, strict=True))
         t = -(-n * PERCENT // 100)
         both = lambda f, x: f(x[:, None], x[None, :])
         fit = both(np.not_equal, classes) & (100 * both(np.minimum, n) >= PERCENT * both(np.maximum, n))
         if at[2] == 1 or at[3] != at[4]:
             fit &= both(np.not_equal, second)
         fit &= common_runs([b[b < bucket[0]] for _, b in held]) == 0
-        fit &= common_runs([p for p, _ in held]) >= both(np.maximum, t) - both(np.maximum, t - m)
+        fit &= common_runs([p for p, _ in held]) + both(np.add, lost) >= both(np.maximum, t) - both(np.maximum, t - m)
         kept = nodes[fit.any(axis=1)]
         yield pa.RecordBatch.from_arrays([*(pa.array([x] * len(kept), k) for x, k in zip(at, schema.types, strict=False)), pa.array(kept, pa.int64())], schema=schema)
 
@@ -361,25 +365,27 @@ def linker(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
 
-def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of nodes those whose sizes fit and whose prefixes share as many runs as a link would."""
-    side = lambda s: known.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("l").alias(f"l_{s}"), F.col("prefix").alias(f"p_{s}")).hint("merge")
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
-    needed = F.greatest(t_of("n_a"), t_of("n_b")) - F.greatest(t_of("n_a") - F.col("l_a"), t_of("n_b") - F.col("l_b"))
-    return both.where(F.size(F.array_intersect("p_a", "p_b")) >= needed).select("a", "b")
+def of_nodes(table: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of some nodes: by a broadcast of the nodes where their counted number allows it, else by a shuffle that what
+    follows can use."""
+    some = common.cut(nodes.select("node").distinct(), "some")
+    return table.join(F.broadcast(some) if some.count() <= MOST_BROADCAST_NODES else some.hint("merge"), "node", "left_semi")
 
 
-def of_nodes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The texts of some nodes: by a broadcast of the nodes where their counted number allows it."""
-    some = common.cut(nodes.select("node").distinct(), "some")
-    return texts.join(F.broadcast(some) if some.count() <= MOST_BROADCAST_NODES else some.hint("merge"), "node", "left_semi")
+def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Of the pairs (node, b) of nodes those whose sizes fit and whose prefixes share as many runs as a link would."""
+    some = of_nodes(known, pairs.select("node").union(pairs.select("b")))
+    side = lambda name, s: some.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "l", "prefix", "lost")]).hint("merge")
+    both = pairs.join(side("node", "a"), "node").join(side("b", "b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
+    needed = F.greatest(t_of("n_a"), t_of("n_b")) - F.greatest(t_of("n_a") - F.col("l_a"), t_of("n_b") - F.col("l_b"))
+    return both.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + F.col("lost_a") + F.col("lost_b") >= needed).select("node", "b")
 
 
 def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
     """pairs (node, b: a centre) -> the links (a, b) among them. Each node's text goes to its centre's group; a centre with
     many pairs has several groups, each with its own text."""
     new = common.cut(pairs.select("node", "b").distinct(), "pairs")
-    some = common.cut(promising(new.withColumnRenamed("node", "a"), known).withColumnRenamed("a", "node"), "promising")
+    some = common.cut(promising(new, known), "promising")
     salts = some.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CENTRE_PAIRS).cast("int").alias("salts"))
     salts = common.cut(salts, "salts")
     members = some.join(salts.hint("merge"), "b").select("b", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), "node")
@@ -412,7 +418,7 @@ def links(texts: DataFrame, known: DataFrame, members: DataFrame, rounds: int =
     of = members.groupBy("node").agg(F.sort_array(F.collect_list(F.xxhash64("band", "key"))).alias("buckets"))
     blocks = common.cut(minhash.blocked(members), "blocks")
     dealt = lambda rows: rows.repartition(common.partitions(texts.sparkSession), *BLOCK).sortWithinPartitions(*BLOCK)
-    told = blocks.join(known.join(of, "node").hint("merge"), "node").select(*BLOCK, "node", "class", "second", "n", "l", F.xxhash64("band", "key").alias("bucket"), "buckets", "prefix")
+    told = blocks.join(of_nodes(known, members).join(of, "node").hint("merge"), "node").select(*BLOCK, "node", "class", "second", "n", "l", "lost", F.xxhash64("band", "key").alias("bucket"), "buckets", "prefix")
     some = common.cut(dealt(told).mapInArrow(passing, "band int, key long, kind int, i int, j int, node long"), "passing")
     blocks = common.cut(blocks.join(some.hint("merge"), [*BLOCK, "node"], "left_semi"), "blocks")
     told = blocks.join(of_nodes(texts, blocks).hint("merge"), "node").select(*BLOCK, "node", "class", "second", "text")
@@ -429,7 +435,9 @@ def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # the text of one row for each node that has a candidate, by the keys of the row
     met = common.cut(members.groupBy("node").agg(F.sum(F.col("m") - 1).alias("postings")), "met")
     keys = sets.join(met.hint("merge"), "node").groupBy("node", "postings").agg(F.min(F.struct(*KEY)).alias("k")).select("node", "postings", "k.*")
-    texts = rows.select(*KEY, "text").hint("merge").join(common.cut(keys, "keys"), KEY).groupBy("node").agg(F.first("postings").alias("postings"), F.first("text").alias("text"))
+    keys = common.cut(keys, "keys")
+    keys = F.broadcast(keys) if keys.count() <= MOST_BROADCAST_NODES else keys.hint("merge")
+    texts = rows.select(*KEY, "text").join(keys, KEY).groupBy("node").agg(F.first("postings").alias("postings"), F.first("text").alias("text"))
     texts = common.cut(texts, "texts")
     own = links(texts.select("node", "text"), common.cut(lengthened(texts, counts), "lengthened"), members, rounds)
     classed = common.cut(sets.join(own.hint("merge"), "node", "left").withColumn("class", F.coalesce("class", "node")), "classes")
