@@ -13,6 +13,7 @@ OUTPUT_FORMATS = ("webdataset", "parquet", "files", "tfrecord", "dummy")
 INCREMENTAL_MODES = ("incremental", "overwrite", "extend")
 DISTRIBUTORS = ("multiprocessing", "pyspark", "ray")
 HASHES = (None, "md5", "sha256", "sha512")
+COMMITS = ("rename", "manifest")
 RESIZE_MODES = ("no", "keep_ratio", "center_crop", "border", "keep_ratio_largest")
 INTERPOLATIONS = ("nearest", "linear", "bilinear", "cubic", "bicubic", "area", "lanczos", "lanczos4")
 # Column names that the output uses itself.
@@ -44,7 +45,8 @@ def absolute(path: str) -> str:
 @dataclass
 class Options:
     """All parameters of download(). What Spark decides itself (distributor, subjob_size, processes_count) is accepted and
-    warned about. max_bytes_in_flight bounds the bodies that a task holds. Image parameters act where disable_all_reencoding is off; PNG is built
+    warned about. max_bytes_in_flight bounds the bodies that a task holds. commit tells how a shard's files come into place: by
+    renaming them, or, where a store cannot rename, by naming them in the shard's statistics. Image parameters act where disable_all_reencoding is off; PNG is built
     in, other codecs are given to download()."""
 
     url_list: str
@@ -88,13 +90,14 @@ class Options:
     wandb_project: str | None = None
     start_shard_id: int = 0
     max_bytes_in_flight: int = 256_000_000
+    commit: str = "rename"
     extras: list[str] = field(init=False, default_factory=list)
 
     def __post_init__(self):
         for name, value, allowed in (
             ("input format", self.input_format, INPUT_FORMATS), ("output format", self.output_format, OUTPUT_FORMATS),
             ("incremental mode", self.incremental_mode, INCREMENTAL_MODES), ("distributor", self.distributor, DISTRIBUTORS),
-            ("hash", self.compute_hash, HASHES), ("resize mode", self.resize_mode, RESIZE_MODES),
+            ("hash", self.compute_hash, HASHES), ("commit", self.commit, COMMITS), ("resize mode", self.resize_mode, RESIZE_MODES),
         ):
             if value not in allowed:
                 raise ValueError(f"Invalid {name} {value}; one of {allowed} is expected")

@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from ..config import Options
 from ..operators import classify, fetch, images, sharding
 from ..sinks import commit
+from ..sources.containers import manifest
 from ..sources.tables import url_table
 from ..streaming import monitor
 from ..streaming.monitor import done_shards
@@ -59,7 +60,7 @@ def target(options: Options, rows: DataFrame, made: commit.Outcome, run: str) ->
     """Where a run writes, and the metadata of its rows: columns of the table, those that outcomes add, key and status."""
     plain = to_arrow_schema(rows.drop("shard_id", "key").schema)
     schema = pa.schema([*plain, *made.columns, pa.field("key", pa.string()), pa.field("status", pa.string()), pa.field("error_message", pa.string())])
-    return commit.Target(options.output_folder, run, options.output_format, options.encode_format, bool(options.caption_col), options.oom_shard_count, schema)
+    return commit.Target(options.output_folder, run, options.output_format, options.encode_format, bool(options.caption_col), options.oom_shard_count, schema, options.commit == "manifest")
 
 
 def looked_up(rows: DataFrame, store: DataFrame, options: Options) -> DataFrame:
@@ -139,6 +140,10 @@ def written(spark: SparkSession, where: commit.Target) -> DataFrame:
     """The metadata of the shards that a run has committed."""
     schema = from_arrow_schema(where.schema.append(pa.field("shard", pa.string())))
     mine = ledger(spark, where.folder, where.run).where("error is null").select("shard")
+    if where.manifest:
+        paths = [r.table for r in manifest(spark, where.folder).join(mine.distinct(), "shard").select("table").orderBy("shard").collect()]
+        rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return rows.select(*where.schema.names)
     fs, at = _path(spark, f"{where.folder}/{where.tables}")
     if not fs.exists(at):
         return spark.createDataFrame([], schema).drop("shard")

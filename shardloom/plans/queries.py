@@ -734,6 +734,39 @@ def resumed_job(spark, sf_dir):
     return rows.join(again, "key", "left").select("key", "url", "md5", F.coalesce("again", F.lit(False)).alias("again"))
 
 
+@query(_BYTES + " where e <> 'json' and page_id % 11 > 0".replace("page_id", "key::bigint"))
+def manifest_job(spark, sf_dir):
+    """A job whose store cannot rename: archives are found by the manifests alone, whatever else lies beside them."""
+    from .materialize import download
+
+    folder = new_folder(spark, "job")
+    store = read(spark, sf_dir, "pages").where("page_id % 11 > 0 and page_id % 6 > 0").select("url", F.col("html").alias("body"))
+    table = read(spark, sf_dir, "pages").select("page_id", "url", F.col("url").alias("link"))
+    table.coalesce(1).sortWithinPartitions("page_id").write.parquet(f"{folder}-urls")
+    download(spark, f"{folder}-urls", store=store, input_format="parquet", caption_col="link", output_folder=folder, output_format="webdataset", encode_format="bin", number_sample_per_shard=100, commit="manifest")
+    fs, root = containers.filesystem(f"{folder}/_files/left")
+    fs.create_dir(root, recursive=True)
+    with fs.open_output_stream(f"{root}/00000.tar") as out:  # of an attempt that was not finished
+        out.write(b"half an archive")
+    return bodies(made.tar_members(spark, folder)).where("member not like '%.json'")
+
+
+@query("select key, row_number() over (order by key) - 1 as place from (select printf('%07d', page_id // 20 * 100 + page_id % 20) as key from pages)")
+def shard_order(spark, sf_dir):
+    """The rows of a dataset in order of its files' names and of their places in them are those of its shards, also where a
+    second run has added some: shards 1, 4, 7, ... are written by a run of their own."""
+    from .materialize import download
+
+    folder, source = new_folder(spark, "job"), read(spark, sf_dir, "pages")
+    run = lambda: download(spark, f"{sf_dir}/pages.parquet", store=source.select("url", F.col("html").alias("body")), input_format="parquet", output_folder=folder, output_format="parquet", encode_format="bin", number_sample_per_shard=20)
+    run()
+    forgotten(monitor.done_shards(spark, folder).where("shard_id % 3 = 1"), folder)
+    run()
+    rows = spark.read.schema("key string").parquet(f"{folder}/data").select("key", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(INDEX))
+    offsets = sharding.file_offsets(rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_rows")), 1)  # a file's first place
+    return rows.join(F.broadcast(offsets), FILE).select("key", (F.col("first_shard") + F.col(INDEX)).alias("place"))
+
+
 def forgotten(shards: DataFrame, folder: str) -> None:
     """Delete the statistics of shards, as if they had never been finished."""
 

@@ -4,6 +4,10 @@ A shard's container, metadata and statistics are written under names of the atte
 row as bodies come, and put into place when its last row is there, the statistics last: they mark the shard as done. So a
 job that is killed keeps every shard that it finished, and no body is held longer than its turn. A shard that cannot be
 written fails alone: what it staged is deleted, its error goes into the ledger, and the task goes on with the next.
+
+Where a store cannot rename (a move copies there), a shard's files stay where the attempt has written them, under _files,
+and the statistics name them: this manifest, one small file for each shard, is what readers trust (sources.containers), and
+what no manifest names was never finished.
 """
 
 from __future__ import annotations
@@ -79,6 +83,7 @@ class Target:
     captions: bool
     shard_digits: int
     schema: pa.Schema
+    manifest: bool = False
 
     def name(self, shard_id: int) -> str:
         return f"{shard_id:0{self.shard_digits}d}"
@@ -129,11 +134,14 @@ class Shard:
     def __post_init__(self):
         t = self.target
         self.name = t.name(self.shard_id)
-        self.staged = f"{self.root}/_staging/{t.run}/{self.name}-{uuid.uuid4().hex}"
+        self.at = f"{'_files' if t.manifest else '_staging'}/{t.run}/{self.name}-{uuid.uuid4().hex}"
+        self.staged = f"{self.root}/{self.at}"
         self.fs.create_dir(self.staged, recursive=True)
         kept = t.schema.append(pa.field(t.payload, pa.binary())) if t.output_format == "parquet" else t.schema
         self.table = Table(self.fs, f"{self.staged}/table", kept)
-        self.container = SHARDS[t.output_format](self.fs, f"{self.staged}/container", t.payload, t.captions) if t.output_format in SHARDS else None
+        self.container = None
+        if make := SHARDS.get(t.output_format):
+            self.container = make(self.fs, f"{self.staged}/{self.name}{make.suffix}", t.payload, t.captions)
 
     def add(self, row: dict, body: bytes | None, end: float) -> None:
         t = self.target
@@ -157,17 +165,25 @@ class Shard:
     def commit(self) -> dict:
         """Put everything into place, statistics last; the ledger's row."""
         self.table.close()
+        own = None
         if self.container:
             self.container.close()
-            self.put("container", f"{self.root}/{self.name}{self.container.suffix}")
-        self.put("table", f"{self.root}/{self.target.tables}/shard={self.name}/part-0.parquet")
+            own = f"{self.name}{self.container.suffix}"
+        files = {}
+        if self.target.manifest:
+            files = {"files": {"container": own and f"{self.at}/{own}", "table": f"{self.at}/table"}}
+        else:
+            if own:
+                self.put(own, f"{self.root}/{own}")
+            self.put("table", f"{self.root}/{self.target.tables}/shard={self.name}/part-0.parquet")
         told = {c: self.counts[c] for c in STATS}
         end = self.started if self.ended is None else self.ended
-        stats = told | {"duration": end - self.started, "start_time": self.started, "end_time": end, "status_dict": dict(self.said)}
+        stats = told | {"duration": end - self.started, "start_time": self.started, "end_time": end, "status_dict": dict(self.said)} | files
         with self.fs.open_output_stream(f"{self.staged}/stats") as f:
             f.write(json.dumps(stats).encode())
         self.put("stats", f"{self.root}/{self.name}_stats.json")
-        self.fs.delete_dir(self.staged)
+        if not self.target.manifest:
+            self.fs.delete_dir(self.staged)
         return {"shard_id": self.shard_id, "shard": self.name, **told, "error": None}
 
     def abort(self, error: Exception) -> dict:

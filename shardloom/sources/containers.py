@@ -16,7 +16,22 @@ from ..sinks.containers import masked
 KINDS = {1: "bytes", 2: "float", 3: "int64"}
 
 
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """shard, container, table: the files that the statistics of finished shards name; no rows where files were renamed."""
+    said = spark.read.schema("files struct<container: string, table: string>").option("pathGlobFilter", "*_stats.json").json(folder)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)_", 1)
+    place = lambda c: F.concat(F.lit(f"{folder}/"), F.col(f"files.{c}"))
+    return said.where("files is not null").select(name.alias("shard"), place("container").alias("container"), place("table").alias("table"))
+
+
+def _named(spark: SparkSession, folder: str, which: str) -> list[str]:
+    """Paths of the manifest, one for each shard, as a scan needs them on the driver."""
+    return [r[0] for r in manifest(spark, folder).where(F.col(which).isNotNull()).select(which).orderBy(which).collect()]
+
+
 def _binary(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    if named := _named(spark, folder, "container"):
+        return spark.read.format("binaryFile").load(named)
     return spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup=True).load(folder)
 
 
@@ -37,7 +52,8 @@ def tar_members(spark: SparkSession, folder: str) -> DataFrame:
 def files(spark: SparkSession, folder: str) -> DataFrame:
     """shard, member, body of a dataset of plain files; what begins with an underscore is not part of it."""
     parts = F.split("path", "/")
-    rows = spark.read.format("binaryFile").load(f"{folder}/[0-9]*/*").select(F.element_at(parts, -2).alias("shard"), F.element_at(parts, -1).alias("member"), F.col("content").alias("body"))
+    found = [f"{p}/*" for p in _named(spark, folder, "container")] or f"{folder}/[0-9]*/*"
+    rows = spark.read.format("binaryFile").load(found).select(F.element_at(parts, -2).alias("shard"), F.element_at(parts, -1).alias("member"), F.col("content").alias("body"))
     return rows
 
 
@@ -112,6 +128,8 @@ def record_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def parquet_shards(spark: SparkSession, folder: str) -> DataFrame:
     """The rows of a Parquet dataset, with shard as text."""
+    if named := _named(spark, folder, "table"):
+        return spark.read.parquet(*named).withColumn("shard", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)-[0-9a-f]+/table$", 1))
     return spark.read.option("basePath", f"{folder}/data").schema(_with_shard(spark, folder)).parquet(f"{folder}/data")
 
 

@@ -315,6 +315,27 @@ def test_shards_that_fail_are_tried_again(spark, tmp_path):
     assert again.count() == 4 and spark.read.parquet(str(tmp_path / "out" / "_failed_shards")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["parquet", "webdataset", "files", "tfrecord"])
+def test_manifests_name_what_is_finished(spark, tmp_path, kind):
+    """Without renames: readers see the shards that a manifest names, and neither unfinished files nor replaced ones."""
+    from shardloom.sources import containers as made
+
+    fetcher = lambda tag: lambda url: fetch.Reply(body=tag + url.encode())
+    assert a_run(spark, tmp_path, fetcher(b"a"), output_format=kind, commit="manifest", rows=12).count() == 12
+    (tmp_path / "out" / "00001_stats.json").unlink()
+    assert a_run(spark, tmp_path, fetcher(b"b"), output_format=kind, commit="manifest", rows=12).count() == 4
+    left = tmp_path / "out" / "_files" / "left" / f"00000-{'0' * 32}"
+    left.mkdir(parents=True)
+    (left / "table").write_bytes(b"half a table")
+    (left / "00000.tar").write_bytes(b"half an archive")
+    read = {"parquet": made.parquet_shards, "webdataset": made.tar_members, "files": made.files, "tfrecord": made.record_features}[kind]
+    rows = read(spark, str(tmp_path / "out")).collect()
+    body = {"parquet": lambda r: r.bin, "webdataset": lambda r: r.body, "files": lambda r: r.body, "tfrecord": lambda r: (r.bytes or [b""])[0] if r.name == "bin" else b"{"}[kind]
+    found = {(r.shard, bytes(body(r))) for r in rows if not bytes(body(r)).startswith(b"{")}
+    assert found == {(f"0000{i // 4}", (b"b" if i // 4 == 1 else b"a") + f"http://x/{i}".encode()) for i in range(12)}
+    assert not [*(tmp_path / "out").glob("*.tar")] and not (tmp_path / "out" / "_metadata_table").exists()
+
+
 def test_other_runs_keep_what_they_stage(spark, tmp_path):
     import os
     import time
