@@ -10,7 +10,8 @@ Two kinds of templates are used: phrases (runs of two words; a place counts if a
 diagonal, that is, if its words stand consecutively) and notices (runs of four words; merged diagonals, verified by
 their share of the notice).
 
-Templates are a small fixed table, broadcast behind a check of its size; beyond it the join is an ordinary shuffle.
+Templates are a small fixed table, broadcast behind a check of its size; beyond it the join is an ordinary shuffle, of a row
+for each place that holds the run there and not its text.
 
 Defined cases: null text is the empty text (no words, no labels, score 0); repeated rows each give a row; ties of
 spans are broken by the smaller start; very long texts are scanned whole, a row for each word; columns other than doc_id
@@ -79,9 +80,16 @@ def votes(keyed: DataFrame, templates: DataFrame, broadcast: bool) -> DataFrame:
     run = lambda k: [F.try_element_at("w", F.col("p") + j + 1) for j in range(k)]
     even = F.col("i").bitwiseAND(F.lit(1)) == 0
     at = at.withColumn("h", F.when(F.col("i") < 0, F.lit(0).cast("long")).when(even, F.xxhash64(*run(PHRASE_RUN))).otherwise(F.xxhash64(*run(NOTICE_RUN))))
-    found = at.join(F.broadcast(templates) if broadcast else templates, ["h"])
-    same = F.when(F.col("k") == 0, F.col("i") < 0).when(F.col("k") == PHRASE_RUN, (F.col("i") >= 0) & even & (F.concat_ws(" ", *run(PHRASE_RUN)) == F.col("gram"))).otherwise((F.col("i") >= 0) & ~even & (F.concat_ws(" ", *run(NOTICE_RUN)) == F.col("gram")))
-    found = found.where(same).select(*keys, F.size("w").cast("long").alias("n_words"), "t", "k", "label", "runs", "p", (F.col("p") - F.col("place")).alias("d"))
+    spelled = {k: F.concat_ws(" ", *run(k)) for k in (PHRASE_RUN, NOTICE_RUN)}
+    n_words = F.size("w").cast("long").alias("n_words")
+    if broadcast:  # words are put together only where a run matches
+        found = at.join(F.broadcast(templates), ["h"])
+    else:  # what is shuffled is the run of a place, not the text that it stands in
+        ran = F.when(F.col("i") >= 0, F.when(even, spelled[PHRASE_RUN]).otherwise(spelled[NOTICE_RUN])).alias("ran")
+        found = at.select(*keys, n_words, "i", "p", "h", ran).join(templates.hint("merge"), ["h"])
+        spelled, n_words = dict.fromkeys(spelled, F.col("ran")), "n_words"
+    same = F.when(F.col("k") == 0, F.col("i") < 0).when(F.col("k") == PHRASE_RUN, (F.col("i") >= 0) & even & (spelled[PHRASE_RUN] == F.col("gram"))).otherwise((F.col("i") >= 0) & ~even & (spelled[NOTICE_RUN] == F.col("gram")))
+    found = found.where(same).select(*keys, n_words, "t", "k", "label", "runs", "p", (F.col("p") - F.col("place")).alias("d"))
     return found.groupBy(*keys, "n_words", "t", "k", "label", "runs", "d").agg(F.count(F.lit(1)).alias("votes"), F.min("p").alias("lo"), F.max("p").alias("hi"))
 
 

@@ -18,24 +18,35 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 #: Labelled rows that a model is fitted on, at most.
 MOST_SAMPLES = 8_000
+#: Bytes of their texts that a classifier learns from; passages and sentences of the sample take less than that.
+MOST_SAMPLE_BYTES = 256 << 20
 #: Words of a passage.
 PASSAGE = 48
 #: Words that a worker keeps.
 KEPT_WORDS, KEPT_CHARS = 200_000, 16_000_000
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int) -> DataFrame:
-    """doc_id, text, y of at most `most` labelled rows outside the held-out ones, chosen by a hash of their ids."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int, most_bytes: int = MOST_SAMPLE_BYTES) -> DataFrame:
+    """doc_id, text, y of at most `most` labelled rows outside the held-out ones, chosen by a hash of their ids, one for each
+    doc_id (of several texts the one of least hash), and no more of them, in order of that hash, than hold most_bytes of text.
+    Written to the shared folder."""
     rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (common.doc_crc(F.col("doc_id")) % parts != held))
     rows = common.sampled(rows.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")), most, "doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # at most `most` rows of 12 bytes
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(rows), "doc_id")  # at most `most` rows of 12 bytes
+    one = common.cut(found.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), f"{label}-sample")
+    sizes = one.select("doc_id", F.octet_length("text").cast("long").alias("size"))
+    if (sizes.agg(F.sum("size")).first()[0] or 0) <= most_bytes:
+        return one
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # `most` narrow rows
+    within = sizes.withColumn("upto", F.sum("size").over(order)).where(F.col("upto") <= most_bytes).select("doc_id")
+    return one.join(F.broadcast(within), "doc_id", "left_semi")
 
 
 # --- quality: gated attention over passages -------------------------------------------------------------------------
@@ -336,7 +347,7 @@ def distinct_words(texts: pa.Array) -> pa.Array:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLES) -> NoisyOr:
     """Terms are the words that stand more often in toxic sample documents than chance allows; their weights are
     learned through the noisy-or from document labels."""
-    sample = common.cut(labelled(docs, labels, "toxic", 5, 0, most), "toxic-sample")
+    sample = labelled(docs, labels, "toxic", 5, 0, most)
     n, n_toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     model = NoisyOr([])
     model.base = n_toxic / n if n else 0.0
