@@ -18,7 +18,11 @@ KINDS = {1: "bytes", 2: "float", 3: "int64"}
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """shard, container, table: the files that the statistics of finished shards name; no rows where files were renamed."""
-    said = spark.read.schema("files struct<container: string, table: string>").option("pathGlobFilter", "*_stats.json").json(folder)
+    jvm, kind = spark.sparkContext._jvm, "files struct<container: string, table: string>"
+    at = jvm.org.apache.hadoop.fs.Path(f"{folder}/[0-9]*_stats.json")
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at):
+        return spark.createDataFrame([], "shard string, container string, table string")
+    said = spark.read.schema(kind).json(at.toString())
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)_", 1)
     place = lambda c: F.concat(F.lit(f"{folder}/"), F.col(f"files.{c}"))
     return said.where("files is not null").select(name.alias("shard"), place("container").alias("container"), place("table").alias("table"))
