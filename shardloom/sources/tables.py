@@ -73,8 +73,8 @@ def empty_for_null(df: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], input_format: str) -> DataFrame:
-    """All columns of the files, with FILE, BLOCK (first byte of the split) and, for Parquet and delimited text, INDEX (row in
-    the file)."""
+    """All columns of the files, with FILE, BLOCK (first byte of the split) and, for Parquet, delimited text and arrays of JSON,
+    INDEX (row in the file)."""
     kind = input_format.removesuffix(".gz")
     meta = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
     paths = [*paths]
@@ -89,7 +89,12 @@ def read_files(spark: SparkSession, paths: Sequence[str], input_format: str) ->
     if kind in ("csv", "tsv"):  # compressed files are read by a task each
         reader = spark.read.options(header=True, inferSchema=True, multiLine=True, escape='"', sep="\t" if kind == "tsv" else ",", timestampFormat="yyyy-MM-dd HH:mm:ss", preferDate=True)
         return empty_for_null(as_arrow_reads(with_meta(reader.csv(paths))))
-    if kind == "json":
+    if input_format == "json":
+        from . import arrays
+
+        if arrays.is_array(lines := arrays.scanned(spark, paths)):
+            return arrays.read_array(spark, lines)
+    if kind == "json":  # compressed, or objects: a task for each document
         df = with_meta(spark.read.option("multiLine", True).json(paths))
         return as_arrow_reads(records(df))
     return as_arrow_reads(with_meta(spark.read.json(paths)))

@@ -1,14 +1,15 @@
-"""Delimited text in many tasks against Python's csv module and Spark's own reading of whole files."""
+"""Delimited text and arrays of JSON in many tasks, against Python's modules and Spark's own reading of whole files."""
 
 import csv
 import io
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from shardloom.operators import sharding
-from shardloom.sources import delimited, tables
+from shardloom.sources import arrays, delimited, tables
 from shardloom.sources.tables import BLOCK, FILE, INDEX
 
 
@@ -120,3 +121,66 @@ def test_positions_hold_when_the_scan_is_split_otherwise(spark, tmp_path):
         assert {r.url: r[INDEX] for r in table.collect()} == {f"http://x/{i:06d}": i for i in range(3_000)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def documents(r, n):
+    some = ["", "plain", 'quote"d', "{", "}]", "[[", "back\\slash", "\\\"", "line\nend", "é日本", "a, b", "x" * 200]
+    return [{"n": i, "s": r.choice(some), "deep": {"k": [r.choice(some), {"z": r.choice([None, i])}]}, "url": f"u{i}"} for i in range(n)]
+
+
+def compact(rows):
+    return json.dumps(rows)
+
+
+def indented(rows):
+    return json.dumps(rows, indent=2, ensure_ascii=False)
+
+
+def by_line(rows):
+    return "[" + ",\n".join(json.dumps(x) for x in rows) + "]\n"
+
+
+def mixed(rows):
+    """Several records on a line, records over several, blanks and blank lines between."""
+    r, out = random.Random(2), "  \n[ "
+    for i, x in enumerate(rows):
+        out += json.dumps(x, indent=r.choice([None, 1])) + (r.choice([",", " ,\n\n", ",\r\n "]) if i + 1 < len(rows) else "")
+    return out + "\n ] \n"
+
+
+@pytest.mark.parametrize(("how", "most"), [(compact, "1m"), (indented, "400"), (by_line, "500"), (mixed, "400")])
+def test_arrays_of_many_splits(spark, tmp_path, how, most):
+    r = random.Random(most)
+    files = {"a": documents(r, 30), "b": documents(r, 1), "c": [], "d": documents(r, 9)}
+    for name, rows in files.items():
+        (tmp_path / f"{name}.json").write_text(how(rows))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    try:
+        table = tables.read_files(spark, tables.listing(spark, str(tmp_path), "json"), "json")
+        got = {(x[FILE].rsplit("/", 1)[1][0], x[INDEX]): {"n": x["n"], "s": x["s"], "deep": {"k": [x["deep"]["k"][0], json.loads(x["deep"]["k"][1])]}, "url": x["url"]} for x in table.collect()}
+        lines = arrays.scanned(spark, [str(tmp_path / "a.json")])
+        assert how is compact or lines.select(BLOCK).distinct().count() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(f, i): row for f, rows in files.items() for i, row in enumerate(rows)}
+
+
+def test_arrays_as_spark_reads_whole_files(spark, tmp_path):
+    r = random.Random(3)
+    (tmp_path / "t.json").write_text(indented([{"i": i, "d": r.choice([1.5, 2, None]), "b": True, "l": 2**40, "a": [i]} for i in range(50)]))
+    want = tables.as_arrow_reads(spark.read.option("multiLine", True).json(str(tmp_path / "t.json")))
+    got = tables.read_files(spark, [str(tmp_path / "t.json")], "json").drop(FILE, BLOCK, INDEX)
+    assert got.schema.simpleString() == want.schema.simpleString() and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_what_is_no_array_of_objects(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"url": "u", "n": 1}')
+    assert tables.read_files(spark, [str(tmp_path / "one.json")], "json").first()["url"] == "u"
+    (tmp_path / "open.json").write_text('[{"url": "u"}, {"url": ')
+    with pytest.raises(ValueError, match="do not close"):
+        tables.read_files(spark, [str(tmp_path / "open.json")], "json")
+    for text in ("[1, 2]", '[{"a": 1}, 5]', '["x"]', "[[1]]"):
+        with pytest.raises(ValueError, match="no object"):
+            [*arrays.cut(text, 0)]
+    assert [*arrays.cut('{"a": 1}, {"b":', 1)] == [('{"a": 1}', True, True), ('{"b":', True, False)] and [*arrays.cut(" 2}, ", 2)] == [(" 2}", False, True)]
