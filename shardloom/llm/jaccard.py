@@ -278,7 +278,8 @@ def buckets(known: DataFrame) -> DataFrame:
     wide = math.log(100 / PERCENT) * (1 + 1e-9)  # sizes that may link are in one band or in neighbours
     band = F.floor(F.log(F.col("n").cast("double")) / wide).cast("int")
     banded = common.cut(crowded.select("key", "node", "n", F.explode(F.array(band, band + 1)).alias("band")), "banded")
-    return common.cut(banded.hint("merge").join(common.cut(shared(banded, "band", "key"), "buckets"), ["band", "key"]), "members")
+    most = banded.count()
+    return common.cut(banded.hint("merge").join(common.cut(shared(banded, "band", "key"), "buckets", most), ["band", "key"]), "members", most)
 
 
 def is_link(x: np.ndarray, y: np.ndarray) -> bool:
@@ -365,33 +366,34 @@ def linker(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
 
-def of_nodes(table: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of some nodes: by a broadcast of the nodes where their counted number allows it, else by a shuffle that what
-    follows can use."""
-    some = common.cut(nodes.select("node").distinct(), "some")
+def of_nodes(table: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """The rows of some nodes (at most `most`): by a broadcast of the nodes where their counted number allows it, else by a
+    shuffle that what follows can use."""
+    some = common.cut(nodes.select("node").distinct(), "some", most)
     return table.join(F.broadcast(some) if some.count() <= MOST_BROADCAST_NODES else some.hint("merge"), "node", "left_semi")
 
 
-def promising(pairs: DataFrame, known: DataFrame) -> DataFrame:
+def promising(pairs: DataFrame, known: DataFrame, most: int) -> DataFrame:
     """Of the pairs (node, b) of nodes those whose sizes fit and whose prefixes share as many runs as a link would."""
-    some = of_nodes(known, pairs.select("node").union(pairs.select("b")))
+    some = of_nodes(known, pairs.select("node").union(pairs.select("b")), 2 * most)
     side = lambda name, s: some.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "l", "prefix", "lost")]).hint("merge")
     both = pairs.join(side("node", "a"), "node").join(side("b", "b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
     needed = F.greatest(t_of("n_a"), t_of("n_b")) - F.greatest(t_of("n_a") - F.col("l_a"), t_of("n_b") - F.col("l_b"))
     return both.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + F.col("lost_a") + F.col("lost_b") >= needed).select("node", "b")
 
 
-def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (node, b: a centre) -> the links (a, b) among them. Each node's text goes to its centre's group; a centre with
+def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """pairs (node, b: a centre; at most `most`) -> the links (a, b) among them. Each node's text goes to its centre's group; a centre with
     many pairs has several groups, each with its own text."""
-    new = common.cut(pairs.select("node", "b").distinct(), "pairs")
-    some = common.cut(promising(new, known), "promising")
+    new = common.cut(pairs.select("node", "b").distinct(), "pairs", most)
+    some = common.cut(promising(new, known, most), "promising")
+    most = some.count()
     salts = some.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CENTRE_PAIRS).cast("int").alias("salts"))
-    salts = common.cut(salts, "salts")
+    salts = common.cut(salts, "salts", most)
     members = some.join(salts.hint("merge"), "b").select("b", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), "node")
     centres = salts.select("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("b").alias("node"))
-    groups = common.cut(members.union(centres), "groups")
-    rows = groups.join(of_nodes(texts, groups).hint("merge"), "node").select("b", "salt", "node", (F.col("node") != F.col("b")).alias("later"), "text")
+    groups = common.cut(members.union(centres), "groups", 3 * most)
+    rows = groups.join(of_nodes(texts, groups, 3 * most).hint("merge"), "node").select("b", "salt", "node", (F.col("node") != F.col("b")).alias("later"), "text")
     dealt = rows.repartition(common.partitions(texts.sparkSession), "b", "salt").sortWithinPartitions("b", "salt", "later")
     return common.cut(dealt.mapInArrow(compared, "a long, b long"), "links")
 
@@ -399,29 +401,31 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
 def links(texts: DataFrame, known: DataFrame, members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """node, class: of the nodes with links. texts (node, text): of each member; known: lengthened(); members: buckets()."""
 
+    most = members.count()
+
     def classed() -> DataFrame:
         held = members.select("band", "key", "node", "n").join(own, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        held = common.cut(held, "held")  # buckets of one class are done
+        held = common.cut(held, "held", most)  # buckets of one class are done
         split = held.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi and m > 2")
-        out = common.cut(held.join(common.cut(split.select("band", "key"), "split").hint("merge"), ["band", "key"]), "open")
+        out = common.cut(held.join(common.cut(split.select("band", "key"), "split", most).hint("merge"), ["band", "key"]), "open", most)
         common.drop(held)
         return out
 
-    found = verified(members.where("node <> centre").select("node", F.col("centre").alias("b")), known, texts)
+    found = verified(members.where("node <> centre").select("node", F.col("centre").alias("b")), known, texts, most)
     own = minhash.components(found)
     for t in range(1, rounds):
         members = classed()
         centre = members.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("x"), "node", "class")).alias("c")).select("band", "key", F.col("c.node").alias("b"), F.col("c.class").alias("bc"))
-        found = found.union(verified(members.join(common.cut(centre, "centres"), ["band", "key"]).where("class <> bc").select("node", "b"), known, texts))
+        found = found.union(verified(members.join(common.cut(centre, "centres", most), ["band", "key"]).where("class <> bc").select("node", "b"), known, texts, most))
         own = minhash.components(found)
     members = classed()
     of = members.groupBy("node").agg(F.sort_array(F.collect_list(F.xxhash64("band", "key"))).alias("buckets"))
     blocks = common.cut(minhash.blocked(members), "blocks")
     dealt = lambda rows: rows.repartition(common.partitions(texts.sparkSession), *BLOCK).sortWithinPartitions(*BLOCK)
-    told = blocks.join(of_nodes(known, members).join(of, "node").hint("merge"), "node").select(*BLOCK, "node", "class", "second", "n", "l", "lost", F.xxhash64("band", "key").alias("bucket"), "buckets", "prefix")
+    told = blocks.join(of_nodes(known, members, most).join(of, "node").hint("merge"), "node").select(*BLOCK, "node", "class", "second", "n", "l", "lost", F.xxhash64("band", "key").alias("bucket"), "buckets", "prefix")
     some = common.cut(dealt(told).mapInArrow(passing, "band int, key long, kind int, i int, j int, node long"), "passing")
     blocks = common.cut(blocks.join(some.hint("merge"), [*BLOCK, "node"], "left_semi"), "blocks")
-    told = blocks.join(of_nodes(texts, blocks).hint("merge"), "node").select(*BLOCK, "node", "class", "second", "text")
+    told = blocks.join(of_nodes(texts, blocks, blocks.count()).hint("merge"), "node").select(*BLOCK, "node", "class", "second", "text")
     return minhash.components(found.union(common.cut(dealt(told).mapInArrow(linker, "a long, b long"), "links")))
 
 
@@ -433,9 +437,9 @@ def joined(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     sets = both.where("at is null").select("doc_id", *KEY, "node", "n")
     members = buckets(common.cut(prefixes(rows, counts), "prefixes"))
     # the text of one row for each node that has a candidate, by the keys of the row
-    met = common.cut(members.groupBy("node").agg(F.sum(F.col("m") - 1).alias("postings")), "met")
+    met = common.cut(members.groupBy("node").agg(F.sum(F.col("m") - 1).alias("postings")), "met", members.count())
     keys = sets.join(met.hint("merge"), "node").groupBy("node", "postings").agg(F.min(F.struct(*KEY)).alias("k")).select("node", "postings", "k.*")
-    keys = common.cut(keys, "keys")
+    keys = common.cut(keys, "keys", met.count())
     keys = F.broadcast(keys) if keys.count() <= MOST_BROADCAST_NODES else keys.hint("merge")
     texts = rows.select(*KEY, "text").join(keys, KEY).groupBy("node").agg(F.first("postings").alias("postings"), F.first("text").alias("text"))
     texts = common.cut(texts, "texts")
