@@ -1,4 +1,5 @@
-"""Positional shards: every N rows of a file, in file order, numbered across the files in order of their names."""
+"""Positional shards: every N rows of a file, in file order, numbered across the files in order of their names; or every N
+rows of a table whose files are parts of one list."""
 
 from __future__ import annotations
 
@@ -42,12 +43,16 @@ def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_fil
     return counted.withColumn("first_shard", (before + F.lit(start_shard_id)).cast("long")).where(F.col("file_idx") >= start_file_id).drop("file_idx")
 
 
-def with_shards(df: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0) -> DataFrame:
-    """df with shard_id and idx (place in the shard). Only a row for each file is aggregated and joined back."""
+def with_shards(df: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0, one_list: bool = False) -> DataFrame:
+    """df with shard_id and idx (place in the shard). Only a row for each file is aggregated and joined back. one_list: the
+    files are parts of one list, so that a shard runs on into the next file instead of ending with its own."""
     rows = with_row_index(df)
-    offsets = file_offsets(rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_rows")), size, start_shard_id, start_file_id).select(FILE, "first_shard")
+    unit = 1 if one_list else size  # a file's first row, or its first shard
+    offsets = file_offsets(rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_rows")), unit, 0, start_file_id).select(FILE, F.col("first_shard").alias("_first"))
     joined = rows.join(F.broadcast(offsets) if len(df.inputFiles()) <= MOST_BROADCAST_FILES else offsets, FILE)
-    return joined.select(*[c for c in df.columns if c not in (FILE, BLOCK, INDEX)], (F.col("first_shard") + F.floor(F.col(INDEX) / size)).cast("long").alias("shard_id"), (F.col(INDEX) % size).cast("long").alias("idx"))
+    place = F.col("_first") * unit + F.col(INDEX)
+    shard, idx = positions(place, size)
+    return joined.select(*[c for c in df.columns if c not in (FILE, BLOCK, INDEX)], (shard + F.lit(start_shard_id)).cast("long").alias("shard_id"), idx.alias("idx"))
 
 
 def positions(row_number: Column, size: int) -> tuple[Column, Column]:

@@ -39,7 +39,7 @@ def _path(spark: SparkSession, folder: str):
 def planned(spark: SparkSession, options: Options, done: DataFrame | None = None) -> DataFrame:
     """The canonical table with shard_id, idx and key, without shards that are done."""
     table = url_table(spark, options.url_list, options.input_format, options.url_col, options.caption_col, options.extras)
-    sharded = sharding.with_shards(table, options.number_sample_per_shard, options.start_shard_id, options.start_file_id)
+    sharded = sharding.with_shards(table, options.number_sample_per_shard, options.start_shard_id, options.start_file_id, options.one_list)
     if done is not None:
         sharded = sharding.remaining(sharded, done)
     return sharding.with_key(sharded, options.magnitude, options.oom_shard_count)
