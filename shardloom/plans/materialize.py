@@ -64,7 +64,7 @@ def target(options: Options, rows: DataFrame, made: commit.Outcome, run: str) ->
 
 
 def looked_up(rows: DataFrame, store: DataFrame, options: Options) -> DataFrame:
-    """rows with payload and error_message from a table (url, body)."""
+    """rows with payload and error_message from a table (url and what else tells rows apart, body)."""
     payload = options.encode_format
     got = fetch.fetch_lookup(rows, store, payload)
     got = got.withColumn("error_message", F.coalesce("error_message", classify.size_error(F.octet_length(F.col(payload)), options.max_bytes)))
@@ -88,7 +88,8 @@ def ledger(spark: SparkSession, folder: str, run: str) -> DataFrame:
 
 
 def materialize(spark: SparkSession, options: Options, fetcher=None, store: DataFrame | None = None, codecs: dict | None = None, monitoring: bool | Callable = False) -> DataFrame:
-    """Run the job; returns the metadata of the rows that it wrote. store (url, body) replaces the network. With
+    """Run the job; returns the metadata of the rows that it wrote. store (url, body) replaces the network; columns
+    of the table besides url tell bodies of one url apart. With
     monitoring, totals of the statistics files go to the in-memory table job_totals while shards finish, and once more in
     the end; a function is given (kind, rows) instead: `totals`, `statuses` (every 60 seconds), `bad` shards and `line`s."""
     folder, run = options.output_folder, uuid.uuid4().hex

@@ -2,12 +2,13 @@
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import duck
+from conftest import SF, duck
 
 from shardloom.operators import sharding
 from shardloom.plans.queries import ORACLES, QUERIES
 from shardloom.sources import tables
 
+LARGER = SF.replace("sf0.001", "sf0.01")  # 250 pages
 PLACES = ["extend_start", "files_layout", "incremental_remaining", "parquet_sink", "sample_key", "shard_assign", "shard_manifest", "shard_names", "shard_order", "sidecar", "tar_members", "tar_without_captions", "tfrecord_features"]
 
 
@@ -18,11 +19,11 @@ def parts(folder, table, *ends):
 
 
 @pytest.fixture(scope="module")
-def split(sf, tmp_path_factory):
+def split(tmp_path_factory):
     """(folder of tables of one file, folder of the same in parts)"""
     one, many = tmp_path_factory.mktemp("one"), tmp_path_factory.mktemp("many")
     for name, ends in (("pages", (37, 150)), ("orders", (333, 900))):
-        table = pq.read_table(f"{sf}/{name}.parquet")
+        table = pq.read_table(f"{LARGER}/{name}.parquet")
         pq.write_table(table, one / f"{name}.parquet")
         parts(many / f"{name}.parquet", table, *ends)
     return str(one), str(many)
@@ -43,4 +44,17 @@ def test_one_list_keeps_numbers(spark, split):
     """Later files alone, from a later shard on: rows keep their places in the list."""
     table = tables.url_table(spark, f"{split[1]}/pages.parquet", "parquet", extras=["page_id"])
     got = sharding.with_shards(table, 20, start_shard_id=5, start_file_id=1, one_list=True).collect()
-    assert {(r.page_id, r.shard_id, r.idx) for r in got} == {(p, 5 + p // 20, p % 20) for p in range(37, pq.read_metadata(f"{split[0]}/pages.parquet").num_rows)}
+    assert {(r.page_id, r.shard_id, r.idx) for r in got} == {(p, 5 + p // 20, p % 20) for p in range(37, 250)}
+
+
+@pytest.mark.parametrize("name", ["fetch_lookup", "manifest_job", "resumed_job", "whole_job", "url_pipeline"])
+def test_pages_of_one_url_have_bodies_of_their_own(spark, tmp_path, name):
+    """Pages 3 and 160 share a URL, and so do 11, which the store lacks, and 13."""
+    table = pq.read_table(f"{LARGER}/pages.parquet")
+    urls = table["url"].to_pylist()
+    urls[160], urls[13] = urls[3], urls[11]
+    table = table.set_column(table.schema.get_field_index("url"), "url", [urls])
+    (tmp_path / "one").mkdir()
+    pq.write_table(table, tmp_path / "one" / "pages.parquet")
+    parts(tmp_path / "many" / "pages.parquet", table, 37, 150)
+    agree(QUERIES[name](spark, str(tmp_path / "many")), name, str(tmp_path / "one"))
