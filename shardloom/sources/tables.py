@@ -158,10 +158,12 @@ def alive_workers(table: DataFrame) -> DataFrame:
 
 
 def worker_table(pages: DataFrame, html: str = "html") -> DataFrame:
-    """State and Address of the first HTML table of each page, by its header row."""
+    """State and Address of the first HTML table of each page, by its header row, which is looked for once a page: beside
+    explode() Spark would search the page again for each of its rows."""
     table = F.regexp_extract(html, r"(?is)<table[^>]*>(.*?)</table>", 1)
     cells = lambda row, tag: F.transform(F.regexp_extract_all(row, F.lit(rf"(?is)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1)), lambda c: F.trim(F.regexp_replace(c, "<[^>]*>", "")))
-    rows = pages.select(table.alias("t")).select(cells(F.col("t"), "th").alias("names"), F.explode(F.regexp_extract_all("t", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("r"))
+    headed = pages.select(table.alias("t")).select("t", cells(F.col("t"), "th").alias("names"))
+    rows = headed.select("names", F.explode(F.regexp_extract_all("t", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("r"))
     held = rows.select("names", cells(F.col("r"), "td").alias("v")).where(F.size("v") > 0)
     named = lambda n: F.get("v", F.array_position("names", n).cast("int") - 1)
     return held.select(named("State").alias("State"), named("Address").alias("Address"))

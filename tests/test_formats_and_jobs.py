@@ -590,3 +590,15 @@ def test_counters(spark):
     counts = spark.createDataFrame([("a", 5), ("b", 5), ("c", 9), ("d", 1)], "status string, count long")
     assert [r.status for r in stats.status_table(counts, 3).collect()] == ["c", "a", "b"]
     assert [r.status for r in stats.capped(counts, 4).collect()] == ["c", "a"]
+
+
+def test_header_of_a_page_is_read_once(spark):
+    """The search for header cells stands below explode() in the plan, not above it, where it ran for each row."""
+    import re
+
+    page = spark.createDataFrame([("<table><tr><th>Address</th><th>State</th></tr>" + "".join(f"<tr><td>h{i}:1</td><td>ALIVE</td></tr>" for i in range(50)) + "</table>",)], "html string")
+    found = tables.alive_workers(tables.worker_table(page))
+    assert sorted(r.host for r in found.collect()) == sorted(f"h{i}" for i in range(50))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: re.search(r"Generate explode", plan).start()]
+    assert "<th" not in above and "<th" in plan
