@@ -216,7 +216,7 @@ def quality_score(spark: SparkSession, model: GatedAttention):
             out.append(m.scores([f.vectors(t) for t in run]))
         return pa.array(np.concatenate(out) if out else [], pa.float64())
 
-    return F.arrow_udf(work, "double")
+    return F.arrow_udf(common.sliced(work), "double")
 
 
 QUALITY_LEAST, TOXIC_LEAST = 0.7, 0.5

@@ -90,7 +90,7 @@ def remover(min_lines: int, run_words: int):
         rows = [None if (t := text.as_py()) is None else one(t, set(some.as_py() or []), copy.as_py()) for text, some, copy in zip(texts, places, copies, strict=True)]
         return pa.array(rows, pa.struct([("text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]))
 
-    return F.arrow_udf(work, _LEFT)
+    return F.arrow_udf(common.sliced(work), _LEFT)
 
 
 def in_order(rows: DataFrame, *cols: str, weight: str | None = None, last: str | None = None, most: int | None = None) -> DataFrame:
@@ -176,7 +176,7 @@ def dedup_runs(docs: DataFrame, min_lines: int = MIN_LINES, run_words: int = RUN
     removed (start and end of each removed line in characters of the original), runs (the text's maximal repeated runs:
     first, the run's first line among those that are not empty, from 0, and its lines)."""
     rows = keyed(docs)
-    told = common.cut(rows.select(*KEY, place().alias("place"), F.arrow_udf(tell, _TOLD)("_ll_text").alias("s")).select(*KEY, "place", "s.*"), "lines")
+    told = common.cut(rows.select(*KEY, place().alias("place"), F.arrow_udf(common.sliced(tell), _TOLD)("_ll_text").alias("s")).select(*KEY, "place", "s.*"), "lines")
     seqs = told.groupBy("s1", "s2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("words").alias("words"))
     seqs = common.cut(in_order(seqs.withColumn("room", F.col("n") + 1), "first", weight="room").select("s1", "s2", "first", (F.col("rows") > 1).alias("copied"), "n", "h1", "h2", "words", F.col("before").alias("offset")), "sequences")
     each = seqs.select("offset", "h2", "words", F.posexplode("h1").alias("j", "a")).select((F.col("offset") + F.col("j")).alias("p"), "a", F.get("h2", F.col("j")).alias("b"), F.get("words", F.col("j")).alias("w"))

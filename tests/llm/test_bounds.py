@@ -110,3 +110,21 @@ def test_shuffled_places_hold_no_text(spark, monkeypatch):
     plan = licenses.scan(df)._jdf.queryExecution().optimizedPlan().toString()
     join = next(x for x in plan.splitlines() if "Join Inner" in x)
     assert "h#" in join
+
+
+def test_arrow_functions_work_on_few_rows_at_a_time():
+    """What a function makes of texts stands in a worker for SLICE_ROWS rows, however many the batch has, and is the same."""
+    import pyarrow as pa
+
+    from shardloom.llm import common, units
+
+    seen = []
+
+    def tell(texts):
+        seen.append(len(texts))
+        return units.tell(texts)
+
+    texts = pa.array([None if i % 7 == 0 else f"line {i % 5}\n\nlong line {i}" for i in range(1_300)])
+    assert common.sliced(tell)(texts).to_pylist() == units.tell(texts).to_pylist()
+    assert seen == [512, 512, 276]
+    assert len(common.sliced(tell)(texts.slice(0, 0))) == 0
