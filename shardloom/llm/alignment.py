@@ -6,6 +6,11 @@ sorted ends of A and B meet wherever both end, and these places cut the tokens i
 texts of a chunk at once: their bytes are laid end to end, and since both tokenizers end where a text ends, no group goes
 over a text. Every A token of a group is linked to every B token of it.
 
+Words repeat. Where A splits by the usual pattern and no piece of B goes over a blank, both tokenizers end a token before a
+blank that stands alone between characters that are none, so no group goes over it: a worker aligns each distinct word
+once, and a text is put together from its words. Texts with other blanks at the ends of words, with U+2581 or with words of
+WORD_CHARS characters or more are aligned whole.
+
 Spark counts: a document's distinct id pairs are counted by block of documents, then over the corpus; the highest count of
 each id of A and of B is joined to the pairs (as many rows as the vocabularies have ids, so they are broadcast), and counts
 come back to each block once for each pair that the block holds, not once for each document. In the end a block's documents
@@ -26,6 +31,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,6 +50,8 @@ MOST_VOCABULARY_BYTES = 50_000_000
 CHUNK_CHARS = 1_000_000
 #: Links of a group beyond which equal ids are put together before they are laid out.
 LARGE_GROUP = 4_096
+#: Shorter words are aligned once; so many of them that a worker keeps between chunks.
+WORD_CHARS, MOST_WORDS = 256, 150_000
 #: Texts with a run of as many characters, blank or not, take the slower of A's two encoders, which has no stack to exceed.
 LONG_RUN = re.compile(r"\S{2000}|\s{500}")
 OWN = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
@@ -96,15 +104,35 @@ class PieceTokenizer:
 
     def __init__(self, blob: bytes):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=blob)
         piece = lambda i: bytes([int(self.model.id_to_piece(i)[3:-1], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) or self.model.is_unknown(i) else self.model.id_to_piece(i).replace("▁", " ").encode()
         self.bytes = [piece(i) for i in range(self.model.get_piece_size())]
+        said = sentencepiece_model_pb2.ModelProto.FromString(blob)
+        plain = said.trainer_spec.model_type == said.trainer_spec.BPE and said.normalizer_spec.name == "identity" and said.normalizer_spec.add_dummy_prefix
+        #: whether words between single blanks have the pieces that they have alone
+        self.by_word = plain and not any("▁" in p.piece.lstrip("▁") for p in said.pieces)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1) if texts else []
 
 
+class Words(dict):
+    """Numbers of words from 1 on, and the words that are new; 0 for those that cannot be aligned on their own."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        if not word or len(word) >= WORD_CHARS or word[0].isspace() or word[-1].isspace() or "▁" in word:
+            return 0
+        self.new.append(word)
+        self[word] = number = len(self) + 1
+        return number
+
+
 class Aligner:
     """Both tokenizers with what the merge needs of their tokens."""
 
@@ -115,6 +143,14 @@ class Aligner:
         # every token's number with what stands behind it: , within a side, | and ; at its end
         self.strings = [f"{i}{mark}" for n, marks in ((len(self.a.bytes), ",|"), (len(self.b.bytes), ",;")) for mark in marks for i in range(n)]
         self.offsets = np.cumsum([0, len(self.a.bytes), len(self.a.bytes), len(self.b.bytes)])
+        self.by_word = self.a.fast is not None and self.b.by_word and len(self.a.bytes) * self.width < 1 << 32
+        self.forget()
+
+    def forget(self) -> None:
+        """Let all words go. Number 0 has no tokens."""
+        self.words, self.said = Words(), [""]
+        self.own = {c: np.zeros(1, np.int64) for c in OWN[:-1]}
+        self.heads, self.pairs, self.times = np.zeros(2, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both id arrays of each text; empty ones where a text has no tokens."""
@@ -153,30 +189,27 @@ class Aligner:
             pairs = (ua[:, None] * self.width + ub).ravel()
             yield np.full(len(pairs), doc[g]), pairs, np.outer(ca, cb).ravel()
 
-    def aligned(self, texts: list[str | None]) -> pd.DataFrame:
-        """A row for each text: OWN, and its distinct pairs in order with the number of their links."""
-        found = self.tokens(texts)
-        sizes = [np.array([len(f[k]) for f in found], np.int64) for k in (0, 1)]
-        ids = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1)]
+    def laid(self, ids: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[dict, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of texts, or words, with their ids of A and B one after the other and the number of each one's ids: counts, groups
+        as a string, and the distinct pairs of all in order with the number of their links and where each one's begin."""
+        n = len(sizes[0])
         ends = [np.cumsum(length[x]) for length, x in zip(self.lengths, ids, strict=True)]
         met, group_a, group_b = self.merge(*ends)
         n_a, n_b = np.bincount(group_a, minlength=len(met)), np.bincount(group_b, minlength=len(met))
-        doc_of_a = np.repeat(np.arange(len(texts)), sizes[0])
+        doc_of_a = np.repeat(np.arange(n), sizes[0])
         doc = doc_of_a[np.cumsum(n_a) - 1] if len(met) else np.zeros(0, np.int64)
-        n_groups = np.bincount(doc, minlength=len(texts))
-        n_links = np.bincount(doc, n_a * n_b, len(texts)).astype(np.int64)
+        n_groups = np.bincount(doc, minlength=n)
+        n_links = np.bincount(doc, n_a * n_b, n).astype(np.int64)
         # the tokens of both sides in order of groups, each as its number and the mark behind it
         last = [np.zeros(len(x), bool) for x in ids]
-        for mark, n in zip(last, (n_a, n_b), strict=True):
-            mark[np.cumsum(n) - 1] = True
+        for mark, k in zip(last, (n_a, n_b), strict=True):
+            mark[np.cumsum(k) - 1] = True
         merged = np.zeros(len(ids[0]) + len(ids[1]), np.int64)
         merged[np.arange(len(ids[0])) + (np.cumsum(n_b) - n_b)[group_a]] = ids[0] + np.where(last[0], self.offsets[1], 0)
         merged[np.arange(len(ids[1])) + np.cumsum(n_a)[group_b]] = ids[1] + np.where(last[1], self.offsets[3], self.offsets[2])
         stops = np.cumsum(sizes[0] + sizes[1])
-        shas = []
-        for start, stop in zip(stops - sizes[0] - sizes[1], stops, strict=True):
-            said = "".join(map(self.strings.__getitem__, merged[start:stop].tolist()))[:-1]
-            shas.append(hashlib.sha256(said.encode()).hexdigest() if said else "")
+        said = [*map(self.strings.__getitem__, merged.tolist())]
+        said = ["".join(said[start:stop])[:-1] for start, stop in zip((stops - sizes[0] - sizes[1]).tolist(), stops.tolist(), strict=True)]
         of_doc, pairs, times = (np.concatenate(x) for x in zip(*self.links(ids[0], ids[1], n_a, n_b, doc), strict=True))
         order = np.lexsort((pairs, of_doc))
         of_doc, pairs, times = of_doc[order], pairs[order], times[order]
@@ -184,8 +217,79 @@ class Aligner:
         new[1:] = (pairs[1:] != pairs[:-1]) | (of_doc[1:] != of_doc[:-1])
         starts = np.flatnonzero(new)
         times = np.add.reduceat(times, starts) if len(starts) else times
-        cuts = np.searchsorted(of_doc[starts], np.arange(1, len(texts)))
-        return pd.DataFrame({"n_a": sizes[0], "n_b": sizes[1], "n_groups": n_groups, "n_links": n_links, "groups_sha256": shas, "pairs": np.split(pairs[starts], cuts), "times": np.split(times, cuts)})
+        heads = np.searchsorted(of_doc[starts], np.arange(n + 1))
+        return dict(zip(OWN, (*sizes, n_groups, n_links), strict=False)), said, pairs[starts], times, heads
+
+    def learned(self) -> bool:
+        """Align the new words, laid end to end with blanks between them; False where they are not what the tokens say."""
+        some = self.words.new
+        if not some:
+            return True
+        (ids,) = self.tokens([" ".join(some)])
+        if not len(ids[0]):
+            return False
+        self.words.new = []
+        stops = np.cumsum([len(w.encode()) + 1 for w in some])
+        sizes = [np.bincount(np.searchsorted(stops, np.cumsum(length[x])), minlength=len(some)) for length, x in zip(self.lengths, ids, strict=True)]
+        own, said, pairs, times, heads = self.laid([*ids], sizes)
+        self.own = {c: np.concatenate([self.own[c], own[c]]) for c in self.own}
+        self.said += said
+        self.heads = np.concatenate([self.heads, self.heads[-1] + heads[1:]])
+        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
+        return True
+
+    def from_words(self, texts: list[str | None]) -> tuple[pd.DataFrame, np.ndarray]:
+        """The rows of the texts put together from their words, and which texts that cannot be done for."""
+        if len(self.words) > MOST_WORDS:
+            self.forget()
+        lists = [t.split(" ") if t else [] for t in texts]
+        sizes = np.array([*map(len, lists)], np.int64)
+        number = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        whole = np.bincount(doc, number == 0, len(texts)) > 0
+        if not self.learned():
+            self.forget()
+            whole = sizes > 0
+        number, doc = number[~whole[doc]], doc[~whole[doc]]
+        ends = np.cumsum(np.where(whole, 0, sizes)).tolist()
+        rows = {c: np.bincount(doc, of[number], len(texts)).astype(np.int64) for c, of in self.own.items()}
+        said = [*map(self.said.__getitem__, number.tolist())]
+        rows["groups_sha256"] = [hashlib.sha256(";".join(said[a:b]).encode()).hexdigest() if b > a else "" for a, b in zip([0, *ends], ends, strict=False)]
+        # words once for each text, then their pairs once for each text
+        keys, held = _counted(doc << 32 | number, None)
+        doc, number = keys >> 32, keys & 0xFFFFFFFF
+        n = self.heads[number + 1] - self.heads[number]
+        place = np.arange(n.sum()) + np.repeat(self.heads[number] - np.cumsum(n) + n, n)
+        keys, times = _counted(np.repeat(doc, n) << 32 | self.pairs[place], np.repeat(held, n) * self.times[place])
+        cuts = np.searchsorted(keys, np.arange(1, len(texts)) << 32)
+        return pd.DataFrame(rows | {"pairs": np.split(keys & 0xFFFFFFFF, cuts), "times": np.split(times, cuts)}), whole
+
+    def aligned(self, texts: list[str | None]) -> pd.DataFrame:
+        """A row for each text: OWN, and its distinct pairs in order with the number of their links."""
+        rows, whole = self.from_words(texts) if self.by_word else (None, np.ones(len(texts), bool))
+        if not whole.any():
+            return rows
+        some = [t for t, w in zip(texts, whole, strict=True) if w]
+        found = self.tokens(some)
+        sizes = [np.array([len(f[k]) for f in found], np.int64) for k in (0, 1)]
+        own, said, pairs, times, heads = self.laid([np.concatenate([f[k] for f in found]) for k in (0, 1)], sizes)
+        shas = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in said]
+        rest = pd.DataFrame(own | {"groups_sha256": shas, "pairs": np.split(pairs, heads[1:-1]), "times": np.split(times, heads[1:-1])})
+        if rows is None or whole.all():
+            return rest
+        place = np.where(whole, len(rows) + np.cumsum(whole) - 1, np.arange(len(rows)))
+        return pd.concat([rows, rest], ignore_index=True).take(place).reset_index(drop=True)
+
+
+def _counted(keys: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how many there are of each, or the sums of their times."""
+    if times is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, times = keys[order], times[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[starts], np.diff(np.append(starts, len(keys))) if times is None else np.add.reduceat(times, starts) if len(starts) else times
 
 
 def files(spark: SparkSession, a: str | None = None, b: str | None = None):

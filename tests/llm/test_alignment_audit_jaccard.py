@@ -151,6 +151,40 @@ def test_dictionary_counts_documents(spark):
     assert len({(r.a_id, r.b_id) for r in pairs}) == len(pairs)
 
 
+def aligner():
+    import public_tokenizers as P
+
+    return alignment.Aligner(*(open(P.path(f), "rb").read() for f in (alignment.A_FILE, alignment.B_FILE)))
+
+
+def same_rows(a, b):
+    assert len(a) == len(b)
+    for c in a.columns:
+        assert all(np.array_equal(x, y) for x, y in zip(a[c], b[c], strict=True)), c
+
+
+def test_words_are_aligned_once(monkeypatch):
+    """The encoders get each distinct word once, not each text."""
+    of, said = aligner(), []
+    encode = of.b.encode
+    monkeypatch.setattr(of.b, "encode", lambda texts: said.extend(texts) or encode(texts))
+    texts = ["some words, which come again and again"] * 500 + ["words which come"] * 500
+    of.aligned(texts)
+    of.aligned(texts)
+    assert sum(map(len, said)) < 100
+
+
+def test_words_give_what_whole_texts_give(monkeypatch):
+    monkeypatch.setattr(alignment, "MOST_WORDS", 20)  # words are let go between chunks
+    by_word, whole = aligner(), aligner()
+    assert by_word.by_word
+    whole.by_word = False
+    odd = ["a  b", " a", "a ", "a\u2581b c", "x" * 400 + " y", "line\nline two\n\nthree", "it's 's 't a's", "\u00a0a b", "a\x1cb \x1c c", "", None, " ", "<s> </s> <0x0A>", "\u0301a \u0301", "\U0001f600 \U0001f600 e\u0301", "12 345 6789 1,000.5", "tail \n word", "a\x00b c"]
+    texts = [t for _, t in AWKWARD if len(t or "") < 100_000]
+    for some in (odd, texts, odd + ["plain words alone"] * 3 + texts, ["plain words"], [""]):
+        same_rows(by_word.aligned(some), whole.aligned(some))
+
+
 # --- 12 filter audit ------------------------------------------------------------------------------------------------
 
 
