@@ -564,6 +564,32 @@ def test_scores_are_those_of_the_training_pass():
         assert m.scores([ids])[0] == pytest.approx(np.log10(f["joint"].sum(-1)[f["ok"]].astype(float)).sum(), rel=1e-4)
 
 
+def test_scores_outside_the_bounds_are_those_of_the_training_pass():
+    """Attention and gates that may overflow are bounded or checked batch by batch; others are not even looked at."""
+    m, seqs = small_model()
+    m.tabled()
+    assert m.calm_gate or m.calm_attention  # as after training
+    m.p = {k: v * (12 if k in "QKGH" else 1) for k, v in m.p.items()}
+    m.tabled()
+    assert not m.calm_gate and not m.calm_attention
+    slow = lm.Attention(40)
+    slow.p, slow.experts = m.p, m.experts
+    for ids in seqs[:20]:
+        x, y, _ = slow.windows([ids])
+        f = slow.forward(x, y, slow.experts)
+        assert m.scores([ids])[0] == pytest.approx(np.log10(f["joint"].sum(-1)[f["ok"]].astype(float)).sum(), rel=1e-3)
+
+
+def test_words_of_blocks_are_those_of_bytes():
+    """Lower-cased A-Z alone, cut at ASCII blanks alone, with none at the ends."""
+    texts = [" a\tB\x0b\x0cc\r\n ", "", " ", "\u00c0\u00a0\u2028B\x1cc \x85", "\u0130 K\u212a", "a a A"]
+    docs, *_ = lm.worked(1, pa.array(range(len(texts))), np.ones(len(texts), bool), [t.encode() for t in texts], lm.Subwords(lm.load()))
+    want = [t.encode().lower().split() for t in texts]
+    at = {w: i for i, w in reversed([*enumerate(dict.fromkeys(w for x in want for w in x))])}
+    assert docs.column(5).to_pylist() == [len(x) for x in want]
+    assert [np.frombuffer(w, np.int32).tolist() for w in docs.column(7).to_pylist()] == [[at[w] for w in x] for x in want]
+
+
 def test_language_model_gradients_by_differences():
     m = lm.Attention(9, seed=2)
     m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
