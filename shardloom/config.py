@@ -47,7 +47,7 @@ class Options:
     """All parameters of download(). What Spark decides itself (distributor, subjob_size, processes_count) is accepted and
     warned about. max_bytes_in_flight bounds the bodies that a task holds. commit tells how a shard's files come into place: by
     renaming them, or, where a store cannot rename, by naming them in the shard's statistics. one_list: the files of url_list are
-    parts of one list, and shards run on over their ends. Image parameters act where disable_all_reencoding is off; PNG is built
+    parts of one list, in order of the numbers in their names, and shards run on over their ends. Image parameters act where disable_all_reencoding is off; PNG is built
     in, other codecs are given to download()."""
 
     url_list: str

@@ -34,10 +34,17 @@ def placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
     return rows.join(starts, [FILE, BLOCK], "left").withColumn(INDEX, (F.col("_seq") + known).cast("long")).drop("_seq", "_start")
 
 
-def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0) -> DataFrame:
-    """files (FILE, n_rows) -> FILE, n_rows, n_shards, first_shard: shards of the files before it, in order of names.
-    Files before start_file_id are left out but keep their numbers. A row for each file goes through one window."""
-    order = Window.orderBy(FILE)
+def by_numbers(name: Column) -> Column:
+    """What puts names in order with the numbers in them by value, so that part-9 comes before part-10: every number has 20
+    digits."""
+    return F.regexp_replace(F.regexp_replace(name, r"(\d+)", "0" * 20 + "$1"), r"0*(\d{20,})", "$1")
+
+
+def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0, numbered: bool = False) -> DataFrame:
+    """files (FILE, n_rows) -> FILE, n_rows, n_shards, first_shard: shards of the files before it, in order of names, or if
+    numbered with the numbers in them by value. Files before start_file_id are left out but keep their numbers. A row for each
+    file goes through one window."""
+    order = Window.orderBy(*([by_numbers(F.col(FILE))] if numbered else []), FILE)
     counted = files.withColumns({"n_shards": shard_count(F.col("n_rows"), size), "file_idx": F.row_number().over(order) - 1})
     before = F.coalesce(F.sum("n_shards").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return counted.withColumn("first_shard", (before + F.lit(start_shard_id)).cast("long")).where(F.col("file_idx") >= start_file_id).drop("file_idx")
@@ -45,10 +52,11 @@ def file_offsets(files: DataFrame, size: int, start_shard_id: int = 0, start_fil
 
 def with_shards(df: DataFrame, size: int, start_shard_id: int = 0, start_file_id: int = 0, one_list: bool = False) -> DataFrame:
     """df with shard_id and idx (place in the shard). Only a row for each file is aggregated and joined back. one_list: the
-    files are parts of one list, so that a shard runs on into the next file instead of ending with its own."""
+    files are parts of one list, in order of the numbers in their names, so that a shard runs on into the next file instead of
+    ending with its own."""
     rows = with_row_index(df)
     unit = 1 if one_list else size  # a file's first row, or its first shard
-    offsets = file_offsets(rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_rows")), unit, 0, start_file_id).select(FILE, F.col("first_shard").alias("_first"))
+    offsets = file_offsets(rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_rows")), unit, 0, start_file_id, one_list).select(FILE, F.col("first_shard").alias("_first"))
     joined = rows.join(F.broadcast(offsets) if len(df.inputFiles()) <= MOST_BROADCAST_FILES else offsets, FILE)
     place = F.col("_first") * unit + F.col(INDEX)
     shard, idx = positions(place, size)

@@ -1,8 +1,11 @@
 """Queries over tables of several files, whose ends are no ends of shards, against their DuckDB twins over one file."""
 
+from itertools import pairwise
+
 import pyarrow.parquet as pq
 import pytest
 from conftest import SF, duck
+from pyspark.sql import functions as F
 
 from shardloom.operators import sharding
 from shardloom.plans.queries import ORACLES, QUERIES
@@ -40,6 +43,28 @@ def test_parts_are_one_list(spark, split, name):
     agree(QUERIES[name](spark, many), name, one)
 
 
+@pytest.fixture(scope="module")
+def plain(tmp_path_factory):
+    """pages in parts whose numbers are written without zeros: part-10 and part-11 are the last, and part-4 has no rows"""
+    folder = tmp_path_factory.mktemp("plain")
+    table = pq.read_table(f"{LARGER}/pages.parquet")
+    (folder / "pages.parquet").mkdir()
+    for k, (a, b) in enumerate(pairwise((0, 30, 41, 70, 95, 95, 120, 133, 150, 171, 190, 230, 250))):
+        pq.write_table(table.slice(a, b - a), folder / "pages.parquet" / f"part-{k}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["shard_assign"])
+def test_parts_are_in_order_of_their_numbers(spark, split, plain, name):
+    agree(QUERIES[name](spark, plain), name, split[0])
+
+
+def test_numbers_in_names(spark):
+    names = ["a/part-2", "a/part-10", "a/part-010-b", "b/1-9", "b/1-10", "b/2-1", "b/x", f"b/x{10**19}", f"b/x{10**19 + 1}"]
+    got = spark.createDataFrame([(n,) for n in reversed(names)], "n string").orderBy(sharding.by_numbers(F.col("n")), "n")
+    assert [r.n for r in got.collect()] == names
+
+
 def test_one_list_keeps_numbers(spark, split):
     """Later files alone, from a later shard on: rows keep their places in the list."""
     table = tables.url_table(spark, f"{split[1]}/pages.parquet", "parquet", extras=["page_id"])
