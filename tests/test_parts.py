@@ -54,7 +54,7 @@ def plain(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["shard_assign", "shard_names", "sidecar", "tar_members"])
+@pytest.mark.parametrize("name", ["shard_assign", "shard_names", "shard_order", "sidecar", "tar_members"])
 def test_parts_are_in_order_of_their_numbers(spark, split, plain, name):
     agree(QUERIES[name](spark, plain), name, split[0])
 
