@@ -3,6 +3,7 @@ columns with clashing names."""
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -884,6 +885,29 @@ def test_rows_of_a_block():
     assert [np.frombuffer(r["words"], np.int32).tolist() for r in found if r["kind"] == lm.DOC] == [[0] * 7 + [1], [0] * 3, [2]]
 
 
+def test_a_block_goes_on_over_steps_and_batches(spark):
+    """Three texts of more than STEP_BYTES in one task share one list of words, until a fourth one fills the block."""
+    texts = [" ".join(["lorem", "Lorem", f"own{i}"] * 500_000) for i in range(3)] + ["x " * 5_000_000, "lorem"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = lm.parts(df, spark.sparkContext.broadcast(lm.load())).select("kind", "block", "idx", "train_n", "n_words", F.octet_length("words").alias("b")).collect()
+    docs, words_ = ([r for r in rows if r.kind == k] for k in (lm.DOC, lm.WORD))
+    assert [(r.block, r.idx, r.n_words, r.b) for r in docs] == [(0, 0, 1_500_000, 6_000_000), (0, 1, 1_500_000, 6_000_000), (0, 2, 1_500_000, 6_000_000), (0, 3, 5_000_000, 20_000_000), (1, 0, 1, 4)]
+    n = [crc(i) % 7 != 2 for i in range(5)]
+    assert [(r.block, r.idx, r.train_n) for r in words_] == [(0, 0, 1_000_000 * sum(n[:3])), *((0, 1 + i, 500_000 * n[i]) for i in range(3)), (0, 4, 5_000_000 * n[3]), (1, 0, int(n[4]))]
+
+
+def test_shuffles_of_a_table_go_once_it_is_written(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    held = lambda: set(re.findall(r"shuffle_[0-9_]+\.data", files().mkString("|")))
+    before = held()
+    with lm.shuffles_go(spark):
+        table = common.cut(spark.range(100_000).groupBy((F.col("id") % 9_973).alias("k")).count())
+    end = time.time() + 10
+    while held() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not held() - before and table.count() == 9_973
+
+
 def test_texts_of_millions_of_characters_without_a_blank(spark, tmp_path):
     """One word of two million letters, twice, and one of as many marks: every operator works on it whole."""
     letters = "".join(np.random.default_rng(0).choice(list("abcdefgh"), 2_000_000))
